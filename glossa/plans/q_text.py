@@ -1 +1,67 @@
-"""Registered queries (filled in below)."""
+"""Queries for the text functions T1-T14 over the ``comments`` fixture."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from glossa.functions import text as T
+from glossa.plans import fixtures as X
+from glossa.plans import sqlkit as Q
+from glossa.plans.registry import query
+
+_CASES = {
+    "t01_strip_digits_quotes": (T.strip_digits_quotes, Q.strip_digits_quotes),
+    "t02_strip_hashtags": (T.strip_hashtags, Q.strip_hashtags),
+    "t03_strip_mentions": (T.strip_mentions, Q.strip_mentions),
+    "t04_strip_urls": (T.strip_urls, Q.strip_urls),
+    "t05_collapse_ws": (T.collapse_ws, Q.collapse_ws),
+    "t06_strip_numbers": (T.strip_numbers, Q.strip_numbers),
+    "t07_trim": (T.py_strip, Q.py_strip),
+    "t08_clean_text": (T.clean_text, Q.clean_text),
+    "t10_dedupe_sentences": (T.dedupe_sentences, Q.dedupe_sentences),
+    "t11_clean_text_mono": (T.clean_text_mono, Q.clean_text_mono),
+}
+
+
+def _register(key, sfn, qfn):
+    sql = X.with_fixtures(f"SELECT id, lang, {qfn('comment_text')} AS comment_text FROM comments", "comments")
+
+    @query(key, sql)
+    def run(spark, sf):
+        return X.comments(spark, sf).select("id", "lang", sfn("comment_text").alias("comment_text"))
+    run.__name__ = key
+    return run
+
+
+for _k, (_s, _q) in _CASES.items():
+    _register(_k, _s, _q)
+
+
+@query("t09_sentence_split", X.with_fixtures(
+    f"SELECT id, len(s) AS n_sentences, array_to_string(s, chr(10)) AS sentences "
+    f"FROM (SELECT id, {Q.sentences(Q.clean_text('comment_text'))} AS s FROM comments)", "comments"))
+def t09_sentence_split(spark, sf):
+    s = T.sentences(T.clean_text("comment_text"))
+    d = X.comments(spark, sf).select("id", s.alias("s"))
+    return d.select("id", F.size("s").alias("n_sentences"), F.array_join("s", "\n").alias("sentences"))
+
+
+@query("t12_ipv4_flag", X.with_fixtures(
+    f"SELECT id, lang, {Q.has_ipv4('comment_text')} AS has_ip FROM comments", "comments"))
+def t12_ipv4_flag(spark, sf):
+    return X.comments(spark, sf).select("id", "lang", T.has_ipv4("comment_text").alias("has_ip"))
+
+
+@query("t13_template_flag", X.with_fixtures(
+    f"SELECT id, lang, {Q.is_template_message('comment_text')} AS is_bot_msg FROM comments", "comments"))
+def t13_template_flag(spark, sf):
+    return X.comments(spark, sf).select("id", "lang", T.is_template_message("comment_text").alias("is_bot_msg"))
+
+
+@query("t14_composite_key", X.with_fixtures(
+    "SELECT id, lang || CAST(toxic AS VARCHAR) AS strata, CAST(CAST(round_even(toxic, 0) AS INT) AS VARCHAR) || lang AS label_lang "
+    "FROM pool", "pool"))
+def t14_composite_key(spark, sf):
+    p = X.pool(spark, sf)
+    return p.select("id", T.composite_key("lang", "toxic").alias("strata"),
+                    T.composite_key(F.bround("toxic").cast("int"), "lang").alias("label_lang"))
