@@ -155,12 +155,12 @@ def post_process(blend: DataFrame, texts: DataFrame, clusters: DataFrame,
     r1 = F.when((F.col("has_ip") == 1) & F.col("lang").isin(*IP_RULE_LANGS)
                 & (F.col("blend") > lo) & (F.col("blend") < hi),
                 F.lit(IP_RULE_FACTOR) * F.col("blend")).otherwise(F.col("blend"))
-    d = d.withColumn("blend_pp", r1)
-    d = d.withColumn("blend_pp", F.when(F.col("is_bot_msg"), F.lit(BOT_FACTOR) * F.col("blend_pp"))
-                     .otherwise(F.col("blend_pp")))
+    d = d.withColumn("pp_ip", r1)
+    d = d.withColumn("pp_bot", F.when(F.col("is_bot_msg"), F.lit(BOT_FACTOR) * F.col("pp_ip"))
+                     .otherwise(F.col("pp_ip")))
     d = d.withColumn("blend_pp", F.when(F.col("cluster").isin(*TEMPLATE_CLUSTERS),
-                                        F.lit(CLUSTER_FACTOR) * F.col("blend_pp"))
-                     .otherwise(F.col("blend_pp")))
+                                        F.lit(CLUSTER_FACTOR) * F.col("pp_bot"))
+                     .otherwise(F.col("pp_bot")))
     return d
 
 

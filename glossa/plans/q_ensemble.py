@@ -42,10 +42,19 @@ def final_blend(spark, sf):
     return E.final_rank_blend({"single_roberta": single, "mlm": mlm, "mono": mono, "mas": mas})
 
 
+def post_processed(spark, sf):
+    return E.post_process(final_blend(spark, sf), X.comments(spark, sf), X.clusters(spark, sf))
+
+
 def flagship(spark, sf):
     """E9 over E7: the final submission ``id, toxic``."""
-    pp = E.post_process(final_blend(spark, sf), X.comments(spark, sf), X.clusters(spark, sf))
-    return pp.select("id", r6(F.col("blend_pp")).alias("toxic"))
+    return post_processed(spark, sf).select("id", r6(F.col("blend_pp")).alias("toxic"))
+
+
+def flagship_rules(spark, sf):
+    """Correlation of the blend with the running value after each rule."""
+    pp = post_processed(spark, sf)
+    return pp.agg(*[r6(F.corr("blend", c)).alias(f"corr_{c}") for c in ("pp_ip", "pp_bot", "blend_pp")])
 
 
 # ----------------------------------------------------------------------------- SQL twins
@@ -126,3 +135,11 @@ def e06_lang_routed_blend(spark, sf):
 def w01_pct_rank(spark, sf):
     d = pct_rank(X.scores(spark, sf), "toxic", "toxic_rank", part_cols=["model"])
     return d.select("id", "model", r6("toxic").alias("toxic"), r6("toxic_rank").alias("toxic_rank"))
+
+
+@query("a09_corr", X.with_fixtures(
+    "SELECT round(corr(blend, p1), 6) AS corr_pp_ip, round(corr(blend, p2), 6) AS corr_pp_bot, "
+    "round(corr(blend, blend_pp), 6) AS corr_blend_pp FROM pp", "scores", "lang_scores", "comments", "clusters",
+    ctes=_PP_SQL))
+def a09_corr(spark, sf):
+    return flagship_rules(spark, sf)
