@@ -143,3 +143,99 @@ def w01_pct_rank(spark, sf):
     ctes=_PP_SQL))
 def a09_corr(spark, sf):
     return flagship_rules(spark, sf)
+
+
+# ----------------------------------------------------------------------------- fold blends (E1-E4), TTA
+
+_FAMILY_SPECS = {
+    # family: (folds, extra-fold map, views)
+    "roberta": ((0, 1, 2, 3), None, 3),
+    "bert": ((0, 1, 2, 3), {0: 0, 1: 0, 2: 0, 3: 0}, 3),
+    "xlm": ((0, 1, 2), None, 2),
+}
+
+
+def family_score(spark, sf, family):
+    folds, extra, views = _FAMILY_SPECS[family]
+    return E.power_mean_blend(X.fold_scores(spark, sf), family, folds, extra, views, out=family)
+
+
+def families(spark, sf):
+    r = family_score(spark, sf, "roberta")
+    b = family_score(spark, sf, "bert")
+    x = family_score(spark, sf, "xlm")
+    return r.join(b, "id").join(x, "id")
+
+
+def _family_sql(family):
+    folds, extra, views = _FAMILY_SPECS[family]
+    extra = extra or {}
+    names = ["english"] + [f"foreign_{f}" for f in folds]
+    if views == 3:
+        names += sorted({f"extra_{extra.get(f, f)}" for f in folds})
+    w = (f"w_{family} AS (SELECT id, " + ", ".join(f"max(CASE WHEN k = '{n}' THEN toxic END) AS {n}" for n in names)
+         + f" FROM (SELECT id, CASE WHEN fold >= 0 THEN view || '_' || CAST(fold AS VARCHAR) ELSE view END AS k, toxic "
+         f"FROM fold_scores WHERE family = '{family}') GROUP BY id HAVING "
+         + " AND ".join(f"max(CASE WHEN k = '{n}' THEN 1 END) IS NOT NULL" for n in names) + ")")
+    roots = []
+    for f in folds:
+        rest = (f"(0.5 * english + 0.5 * extra_{extra.get(f, f)})" if views == 3 else "english")
+        roots.append(f"sqrt(0.8 * foreign_{f} + 0.2 * {rest})")
+    mean = f"(({' + '.join(roots)}) / {float(len(folds))})"
+    return w + f",\nf_{family} AS (SELECT id, {mean} * {mean} AS {family} FROM w_{family})"
+
+
+_FAM_SQL = ",\n".join(_family_sql(f) for f in _FAMILY_SPECS) + """,
+fam AS (SELECT r.id, r.roberta, b.bert, x.xlm FROM f_roberta r JOIN f_bert b ON r.id = b.id JOIN f_xlm x ON r.id = x.id)"""
+
+
+def _fam_query(family, key):
+    @query(key, X.with_fixtures(f"SELECT id, round({family}, 6) AS toxic FROM f_{family}", "fold_scores",
+                                ctes=_family_sql(family)))
+    def run(spark, sf):
+        return family_score(spark, sf, family).select("id", r6(family).alias("toxic"))
+    run.__name__ = key
+    return run
+
+
+_fam_query("roberta", "e01_power_mean_3view")
+_fam_query("bert", "e01_power_mean_3view_shared_extra")
+_fam_query("xlm", "e02_power_mean_2view")
+
+
+@query("e03_prob_blend", X.with_fixtures(
+    "SELECT id, round((9.0 * roberta + 2.0 * xlm + 1.0 * bert) / 12.0, 6) AS toxic_prob FROM fam",
+    "fold_scores", ctes=_FAM_SQL))
+def e03_prob_blend(spark, sf):
+    return families(spark, sf).select("id", r6(E.family_blend(None, "toxic_prob")).alias("toxic_prob"))
+
+
+@query("e04_rank_blend", X.with_fixtures(
+    "SELECT id, round((9.0 * rr + 2.0 * rx + 1.0 * rb) / 12.0, 6) AS toxic FROM (SELECT id, "
+    + Q.pct_rank("roberta") + " AS rr, " + Q.pct_rank("xlm") + " AS rx, " + Q.pct_rank("bert") + " AS rb FROM fam)",
+    "fold_scores", ctes=_FAM_SQL))
+def e04_rank_blend(spark, sf):
+    d = families(spark, sf)
+    for fam in ("roberta", "xlm", "bert"):
+        d = pct_rank(d, fam, fam + "_r").drop(fam).withColumnRenamed(fam + "_r", fam)
+    return d.select("id", r6(E.family_blend(None, "toxic")).alias("toxic"))
+
+
+def _tta_sql(variant):
+    wo, wt = E.TTA_WEIGHTS[variant]
+    return (f"t_{variant} AS (SELECT id, sum(toxic * w) / nullif(sum(w), 0) AS toxic FROM "
+            f"(SELECT id, score / (SELECT avg(score) FROM views) * 0.21 AS toxic, "
+            f"CASE WHEN original = 1 THEN {wo} ELSE {wt} END AS w FROM views) GROUP BY id),\n"
+            f"c_{variant} AS (SELECT id, '{variant}' AS variant, toxic / (SELECT avg(toxic) FROM t_{variant}) * 0.21 AS toxic "
+            f"FROM t_{variant})")
+
+
+@query("e08_tta_rollup", X.with_fixtures(
+    "SELECT id, variant, round(toxic, 6) AS toxic FROM c_no_tta UNION ALL "
+    "SELECT id, variant, round(toxic, 6) AS toxic FROM c_tta", "views",
+    ctes=_tta_sql("no_tta") + ",\n" + _tta_sql("tta")))
+def e08_tta_rollup(spark, sf):
+    v = X.views(spark, sf)
+    outs = [E.tta_rollup(v, variant).select("id", F.lit(variant).alias("variant"), r6("toxic").alias("toxic"))
+            for variant in ("no_tta", "tta")]
+    return outs[0].unionByName(outs[1])

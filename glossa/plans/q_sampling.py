@@ -1 +1,198 @@
-"""Registered queries (filled in below)."""
+"""Queries for shuffles, caps, balance, chunks and folds: L1-L3, W2, G1-G7, U2, U3."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from glossa.functions import text as T
+from glossa.operators import labels as L
+from glossa.operators import sampling as S
+from glossa.plans import fixtures as X
+from glossa.plans import sqlkit as Q
+from glossa.plans.registry import query
+
+SEED = S.SEED
+U = Q.u(SEED, "id")
+CHUNK_SIZE = 100           # 100,000 in production; the tables here are far smaller
+
+
+def labelled(spark, sf):
+    return X.comments(spark, sf).where(F.col("toxic").isNotNull()).select("id", "lang", "toxic")
+
+
+_LAB = "lab AS (SELECT id, lang, toxic FROM comments WHERE toxic IS NOT NULL)"
+
+
+@query("l01_seeded_shuffle", X.with_fixtures(
+    f"SELECT id, row_number() OVER (ORDER BY {U}, id) AS pos FROM comments", "comments"))
+def l01_seeded_shuffle(spark, sf):
+    return S.shuffle_positions(X.comments(spark, sf).select("id"), "id")
+
+
+@query("l02_cap_after_shuffle", X.with_fixtures(
+    f"SELECT id, lang FROM comments QUALIFY row_number() OVER (ORDER BY {U}, id) <= 250", "comments"))
+def l02_cap_after_shuffle(spark, sf):
+    return S.take_shuffled(X.comments(spark, sf).select("id", "lang"), 250, "id")
+
+
+@query("l03_sample_n", X.with_fixtures(
+    f"SELECT id, lang, toxic FROM lab QUALIFY row_number() OVER (ORDER BY {U}, id) <= 256", "comments", ctes=_LAB))
+def l03_sample_n(spark, sf):
+    return S.take_shuffled(labelled(spark, sf), 256, "id")
+
+
+@query("w02_fold_row_number", X.with_fixtures(
+    f"SELECT id, lang, CAST((row_number() OVER (PARTITION BY lang ORDER BY {U}, id) - 1) % 10 AS INT) AS fold "
+    "FROM lab WHERE toxic = 0", "comments", ctes=_LAB))
+def w02_fold_row_number(spark, sf):
+    neg = labelled(spark, sf).where(F.col("toxic") == 0).select("id", "lang")
+    d = S.shuffle_positions(neg, "id", part_cols=["lang"], out="rn")
+    return d.select("id", "lang", F.pmod(F.col("rn") - 1, F.lit(10)).cast("int").alias("fold"))
+
+
+def balance_input(spark, sf):
+    """Two files: pool (subtitle) and labelled comments, thresholded and binarised."""
+    p = L.band_filter(X.pool(spark, sf), "toxic", 0.2, 0.7).select(
+        F.col("id").cast("string").alias("id"), "lang", L.binarise("toxic", 0.7).alias("toxic"),
+        F.lit("subtitle").alias("file"))
+    c = labelled(spark, sf).withColumn("file", F.lit("train"))
+    return p.unionByName(c)
+
+
+_BAL = ("bal AS (SELECT CAST(id AS VARCHAR) AS id, lang, CASE WHEN toxic >= 0.7 THEN 1 ELSE 0 END AS toxic, "
+        "'subtitle' AS file FROM pool WHERE toxic < 0.2 OR toxic >= 0.7 "
+        "UNION ALL SELECT id, lang, toxic, 'train' AS file FROM comments WHERE toxic IS NOT NULL)")
+
+
+@query("g01_class_balance", X.with_fixtures(
+    "SELECT id, lang, toxic, file FROM bal WHERE toxic = 1 UNION ALL "
+    "SELECT b.id, b.lang, b.toxic, b.file FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY "
+    + U + ", id) AS rn FROM bal WHERE toxic = 0) b JOIN (SELECT file, least(sum(toxic) * 2, sum(1 - toxic)) AS cap "
+    "FROM bal GROUP BY file) c ON b.file = c.file WHERE b.rn <= c.cap", "pool", "comments", ctes=_BAL))
+def g01_class_balance(spark, sf):
+    return S.class_balance(balance_input(spark, sf), "toxic", 2, "id", file_col="file")
+
+
+def chunks(spark, sf):
+    p = X.pool(spark, sf).withColumn("strata", T.composite_key("lang", "toxic"))
+    return S.stratified_chunks(p, "strata", CHUNK_SIZE, "id")
+
+
+_CHUNKS = f"""pl AS (SELECT *, lang || CAST(toxic AS VARCHAR) AS strata FROM pool),
+so AS (SELECT strata, coalesce(sum(n) OVER (ORDER BY strata ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM (SELECT strata, count(*) AS n FROM pl GROUP BY strata)),
+ch AS (SELECT p.id, p.lang, p.toxic, p.strata, CAST(CASE WHEN (SELECT count(*) FROM pl) // {CHUNK_SIZE} > 2
+  THEN (so.off + row_number() OVER (PARTITION BY p.strata ORDER BY {Q.u(SEED, 'p.id')}, p.id) - 1) % ((SELECT count(*) FROM pl) // {CHUNK_SIZE})
+  ELSE 0 END AS INT) AS chunk FROM pl p JOIN so ON p.strata = so.strata)"""
+
+
+@query("g02_stratified_chunks", X.with_fixtures("SELECT id, strata, chunk FROM ch", "pool", ctes=_CHUNKS))
+def g02_stratified_chunks(spark, sf):
+    return chunks(spark, sf).select("id", "strata", "chunk")
+
+
+@query("g03_chunk_cap", X.with_fixtures(
+    "SELECT chunk, strata, CAST(count(*) AS BIGINT) AS n FROM ch WHERE chunk < 4 GROUP BY chunk, strata",
+    "pool", ctes=_CHUNKS))
+def g03_chunk_cap(spark, sf):
+    c = S.chunk_cap(chunks(spark, sf), 4)
+    return c.groupBy("chunk", "strata").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("g04_fold_downsample", X.with_fixtures(
+    "SELECT id, lang, toxic FROM lab WHERE toxic = 1 UNION ALL SELECT id, lang, toxic FROM "
+    f"(SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {U}, id) AS rn FROM lab WHERE toxic = 0) "
+    "WHERE (rn - 1) % 10 = 3", "comments", ctes=_LAB))
+def g04_fold_downsample(spark, sf):
+    return S.fold_downsample(labelled(spark, sf), 3, "toxic", "id")
+
+
+@query("g05_equal_class_downsample", X.with_fixtures(
+    f"SELECT id, lang, toxic FROM (SELECT *, row_number() OVER (PARTITION BY toxic, lang ORDER BY {U}, id) AS rn "
+    "FROM lab) WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM lab GROUP BY toxic, lang))",
+    "comments", ctes=_LAB))
+def g05_equal_class_downsample(spark, sf):
+    return S.equal_class_downsample(labelled(spark, sf), ["toxic", "lang"], "id")
+
+
+@query("g06_holdout_split", X.with_fixtures(
+    f"SELECT id, CASE WHEN row_number() OVER (ORDER BY {U}, id) <= ceil((SELECT count(*) FROM lab) * CAST(0.1 AS DOUBLE)) "
+    "THEN 'holdout' ELSE 'train' END AS split FROM lab", "comments", ctes=_LAB))
+def g06_holdout_split(spark, sf):
+    return S.holdout_split(labelled(spark, sf), "id").select("id", "split")
+
+
+@query("g07_fold_routing", X.with_fixtures(
+    "SELECT 'fold1' AS run, 'subtitle' AS origin, CAST(id AS VARCHAR) AS id FROM ch WHERE chunk = 1 "
+    "UNION ALL SELECT 'fold1', 'pseudo', c.id FROM comments c JOIN scores s ON c.id = s.id WHERE c.toxic IS NULL AND s.model = 'm0' "
+    "UNION ALL SELECT 'base', 'subtitle', CAST(id AS VARCHAR) FROM ch WHERE chunk < 2 AND lang = 'en' "
+    "UNION ALL SELECT 'base', 'foreign', CAST(id AS VARCHAR) FROM ch WHERE chunk <= 5 AND lang <> 'en'",
+    "pool", "comments", "scores", ctes=_CHUNKS))
+def g07_fold_routing(spark, sf):
+    from glossa.operators.labels import pseudo_label
+    ch = chunks(spark, sf).withColumn("id", F.col("id").cast("string"))
+    c = X.comments(spark, sf)
+    pseudo = pseudo_label(c.where(F.col("toxic").isNull()).select("id"),
+                          X.scores(spark, sf).where(F.col("model") == "m0"))
+    parts = [
+        ch.where(F.col("chunk") == 1).select(F.lit("fold1").alias("run"), F.lit("subtitle").alias("origin"), "id"),
+        pseudo.select(F.lit("fold1").alias("run"), F.lit("pseudo").alias("origin"), "id"),
+        ch.where((F.col("chunk") < 2) & (F.col("lang") == "en"))
+          .select(F.lit("base").alias("run"), F.lit("subtitle").alias("origin"), "id"),
+        ch.where((F.col("chunk") <= 5) & (F.col("lang") != "en"))
+          .select(F.lit("base").alias("run"), F.lit("foreign").alias("origin"), "id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_U2 = ("pc AS (SELECT id, " + Q.clean_text_mono("comment_text") + " AS comment_text, lang, toxic FROM pool "
+       "WHERE comment_text IS NOT NULL AND lang = 'fr')")
+
+
+def pool_texts(spark, sf, lang="fr"):
+    p = X.pool(spark, sf).where(F.col("comment_text").isNotNull() & (F.col("lang") == lang))
+    p = p.select("id", T.clean_text_mono("comment_text").alias("comment_text"), "lang", "toxic")
+    return S.dedupe_keep_first(p, "comment_text", "id")
+
+
+@query("u02_dedupe_keep_first", X.with_fixtures(
+    "SELECT comment_text, arg_min(id, id) AS id, arg_min(lang, id) AS lang, "
+    "CAST(round_even(arg_min(toxic, id), 0) AS INT) AS toxic FROM pc GROUP BY comment_text", "pool", ctes=_U2))
+def u02_dedupe_keep_first(spark, sf):
+    d = pool_texts(spark, sf)
+    return d.select("comment_text", "id", "lang", L.round_label("toxic").alias("toxic"))
+
+
+CORPUS_CAP = 1_000_000
+
+
+@query("u03_mlm_corpus", X.with_fixtures(
+    "SELECT corpus, id, text FROM (SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY "
+    + Q.u(SEED, "corpus", "id") + ", id) AS rn FROM ("
+    "SELECT 'train' AS corpus, id, comment_text AS text FROM comments WHERE toxic IS NOT NULL "
+    "UNION ALL SELECT 'train', CAST(id AS VARCHAR), comment_text FROM pool "
+    "UNION ALL SELECT 'valid_test', id, comment_text FROM comments WHERE toxic IS NULL "
+    "UNION ALL SELECT 'subset', CAST(doc_id AS VARCHAR), text FROM documents WHERE source = 'src0')) "
+    f"WHERE rn <= {CORPUS_CAP}", "comments", "pool"))
+def u03_mlm_corpus(spark, sf):
+    from glossa.sources.tables import load
+    from glossa.operators.scale import row_number_by_uniform
+    from glossa.functions import rand
+    c = X.comments(spark, sf)
+    parts = [
+        c.where(F.col("toxic").isNotNull()).select(F.lit("train").alias("corpus"), "id", F.col("comment_text").alias("text")),
+        X.pool(spark, sf).select(F.lit("train").alias("corpus"), F.col("id").cast("string").alias("id"),
+                                 F.col("comment_text").alias("text")),
+        c.where(F.col("toxic").isNull()).select(F.lit("valid_test").alias("corpus"), "id", F.col("comment_text").alias("text")),
+        load(spark, sf, "documents").where(F.col("source") == "src0").select(
+            F.lit("subset").alias("corpus"), F.col("doc_id").cast("string").alias("id"), "text"),
+    ]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    u = u.withColumn("_u", rand.uniform(SEED, F.col("corpus"), F.col("id")))
+    u = row_number_by_uniform(u, "_u", ["id"], ["corpus"], out_col="_rn")
+    return u.where(F.col("_rn") <= CORPUS_CAP).select("corpus", "id", "text")
