@@ -108,9 +108,10 @@ def holdout_split(df: DataFrame, id_col: str, fraction: float = HOLDOUT_FRACTION
         .drop("_rn")
 
 
-def dedupe_keep_first(df: DataFrame, key_col: str, id_col: str) -> DataFrame:                    # U2
-    """One row per ``key_col``: the one with the smallest ``id_col``. Partial
+def dedupe_keep_first(df: DataFrame, key_cols, id_col: str) -> DataFrame:                        # U2
+    """One row per ``key_cols``: the one with the smallest ``id_col``. Partial
     aggregation collapses a hot key before the shuffle."""
-    others = [c for c in df.columns if c != key_col]
-    g = df.groupBy(key_col).agg(F.min_by(F.struct(*others), F.col(id_col)).alias("_r"))
-    return g.select(key_col, *[F.col(f"_r.{c}").alias(c) for c in others])
+    key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    others = [c for c in df.columns if c not in key_cols]
+    g = df.groupBy(*key_cols).agg(F.min_by(F.struct(*others), F.col(id_col)).alias("_r"))
+    return g.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in others])
