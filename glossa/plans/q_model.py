@@ -1 +1,87 @@
-"""Registered queries (filled in below)."""
+"""Queries for the model operators: M1-M3."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from glossa.functions import tokens as K
+from glossa.functions import text as T
+from glossa.operators import labels as L
+from glossa.operators import model as MD
+from glossa.operators import vocab as V
+from glossa.plans import fixtures as X
+from glossa.plans.registry import query, r6
+from glossa.session import scratch_path
+
+
+def _lin_sql(ids, name):
+    a, b = MD.LINEAR_SCORERS[name]
+    s = (f"list_reduce(list_transform({ids}, lambda x: CAST((x * {a} + {b}) % 101 - 50 AS DOUBLE) / CAST(1000 AS DOUBLE)), "
+         f"lambda p, q: p + q)")
+    return f"(1.0 / (1.0 + exp(-{s})))"
+
+
+def _m2_sql():
+    from glossa.plans.q_tokens import MAX_LEN, _sql, marks_sql
+    return _sql(f"SELECT id, round({_lin_sql(marks_sql('raw_ids', MAX_LEN, True), 'lin_a')}, 6) AS toxic FROM enc")
+
+
+@query("m02_batch_score", _m2_sql())
+def m02_batch_score(spark, sf):
+    from glossa.plans.q_tokens import MAX_LEN, encoded
+    e = encoded(spark, sf).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
+    return e.select("id", r6(MD.linear_score("ids", "lin_a")).alias("toxic"))
+
+
+def _m3_sql():
+    from glossa.plans import sqlkit as Q
+    from glossa.plans.q_tokens import MAX_LEN, _BASE, marks_sql
+    clean = (f"tok2 AS (SELECT id, list_filter(string_split({Q.clean_text(Q.clean_text_mono('comment_text'))}, ' '), "
+             f"lambda t: t <> '') AS toks FROM comments),\n"
+             "ex2 AS (SELECT id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM tok2),\n"
+             "enc2a AS (SELECT ex2.id, list(coalesce(v.token_id, 3) ORDER BY ex2.pos) AS raw_ids FROM ex2 "
+             "LEFT JOIN vocab v ON ex2.token = v.token GROUP BY ex2.id),\n"
+             "enc2 AS (SELECT t.id, coalesce(e.raw_ids, CAST([] AS INT[])) AS raw_ids FROM tok2 t LEFT JOIN enc2a e ON t.id = e.id),\n"
+             f"views AS (SELECT id, 'orig' AS view, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc "
+             f"UNION ALL SELECT id, 'clean' AS view, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc2)")
+    sel = " UNION ALL ".join(f"SELECT id, '{m}' AS model, view, round({_lin_sql('ids', m)}, 6) AS toxic FROM views"
+                             for m in MD.LINEAR_SCORERS)
+    return X.with_fixtures(sel, "comments", ctes=_BASE + ",\n" + clean)
+
+
+@query("m03_scoring_matrix", _m3_sql())
+def m03_scoring_matrix(spark, sf):
+    """Scorers x views -> one long score table, written partitioned by model."""
+    from glossa.plans.q_tokens import MAX_LEN, VOCAB_SIZE, tokenised
+    t = tokenised(spark, sf)
+    vocab = V.build_vocab(t, "toks", VOCAB_SIZE)
+    clean = X.comments(spark, sf).select("id", K.word_tokens(T.clean_text_mono("comment_text")).alias("toks"))
+    views = [("orig", V.encode_ids(t, "id", "toks", vocab, vocab_size=VOCAB_SIZE)),
+             ("clean", V.encode_ids(clean, "id", "toks", vocab, vocab_size=VOCAB_SIZE))]
+    parts = []
+    for view, enc in views:
+        ids = K.with_marks("raw_ids", MAX_LEN, True)
+        for m in MD.LINEAR_SCORERS:
+            parts.append(enc.select("id", F.lit(m).alias("model"), F.lit(view).alias("view"),
+                                    r6(MD.linear_score(ids, m)).alias("toxic")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    path = scratch_path(spark, "scores_long")
+    long.write.mode("overwrite").partitionBy("model").parquet(path)
+    return spark.read.parquet(path).select("id", "model", "view", "toxic")
+
+
+@query("m01_train_classifier", None)
+def m01_train_classifier(spark, sf):
+    """Train on labelled comments (weight 1) plus pseudo-labelled rows (weight
+    0.5), pick regularisation by validation AUC, score every comment."""
+    from glossa.plans.q_tokens import tokenised
+    t = tokenised(spark, sf)
+    lab = t.where(F.col("toxic").isNotNull()).select("id", "toks", F.col("toxic").cast("double").alias("label"),
+                                                     F.lit(1.0).alias("w"))
+    sc = X.scores(spark, sf).where(F.col("model") == "m0").select("id", F.col("toxic").alias("p"))
+    pseudo = (t.where(F.col("toxic").isNull()).join(sc, "id")
+              .select("id", "toks", L.binarise(L.round1("p"), 0.5).cast("double").alias("label"), F.lit(0.5).alias("w")))
+    model = MD.train_classifier(lab.unionByName(pseudo), "toks", "label", "w")
+    return MD.predict(model, t.select("id", "toks")).select("id", r6("toxic").alias("toxic"))
