@@ -117,10 +117,16 @@ def family_blend(fams: DataFrame, out="toxic") -> Column:
     return (num / F.lit(sum(w for _, w in FAMILY_WEIGHTS))).alias(out)
 
 
-def rank_columns(df: DataFrame, cols: Sequence[str], suffix="_rank") -> DataFrame:          # W1 xN
+def rank_columns(df: DataFrame, cols: Sequence[str], suffix="_rank", id_col="id") -> DataFrame:   # W1 xN
+    """W1 of several columns of one table. Each rank is computed from the table
+    itself (not from the previous rank's output) and joined back on ``id`` --
+    chaining would nest every rank plan inside the next. Pass a materialized
+    table when it is expensive to recompute."""
+    out = df
     for c in cols:
-        df = pct_rank(df, c, c + suffix)
-    return df
+        r = pct_rank(df.select(id_col, c), c, "_r").select(id_col, F.col("_r").alias(c + suffix))
+        out = out.drop(c + suffix).join(r, id_col, "inner") if suffix else out.drop(c).join(r, id_col, "inner")
+    return out
 
 
 def lang_routed(base: DataFrame, lang_scores: DataFrame, base_col="toxic", out="pred",

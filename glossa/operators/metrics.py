@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.operators.scale import with_exclusive_prefix
+from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 N_THRESHOLDS = 200                 # binned AUC thresholds
@@ -45,7 +46,7 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, part_cols: Sequence[s
     y = F.col(label_col).cast("long")
     d = df.where(F.col(label_col).isNotNull() & F.col(score_col).isNotNull())
     g = d.groupBy(*part_cols, score_col).agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
-    g = with_exclusive_prefix(g, [score_col], ["neg"], part_cols)
+    g = with_exclusive_prefix(materialize(g), [score_col], ["neg"], part_cols)
     pos, neg, nb = (F.col(c).cast("double") for c in ("pos", "neg", "neg_before"))
     r = g.groupBy(*part_cols).agg(F.sum(pos * nb + F.lit(0.5) * pos * neg).alias("_num"),
                                   F.sum(pos).alias("_p"), F.sum(neg).alias("_n"))

@@ -4,7 +4,7 @@ A window with no PARTITION BY moves every row into one task. Here every global
 order-dependent quantity is built from three distributed pieces instead:
 
 1. a *bucket* per row that is monotone in the order key: ``floor(u * B)`` for
-   uniform keys, or quantile splits (``QuantileDiscretizer``) otherwise;
+   uniform keys, or approximate-quantile splits otherwise;
 2. a running sum *within* (partition, bucket) -- a window whose partitions are
    the buckets, so the work spreads over B tasks;
 3. an exclusive prefix over the per-bucket totals -- a table of at most
@@ -16,12 +16,14 @@ partial aggregation), so a value holding a third of all rows is one row here.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.session import materialize
+
 _B = "_bucket"
 
 
@@ -31,17 +33,27 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def quantile_bucket(df: DataFrame, col: str, n_buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``: a bucket index monotone in ``col`` with balanced bucket sizes.
+    """Add ``_bucket``: a bucket index monotone in ``col``, with buckets of about
+    equal numbers of rows of ``df``.
 
-    The splits come from one approximate-quantile pass (bounded state); the
-    bucket lookup itself is a JVM binary search (Bucketizer).
+    The split points are one ``percentile_approx`` scalar subquery (bounded
+    sketch, planned lazily with the query, evaluated once); the lookup is a
+    binary search unrolled into log2(n_buckets) projections, so each row costs
+    that many comparisons inside generated code.
     """
     nb = n_buckets or default_buckets(df)
-    tmp = "_qb_in"
-    src = df.withColumn(tmp, F.col(col).cast("double"))
-    model = QuantileDiscretizer(numBuckets=nb, inputCol=tmp, outputCol=_B,
-                                relativeError=1.0 / (4 * nb), handleInvalid="keep").fit(src)
-    return model.transform(src).withColumn(_B, F.col(_B).cast("int")).drop(tmp)
+    k = max(1, math.ceil(math.log2(nb)))
+    width = (1 << k) - 1                                   # split count
+    probs = [i / float(width + 1) for i in range(1, width + 1)]
+    v = F.col(col).cast("double")
+    splits = df.select(F.percentile_approx(v, probs, 4 * (width + 1)).alias("s")).scalar()
+    n = F.size(splits)
+    d = df.withColumn(_B, F.lit(0))
+    for i in range(k):                       # binary search: count of splits <= v
+        half = F.lit(1 << (k - 1 - i))
+        nxt = F.col(_B) + half
+        d = d.withColumn(_B, F.when((nxt <= n) & (F.element_at(splits, nxt) <= v), nxt).otherwise(F.col(_B)))
+    return d.withColumn(_B, F.col(_B).cast("int"))
 
 
 def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
@@ -62,8 +74,13 @@ def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Se
     keys = part_cols + [_B]
     w_in = (Window.partitionBy(*keys).orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_{c}_in") for c in sum_cols])
-    bt = d.groupBy(*keys).agg(*[F.sum(c).alias(f"_{c}_bt") for c in sum_cols])
+    w_bt = Window.partitionBy(*keys)
+    # Running sums and bucket totals come out of one Window operator, so the
+    # bucket-total branch below reuses the same exchange instead of
+    # recomputing the input.
+    d = d.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_{c}_in") for c in sum_cols],
+                 *[F.sum(c).over(w_bt).alias(f"_{c}_bt") for c in sum_cols])
+    bt = d.groupBy(*keys).agg(*[F.max(f"_{c}_bt").alias(f"_{c}_bt") for c in sum_cols])
     # At most (#groups x n_buckets) rows; without part_cols this window sees
     # n_buckets rows only.
     w_off = Window.partitionBy(*part_cols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
@@ -77,7 +94,8 @@ def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Se
     out = d.join(bt, on=keys, how="inner")
     for c in sum_cols:
         out = out.withColumn(f"{c}_before", F.col(f"_{c}_off") + F.col(f"_{c}_in"))
-    return out.drop(_B, *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols])
+    return out.drop(_B, *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols],
+                    *[f"_{c}_bt" for c in sum_cols])
 
 
 def pct_rank(df: DataFrame, value_col: str, out_col: str, part_cols: Sequence[str] = (),
@@ -87,6 +105,7 @@ def pct_rank(df: DataFrame, value_col: str, out_col: str, part_cols: Sequence[st
     part_cols = list(part_cols)
     vals = (df.where(F.col(value_col).isNotNull())
             .groupBy(*part_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
+    vals = materialize(vals)          # read by the sketch, the windows and the join
     vals = with_exclusive_prefix(vals, [value_col], ["_n"], part_cols,
                                  n_buckets=n_buckets, totals=True)
     vals = vals.select(*part_cols, value_col,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.sources.tables import load
+from glossa.sources.tables import load, load_spread
 
 # --- fixed values ------------------------------------------------------------
 # Synthetic score models: (model, multiplier, offset); m2 misses every 50th doc.
@@ -38,12 +38,13 @@ FOLD_MODELS = (
 # -----------------------------------------------------------------------------
 
 
-def _docs(spark, sf):
-    return load(spark, sf, "documents")
+def _docs(spark, sf, text=False):
+    """``documents``; hash-spread first only when the caller does text work."""
+    return load_spread(spark, sf, "documents", "doc_id") if text else load(spark, sf, "documents")
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf).select("doc_id", "lang", "text")
+    d = _docs(spark, sf, text=True).select("doc_id", "lang", "text")
     lab = load(spark, sf, "labels").select("doc_id", "toxic")
     ids = F.col("doc_id").cast("string")
     bot = F.col("doc_id") % 17 == 0
@@ -57,7 +58,7 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_labels(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf).select("doc_id", "text")
+    d = _docs(spark, sf, text=True).select("doc_id", "text")
     frac = lambda m: ((F.col("doc_id") * m) % 100) / F.lit(100.0)
     return d.select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"),
@@ -88,7 +89,7 @@ def views(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pool(spark: SparkSession, sf: str) -> DataFrame:
-    c = load(spark, sf, "conversations").select("conv_id", "turn", "text")
+    c = load_spread(spark, sf, "conversations", "conv_id").select("conv_id", "turn", "text")
     lang = (F.when(F.col("conv_id") % 4 == 0, "en").when(F.col("conv_id") % 4 == 1, "fr")
             .when(F.col("conv_id") % 4 == 2, "de").otherwise("es"))
     return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("comment_text"),

@@ -10,6 +10,7 @@ from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query, r6
 from glossa.functions import rand
+from glossa.session import materialize
 
 
 # ----------------------------------------------------------------------------- building blocks
@@ -215,9 +216,7 @@ def e03_prob_blend(spark, sf):
     + Q.pct_rank("roberta") + " AS rr, " + Q.pct_rank("xlm") + " AS rx, " + Q.pct_rank("bert") + " AS rb FROM fam)",
     "fold_scores", ctes=_FAM_SQL))
 def e04_rank_blend(spark, sf):
-    d = families(spark, sf)
-    for fam in ("roberta", "xlm", "bert"):
-        d = pct_rank(d, fam, fam + "_r").drop(fam).withColumnRenamed(fam + "_r", fam)
+    d = E.rank_columns(materialize(families(spark, sf)), ["roberta", "xlm", "bert"], suffix="")
     return d.select("id", r6(E.family_blend(None, "toxic")).alias("toxic"))
 
 

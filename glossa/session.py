@@ -24,6 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GLOSSA_DRIVER_MEMORY", "16g")))
     if master:
         b = b.master(master)
@@ -54,3 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Used where a derived table is read by several branches of a plan (e.g. the
+    value-count table of a global rank feeds a quantile sketch, a window and a
+    join): it is computed once, and the lineage is cut so a lost executor does
+    not recompute the whole upstream. Reliable ``checkpoint`` only -- never a
+    machine-local one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
