@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from glossa.functions import rand
 from glossa.functions import text as T
 from glossa.operators.scale import row_number_by_uniform
+from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 SEED = 42
@@ -130,7 +131,9 @@ def length_router(df: DataFrame, pool: DataFrame, id_col="id", text_col="comment
     n = token_length("text")
     route = (F.when(n > F.lit(LONG_FRACTION * MAX_LENGTH), "shuffle")
              .when(n < F.lit(SHORT_LENGTH), "mix").otherwise("keep"))
-    d = d.withColumn("route", route)
+    # Three branches read the routed rows; filters on ``route`` would otherwise
+    # re-inline the whole cleaning chain into every branch.
+    d = materialize(d.withColumn("route", route))
     longs = d.where(F.col("route") == "shuffle").withColumn("text", shuffle_sentences("text", F.col(id_col), seed))
     keeps = d.where(F.col("route") == "keep")
     shorts = synthetic_mix(d.where(F.col("route") == "mix"), pool, id_col, "text", label_col, seed)

@@ -62,11 +62,12 @@ def calibrate(df: DataFrame, score_col: str, by: Sequence[str] = (), target=CALI
 
 
 def wide_inner(long_df: DataFrame, id_col: str, name_col: str, value_col: str,
-               names: Sequence[str], rename: Mapping[str, str] | None = None) -> DataFrame:   # J4
+               names: Sequence[str], rename: Mapping[str, str] | None = None,
+               carry: Sequence[str] = ()) -> DataFrame:                                        # J4
     """N-way inner join of per-name score files on ``id``: one row per id present
-    in every file, a column per name."""
+    in every file, a column per name (``carry`` columns: their non-null max)."""
     rename = dict(rename or {})
-    aggs = []
+    aggs = [F.max(c).alias(c) for c in carry]
     for n in names:
         hit = F.col(name_col) == F.lit(n)
         aggs.append(F.max(F.when(hit, F.col(value_col))).alias(rename.get(n, n)))
@@ -117,16 +118,19 @@ def family_blend(fams: DataFrame, out="toxic") -> Column:
     return (num / F.lit(sum(w for _, w in FAMILY_WEIGHTS))).alias(out)
 
 
-def rank_columns(df: DataFrame, cols: Sequence[str], suffix="_rank", id_col="id") -> DataFrame:   # W1 xN
-    """W1 of several columns of one table. Each rank is computed from the table
-    itself (not from the previous rank's output) and joined back on ``id`` --
-    chaining would nest every rank plan inside the next. Pass a materialized
-    table when it is expensive to recompute."""
-    out = df
-    for c in cols:
-        r = pct_rank(df.select(id_col, c), c, "_r").select(id_col, F.col("_r").alias(c + suffix))
-        out = out.drop(c + suffix).join(r, id_col, "inner") if suffix else out.drop(c).join(r, id_col, "inner")
-    return out
+def rank_long(long_df: DataFrame, name_col: str, value_col: str, out: str) -> DataFrame:   # W1 xN
+    """W1 of every named score series of a long ``(id, name, value)`` table in
+    one pass: one value-count table (partitioned by name), one checkpoint, one
+    prefix-sum plan -- instead of one of each per series."""
+    return pct_rank(long_df, value_col, out, part_cols=[name_col])
+
+
+def rank_columns(df: DataFrame, cols: Sequence[str], id_col="id", suffix="_rank") -> DataFrame:   # W1 xN
+    """``id`` plus the W1 rank of each of ``cols`` (null where the value is null)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_v")) for c in cols])
+    long = df.select(id_col, F.explode(pairs).alias("_p")).select(id_col, "_p._name", "_p._v")
+    r = rank_long(long, "_name", "_v", "_r")
+    return r.groupBy(id_col).agg(*[F.max(F.when(F.col("_name") == c, F.col("_r"))).alias(c + suffix) for c in cols])
 
 
 def lang_routed(base: DataFrame, lang_scores: DataFrame, base_col="toxic", out="pred",
@@ -142,12 +146,22 @@ def lang_routed(base: DataFrame, lang_scores: DataFrame, base_col="toxic", out="
     return d.withColumn(out, expr.otherwise(F.col(base_col))).drop(*models)
 
 
-def final_rank_blend(ranks: Mapping[str, DataFrame], out="blend") -> DataFrame:             # E7
-    """Inner join of ranked inputs on id, weighted by FINAL_WEIGHTS."""
+def final_rank_blend(scores: Mapping[str, DataFrame], out="blend", carry: Sequence[str] = ("lang",)) -> DataFrame:   # E7
+    """Rank each input ``(id, value[, carry])`` over its own ids (W1), inner-join
+    them on id and weight by FINAL_WEIGHTS. The inputs are stacked into one long
+    table, so the four ranks share one pass and the four-way join is one
+    conditional aggregation on id."""
     names = [n for n, _ in FINAL_WEIGHTS]
-    d = reduce(lambda a, b: a.join(b, "id", "inner"), [ranks[n] for n in names])
-    expr = reduce(lambda a, b: a + b, [F.lit(w) * F.col(n) for n, w in FINAL_WEIGHTS])
-    return d.withColumn(out, expr)
+    parts = []
+    for n in names:
+        d = scores[n]
+        extra = [F.col(c) if c in d.columns else F.lit(None).cast("string").alias(c) for c in carry]
+        parts.append(d.select("id", F.lit(n).alias("_name"), F.col("value").cast("double").alias("_v"), *extra))
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    ranked = rank_long(long, "_name", "_v", "_r")
+    w = wide_inner(ranked, "id", "_name", "_r", names, carry=carry)
+    expr = reduce(lambda a, b: a + b, [F.lit(wt) * F.col(n) for n, wt in FINAL_WEIGHTS])
+    return w.withColumn(out, expr)
 
 
 def post_process(blend: DataFrame, texts: DataFrame, clusters: DataFrame,

@@ -32,16 +32,21 @@ def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
     return top.select("token", (F.row_number().over(w) + F.lit(UNK)).cast("int").alias("token_id"))
 
 
-def encode_ids(df: DataFrame, key_col: str, tokens_col: str, vocab: DataFrame,
+def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
                carry: Sequence[str] = (), vocab_size: int | None = None,
                out_col: str = "raw_ids") -> DataFrame:
-    """Map each token array to ids (unknown = 3), keeping token order.
-
-    Returns ``key_col, *carry, out_col``; ``carry`` columns must be functionally
-    dependent on ``key_col``."""
+    """Map each document's tokens to ids (unknown = 3), keeping token order.
+
+    ``tokens`` is a column name or a Column expression over ``df`` (e.g.
+    ``word_tokens('comment_text')``); it is evaluated *after* the rows are
+    hash-partitioned by ``key_col``, so the per-row tokenising runs spread over
+    all tasks and the explode -> join -> re-collect needs no further shuffle.
+    Returns ``key_col, *carry, out_col``; ``carry`` columns must be
+    functionally dependent on ``key_col``."""
     carry = list(carry)
-    parts = df.select(key_col, *carry, tokens_col).repartition(key_col)
-    ex = parts.select(key_col, *carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    tok = F.col(tokens) if isinstance(tokens, str) else tokens
+    parts = df.repartition(key_col)
+    ex = parts.select(key_col, *carry, F.posexplode_outer(tok).alias("pos", "token"))
     v = vocab.select("token", "token_id")
     if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_MAX:
         v = F.broadcast(v)

@@ -34,13 +34,15 @@ def mono_blend(spark, sf):
 
 
 def final_blend(spark, sf):
-    """Four ranked inputs, inner joined on id."""
+    """Four inputs, each ranked over its own ids, inner joined on id."""
     sc = X.scores(spark, sf)
-    single = _rank_of(sc.where(F.col("model") == "m0").select("id", "toxic"), "toxic", "single_roberta")
-    mlm = mlm_rank(spark, sf).select("id", "mlm")
-    mono = pct_rank(mono_blend(spark, sf), "pred", "mono").select("id", "lang", "mono")
-    mas = _rank_of(sc.where(F.col("model") == "m2").select("id", "toxic"), "toxic", "mas")
-    return E.final_rank_blend({"single_roberta": single, "mlm": mlm, "mono": mono, "mas": mas})
+    w = E.wide_inner(sc, "id", "model", "toxic", ["m0", "m1"], rename={"m0": "mlm1", "m1": "mlm2"})
+    return E.final_rank_blend({
+        "single_roberta": sc.where(F.col("model") == "m0").select("id", F.col("toxic").alias("value")),
+        "mlm": w.select("id", ((F.col("mlm1") + F.col("mlm2")) / F.lit(2.0)).alias("value")),
+        "mono": mono_blend(spark, sf).select("id", "lang", F.col("pred").alias("value")),
+        "mas": sc.where(F.col("model") == "m2").select("id", F.col("toxic").alias("value")),
+    })
 
 
 def post_processed(spark, sf):
@@ -216,7 +218,7 @@ def e03_prob_blend(spark, sf):
     + Q.pct_rank("roberta") + " AS rr, " + Q.pct_rank("xlm") + " AS rx, " + Q.pct_rank("bert") + " AS rb FROM fam)",
     "fold_scores", ctes=_FAM_SQL))
 def e04_rank_blend(spark, sf):
-    d = E.rank_columns(materialize(families(spark, sf)), ["roberta", "xlm", "bert"], suffix="")
+    d = E.rank_columns(families(spark, sf), ["roberta", "xlm", "bert"], suffix="")
     return d.select("id", r6(E.family_blend(None, "toxic")).alias("toxic"))
 
 

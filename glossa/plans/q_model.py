@@ -55,9 +55,10 @@ def m03_scoring_matrix(spark, sf):
     from glossa.plans.q_tokens import MAX_LEN, VOCAB_SIZE, tokenised
     t = tokenised(spark, sf)
     vocab = V.build_vocab(t, "toks", VOCAB_SIZE)
-    clean = X.comments(spark, sf).select("id", K.word_tokens(T.clean_text_mono("comment_text")).alias("toks"))
-    views = [("orig", V.encode_ids(t, "id", "toks", vocab, vocab_size=VOCAB_SIZE)),
-             ("clean", V.encode_ids(clean, "id", "toks", vocab, vocab_size=VOCAB_SIZE))]
+    c = X.comments(spark, sf)
+    views = [("orig", V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, vocab_size=VOCAB_SIZE)),
+             ("clean", V.encode_ids(c, "id", K.word_tokens(T.clean_text_mono("comment_text")), vocab,
+                                    vocab_size=VOCAB_SIZE))]
     parts = []
     for view, enc in views:
         ids = K.with_marks("raw_ids", MAX_LEN, True)

@@ -29,9 +29,10 @@ def tokenised(spark, sf):
 
 
 def encoded(spark, sf):
-    t = tokenised(spark, sf)
-    vocab = V.build_vocab(t, "toks", VOCAB_SIZE)
-    return V.encode_ids(t, "id", "toks", vocab, carry=["lang", "toxic"], vocab_size=VOCAB_SIZE)
+    vocab = V.build_vocab(tokenised(spark, sf), "toks", VOCAB_SIZE)
+    c = X.comments(spark, sf)
+    return V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, carry=["lang", "toxic"],
+                        vocab_size=VOCAB_SIZE)
 
 
 def split_windows(spark, sf):
