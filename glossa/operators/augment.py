@@ -107,7 +107,7 @@ def synthetic_mix(rows: DataFrame, pool: DataFrame, id_col="id", text_col="text"
         F.transform(_seq(F.col("_n_nt")), lambda j: F.struct(F.lit(0).alias("cls"), j.alias("j"))),
         F.transform(_seq(F.col("_n_t")), lambda j: F.struct(F.lit(1).alias("cls"), j.alias("j"))))
     carry = [c for c in rows.columns if c not in (id_col, text_col)]
-    ex = m.select(id_col, *carry, F.col(text_col).alias("_self"), "_n0", "_n1", F.explode(plan).alias("d"))
+    ex = m.select(id_col, *carry, F.col(text_col).alias("_self"), "_n0", "_n1", F.explode_outer(plan).alias("d"))
     cls, j = F.col("d.cls"), F.col("d.j")
     size = F.when(cls == 0, F.col("_n0")).otherwise(F.col("_n1"))
     ex = ex.select(id_col, *carry, F.when(cls < 0, F.col("_self")).alias("_self"),

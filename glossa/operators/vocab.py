@@ -24,7 +24,10 @@ BROADCAST_VOCAB_MAX = 2_000_000
 
 def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
     """``(token, token_id)`` for the ``size`` most frequent tokens."""
-    counts = (df.select(F.explode(tokens_col).alias("token"))
+    # explode_outer + a filter on the generated column: an inner explode makes
+    # Catalyst infer ``size(tokens) > 0`` and push it below the projection,
+    # which would evaluate the whole tokeniser twice per row.
+    counts = (df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)     # top-k: the feature
     # ``size`` rows at most, so the ordering window runs on a bounded table.
