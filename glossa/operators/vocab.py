@@ -37,7 +37,7 @@ def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
 
 def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
                carry: Sequence[str] = (), vocab_size: int | None = None,
-               out_col: str = "raw_ids") -> DataFrame:
+               out_col: str = "raw_ids", partitioned: bool = False) -> DataFrame:
     """Map each document's tokens to ids (unknown = 3), keeping token order.
 
     ``tokens`` is a column name or a Column expression over ``df`` (e.g.
@@ -45,10 +45,12 @@ def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
     hash-partitioned by ``key_col``, so the per-row tokenising runs spread over
     all tasks and the explode -> join -> re-collect needs no further shuffle.
     Returns ``key_col, *carry, out_col``; ``carry`` columns must be
-    functionally dependent on ``key_col``."""
+    functionally dependent on ``key_col``. Pass ``partitioned=True`` when ``df``
+    is already ``repartition(key_col)`` (e.g. shared with the vocabulary build,
+    so both read one exchange)."""
     carry = list(carry)
     tok = F.col(tokens) if isinstance(tokens, str) else tokens
-    parts = df.repartition(key_col)
+    parts = df if partitioned else df.repartition(key_col)
     ex = parts.select(key_col, *carry, F.posexplode_outer(tok).alias("pos", "token"))
     v = vocab.select("token", "token_id")
     if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_MAX:

@@ -29,10 +29,11 @@ def tokenised(spark, sf):
 
 
 def encoded(spark, sf):
-    vocab = V.build_vocab(tokenised(spark, sf), "toks", VOCAB_SIZE)
-    c = X.comments(spark, sf)
+    # one exchange by id feeds both the vocabulary count and the encoding
+    c = X.comments(spark, sf).repartition("id")
+    vocab = V.build_vocab(c.select(K.word_tokens("comment_text").alias("toks")), "toks", VOCAB_SIZE)
     return V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, carry=["lang", "toxic"],
-                        vocab_size=VOCAB_SIZE)
+                        vocab_size=VOCAB_SIZE, partitioned=True)
 
 
 def split_windows(spark, sf):

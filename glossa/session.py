@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,25 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``glossa`` importable in Python workers (needed by the few
+    ``mapInPandas`` steps) by adding a zip of the package with ``addPyFile``;
+    Spark distributes it to every executor. Done once per SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, "_glossa_shipped", False):
+        return
+    import glossa
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(glossa.__file__))
+    root = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="glossa-pyfiles-"), "glossa.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    sc._glossa_shipped = True

@@ -68,12 +68,14 @@ def _cast_frame(pdf: pd.DataFrame, schema: StructType) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def read_zipped_csv(spark: SparkSession, pattern: str, schema: StructType | str,
-                    batch_rows: int = 50_000) -> DataFrame:                                            # S2
-    """Rows of every ``*.csv`` member of the zip archives matching ``pattern``."""
+def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str,
+                    batch_rows: int = 50_000, file_glob: str = "*.zip") -> DataFrame:                # S2
+    """Rows of every ``*.csv`` member of the zip archives under ``path`` (a
+    folder, filtered by ``file_glob``, or a single archive)."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    files = spark.read.format("binaryFile").load(pattern).select("content")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
+             .load(path).select("content"))
 
     def unzip(batches):
         for pdf in batches:
