@@ -43,8 +43,10 @@ def _docs(spark, sf, text=False):
     return load_spread(spark, sf, "documents", "doc_id") if text else load(spark, sf, "documents")
 
 
-def comments(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf, text=True).select("doc_id", "lang", "text")
+def comments(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+    """Comments with labels. ``spread=False`` skips the hash-spread of an
+    under-split input, for callers that repartition the rows themselves."""
+    d = _docs(spark, sf, text=spread).select("doc_id", "lang", "text")
     lab = load(spark, sf, "labels").select("doc_id", "toxic")
     ids = F.col("doc_id").cast("string")
     bot = F.col("doc_id") % 17 == 0

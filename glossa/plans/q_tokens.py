@@ -29,11 +29,13 @@ def tokenised(spark, sf):
 
 
 def encoded(spark, sf):
-    # one exchange by id feeds both the vocabulary count and the encoding
-    c = X.comments(spark, sf).repartition("id")
-    vocab = V.build_vocab(c.select(K.word_tokens("comment_text").alias("toks")), "toks", VOCAB_SIZE)
+    # The vocabulary count needs no partitioning (partial counts per scan
+    # task); the encoding repartitions by id itself, which also spreads the
+    # tokeniser, so it skips the under-split spread.
+    vocab = V.build_vocab(tokenised(spark, sf).select("toks"), "toks", VOCAB_SIZE)
+    c = X.comments(spark, sf, spread=False)
     return V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, carry=["lang", "toxic"],
-                        vocab_size=VOCAB_SIZE, partitioned=True)
+                        vocab_size=VOCAB_SIZE)
 
 
 def split_windows(spark, sf):
