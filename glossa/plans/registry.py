@@ -31,5 +31,5 @@ def r6(c) -> Column:
 
 def load_all():
     from glossa.plans import (q_ensemble, q_io, q_labels, q_metrics, q_model,  # noqa: F401
-                              q_relational, q_sampling, q_text, q_tokens, q_augment)
+                              q_prepare, q_relational, q_sampling, q_text, q_tokens, q_augment)
     return QUERIES, ORACLE
