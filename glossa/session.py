@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -73,21 +76,32 @@ def materialize(df):
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``glossa`` importable in Python workers (needed by the few
-    ``mapInPandas`` steps) by adding a zip of the package with ``addPyFile``;
-    Spark distributes it to every executor. Done once per SparkContext."""
+    ``mapInPandas`` steps): a zip of the package is written once, through the
+    Hadoop file system, into the shared checkpoint folder and added with
+    ``addPyFile``, so every executor fetches the same file. Done once per
+    SparkContext; the file name carries a content hash."""
     sc = spark.sparkContext
     if getattr(sc, "_glossa_shipped", False):
         return
     import glossa
-    import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(glossa.__file__))
     root = os.path.dirname(pkg_dir)
-    archive = os.path.join(tempfile.mkdtemp(prefix="glossa-pyfiles-"), "glossa.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
-        for d, _, files in os.walk(pkg_dir):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, _, files in sorted(os.walk(pkg_dir)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(archive)
+    data = buf.getvalue()
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pyfiles/glossa-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(str(path.toString()))
     sc._glossa_shipped = True
