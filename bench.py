@@ -31,6 +31,7 @@ HEADLINE = [
     "au04_length_router",
     "u02_dedupe_keep_first",
     "m02_batch_score",
+    "d01_prepare_train_split",  # whole-file preparation: chunks -> encode -> windows
 ]
 
 

@@ -89,7 +89,8 @@ def synthetic_mix(rows: DataFrame, pool: DataFrame, id_col="id", text_col="text"
     """With probability ``p`` append random pool texts of the same language
     (label 0: 1-5 non-toxic; label 1: 0-2 non-toxic and 1-3 toxic) and shuffle
     the pieces; the label is unchanged. Rows keep all other columns."""
-    npool = numbered_pool(pool, seed)
+    # read twice below (class sizes, piece lookup): written once to shared storage
+    npool = materialize(numbered_pool(pool, seed))
     sizes = npool.groupBy("lang").agg(F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("_n0"),
                                       F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("_n1"))
     key = F.col(id_col)

@@ -109,9 +109,11 @@ def holdout_split(df: DataFrame, id_col: str, fraction: float = HOLDOUT_FRACTION
 
 
 def dedupe_keep_first(df: DataFrame, key_cols, id_col: str) -> DataFrame:                        # U2
-    """One row per ``key_cols``: the one with the smallest ``id_col``. Partial
-    aggregation collapses a hot key before the shuffle."""
+    """One row per ``key_cols``: the one with the smallest ``id_col`` (unique).
+    Partial aggregation collapses a hot key before the shuffle. Each column is
+    its own ``min_by`` on the id, so fixed-width columns keep the hash
+    aggregate (a struct buffer would force a sort-based one)."""
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     others = [c for c in df.columns if c not in key_cols]
-    g = df.groupBy(*key_cols).agg(F.min_by(F.struct(*others), F.col(id_col)).alias("_r"))
-    return g.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in others])
+    aggs = [F.min(id_col).alias(c) if c == id_col else F.min_by(c, F.col(id_col)).alias(c) for c in others]
+    return df.groupBy(*key_cols).agg(*aggs).select(*key_cols, *others)

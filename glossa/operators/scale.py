@@ -47,13 +47,15 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int | None = None) -> Da
     probs = [i / float(width + 1) for i in range(1, width + 1)]
     v = F.col(col).cast("double")
     splits = df.select(F.percentile_approx(v, probs, 4 * (width + 1)).alias("s")).scalar()
-    n = F.size(splits)
-    d = df.withColumn(_B, F.lit(0))
+    # The subquery is referenced once, in its own column: every reference would
+    # otherwise be a separate subquery that re-reads ``df`` to build a sketch.
+    d = df.withColumn("_splits", splits).withColumn(_B, F.lit(0))
+    n = F.size("_splits")
     for i in range(k):                       # binary search: count of splits <= v
         half = F.lit(1 << (k - 1 - i))
         nxt = F.col(_B) + half
-        d = d.withColumn(_B, F.when((nxt <= n) & (F.element_at(splits, nxt) <= v), nxt).otherwise(F.col(_B)))
-    return d.withColumn(_B, F.col(_B).cast("int"))
+        d = d.withColumn(_B, F.when((nxt <= n) & (F.element_at("_splits", nxt) <= v), nxt).otherwise(F.col(_B)))
+    return d.withColumn(_B, F.col(_B).cast("int")).drop("_splits")
 
 
 def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
