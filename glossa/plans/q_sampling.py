@@ -10,6 +10,7 @@ from glossa.operators import sampling as S
 from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query
+from glossa.session import materialize
 
 SEED = S.SEED
 U = Q.u(SEED, "id")
@@ -130,7 +131,8 @@ def g06_holdout_split(spark, sf):
     "pool", "comments", "scores", ctes=_CHUNKS))
 def g07_fold_routing(spark, sf):
     from glossa.operators.labels import pseudo_label
-    ch = chunks(spark, sf).withColumn("id", F.col("id").cast("string"))
+    # three routes read the chunk table: assign chunks once, from shared storage
+    ch = materialize(chunks(spark, sf).withColumn("id", F.col("id").cast("string")))
     c = X.comments(spark, sf)
     pseudo = pseudo_label(c.where(F.col("toxic").isNull()).select("id"),
                           X.scores(spark, sf).where(F.col("model") == "m0"))
