@@ -9,6 +9,7 @@ from glossa.operators import vocab as V
 from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query
+from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 VOCAB_SIZE = 2000
@@ -29,13 +30,18 @@ def tokenised(spark, sf):
 
 
 def encoded(spark, sf):
-    # The vocabulary count needs no partitioning (partial counts per scan
-    # task); the encoding repartitions by id itself, which also spreads the
-    # tokeniser, so it skips the under-split spread.
-    vocab = V.build_vocab(tokenised(spark, sf).select("toks"), "toks", VOCAB_SIZE)
-    c = X.comments(spark, sf, spread=False)
-    return V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, carry=["lang", "toxic"],
-                        vocab_size=VOCAB_SIZE)
+    """``id, lang, toxic, raw_ids``. Documents are exchanged by id once and the
+    regex tokeniser runs once, after that exchange; its output is checkpointed
+    and read by the vocabulary count and by the encoding. The checkpoint does
+    not carry the hash partitioning into the next plan (AQE plans are unknown
+    until run), but rows of one id still sit in one task, so the re-collect's
+    partial aggregation is complete there and only one compact id array per
+    document crosses the final exchange."""
+    c = X.comments(spark, sf, spread=False).repartition("id")
+    toks = materialize(c.select("id", "lang", "toxic", K.word_tokens("comment_text").alias("toks")))
+    vocab = V.build_vocab(toks.select("toks"), "toks", VOCAB_SIZE)
+    return V.encode_ids(toks, "id", "toks", vocab, carry=["lang", "toxic"], vocab_size=VOCAB_SIZE,
+                        partitioned=True)
 
 
 def split_windows(spark, sf):
