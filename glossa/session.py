@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
+         # checkpoint files of a DataFrame that is no longer referenced are removed
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GLOSSA_DRIVER_MEMORY", "16g")))
     if master:
