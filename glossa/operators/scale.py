@@ -60,17 +60,19 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int | None = None) -> Da
 
 def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                           part_cols: Sequence[str] = (), bucket: Column | None = None,
-                          n_buckets: int | None = None, totals: bool = False) -> DataFrame:
+                          n_buckets: int | None = None, totals: bool = False,
+                          bucket_col: str | None = None) -> DataFrame:
     """For each row add ``<c>_before``: sum of ``c`` over rows of the same
     ``part_cols`` group whose ``order_cols`` key is strictly smaller.
 
     ``(part_cols, order_cols)`` must be unique. ``bucket`` is an int Column that
-    is non-decreasing in the order key; default is quantile buckets of the first
-    order column. With ``totals`` also add ``<c>_total`` per group.
+    is non-decreasing in the order key; default is quantile buckets of
+    ``bucket_col`` (a numeric column non-decreasing in the order key; default
+    the first order column). With ``totals`` also add ``<c>_total`` per group.
     """
     part_cols = list(part_cols)
     if bucket is None:
-        d = quantile_bucket(df, order_cols[0], n_buckets)
+        d = quantile_bucket(df, bucket_col or order_cols[0], n_buckets)
     else:
         d = df.withColumn(_B, bucket.cast("int"))
     keys = part_cols + [_B]

@@ -12,23 +12,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.tokens import UNK
+from glossa.operators.scale import with_exclusive_prefix
+from glossa.session import materialize
 
 # Vocabularies up to this many entries are broadcast; larger ones use a
 # shuffled join (AQE splits hot tokens).
 BROADCAST_VOCAB_MAX = 2_000_000
 
 
-def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
-    """``(token, token_id)`` for the ``size`` most frequent tokens."""
+# Vocabularies up to this many entries are cut with a top-k (each task keeps
+# ``size`` rows, one task merges them); larger ones are ranked by the bucketed
+# row number of ``scale``, which has no single-task step.
+TAKE_ORDERED_VOCAB_MAX = 10_000
+
+
+def _order_bucket_key(n: Column, token: Column) -> Column:
+    """A double that is non-decreasing in the order ``(n desc, token asc)``:
+    ``-n * 2^48`` plus the first 6 UTF-8 bytes of the token read as a number
+    (byte order is Spark's string order; rounding keeps monotonicity). Tokens
+    of one count are therefore spread over buckets by their prefix."""
+    prefix = F.conv(F.rpad(F.hex(F.substring(F.encode(token, "UTF-8"), 1, 6)), 12, "0"), 16, 10)
+    return -n.cast("double") * F.lit(float(1 << 48)) + prefix.cast("double")
+
+
+def build_vocab(df: DataFrame, tokens_col: str, size: int, topk_max: int = TAKE_ORDERED_VOCAB_MAX) -> DataFrame:
+    """``(token, token_id)`` for the ``size`` most frequent tokens (ties by
+    token), id = rank + 3."""
     # explode_outer + a filter on the generated column: an inner explode makes
     # Catalyst infer ``size(tokens) > 0`` and push it below the projection,
     # which would evaluate the whole tokeniser twice per row.
     counts = (df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    if size > topk_max:
+        c = counts.withColumn("_neg_n", -F.col("n")).withColumn("_one", F.lit(1))
+        c = materialize(c.withColumn("_key", _order_bucket_key(F.col("n"), F.col("token"))))
+        c = with_exclusive_prefix(c, ["_neg_n", "token"], ["_one"], bucket_col="_key")
+        ranked = c.select("token", (F.col("_one_before") + F.lit(1)).alias("_rank"))
+        return ranked.where(F.col("_rank") <= size).select(
+            "token", (F.col("_rank") + F.lit(UNK)).cast("int").alias("token_id"))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)     # top-k: the feature
     # ``size`` rows at most, so the ordering window runs on a bounded table.
     w = Window.orderBy(F.desc("n"), F.asc("token"))

@@ -85,3 +85,14 @@ def test_length_router_edges(spark, words, route):
                                  "id long, lang string, comment_text string, toxic int")
     got = AU.length_router(df, pool).collect()
     assert len(got) == 1 and got[0].route == route
+
+
+def test_vocab_ranked_path_equals_top_k(spark):
+    # counts with heavy ties (many tokens seen once, shared prefixes) and a
+    # multi-byte token; both paths must give the same ids
+    words = [f"w{i % 37}" for i in range(400)] + [f"rare{i}" for i in range(300)] + ["é", "é", "ab", "abc"]
+    df = spark.createDataFrame([(words[i:i + 7],) for i in range(0, len(words), 7)], "toks array<string>")
+    for size in (5, 40, 200, 1000):
+        a = sorted(V.build_vocab(df, "toks", size).collect())
+        b = sorted(V.build_vocab(df, "toks", size, topk_max=0).collect())
+        assert a == b and len(a) == min(size, len(set(words)))
