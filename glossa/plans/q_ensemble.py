@@ -9,8 +9,6 @@ from glossa.operators.scale import pct_rank
 from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query, r6
-from glossa.functions import rand
-from glossa.session import materialize
 
 
 # ----------------------------------------------------------------------------- building blocks
