@@ -12,8 +12,8 @@ substring operators (words: ``substring_dedup``; bytes: ``suffix_dedup``).
 Skew: minimisers frequent in a bounded sample are salted in step 1 (the sample
 chooses the plan, never the result), and step 1 streams through each minimiser
 with constant memory. In step 2 a bucket holds at most ``BUCKET`` super-k-mers;
-the windows of fuller buckets are spread by their own class and compared with a
-partial aggregate instead. No step drops or caps rows.
+the windows of fuller buckets are sorted across all tasks by range instead, and
+classes that run over the edge of a range are settled from one row per range. No step drops or caps rows.
 """
 
 from __future__ import annotations
@@ -191,6 +191,7 @@ def _first_batch(mini, o, v, start, n):
 _PACKED = "mini long, full boolean, o long, v int, start int, n int, packed binary"
 _SPAN = "o long, v int, start int, n int"
 _WINDOW = "a long, b long, o long, v int, start int"
+_WALKED = "kind int, a long, b long, o long, v int, start int"
 
 
 def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
@@ -203,14 +204,15 @@ def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
     cold = (packed.where(~F.col("full")).repartition("mini").sortWithinPartitions("mini")
             .mapInArrow(_sort_windows(unit), _SPAN))
     windows = packed.where("full").mapInArrow(_name_windows(unit), _WINDOW)
-    place = F.struct("o", "v", "start")
-    least = windows.groupBy("a", "b").agg(F.min("o").alias("o1"), F.max("o").alias("o2"), F.min(place).alias("first"),
-                                          F.count(F.lit(1)).alias("c"))
-    if unit.by_document:
-        later = windows.join(least.where("o1 < o2"), ["a", "b"]).where("o > o1")
-    else:
-        later = windows.join(least.where("c > 1"), ["a", "b"]).where(place > F.col("first"))
-    return cold.unionByName(later.select("o", "v", "start", F.lit(1).alias("n")))
+    place = ["o", "v", "start"]
+    keys = ["a", "b", *place]
+    ranged = stored(windows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_walk_windows(unit), _WALKED), "walked")
+    # a class may run over several partitions: the first places of their first and last classes settle those left open
+    least = ranged.where("kind = 2").groupBy("a", "b").agg(F.min("o").alias("o1"), F.min(F.struct(*place)).alias("first"))
+    later = F.col("o") > F.col("o1") if unit.by_document else F.struct(*place) > F.col("first")
+    settled = ranged.where("kind = 1").join(least, ["a", "b"]).where(later)
+    return (cold.unionByName(ranged.where("kind = 0").select(*place, F.lit(1).alias("n")))
+            .unionByName(settled.select(*place, F.lit(1).alias("n"))))
 
 
 def _pack(unit: Unit):
@@ -268,6 +270,41 @@ def _name_windows(unit: Unit):
     return run
 
 
+def _walk_windows(unit: Unit):
+    """Streams windows sorted by (a, b, o, v, start). ``kind`` 0: repeats; 1: not repeats as far as this
+    partition shows, though its first class may have begun before; 2: first places of its first and last class."""
+    def run(batches):
+        last, opening = None, True           # class and first place so far; still in the partition's first class
+        for batch in batches:
+            a, b, o, v, start = (c.to_numpy() for c in batch.columns)
+            if not len(a):
+                continue
+            new = np.empty(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            new[0] = last is None or (a[0], b[0]) != last[:2]
+            at = np.maximum.accumulate(np.where(new, np.arange(len(a)), -1))
+            first = [np.where(at >= 0, x[at], x0) for x, x0 in zip((o, v, start), last[2:] if last else (0, 0, 0))]
+            if unit.by_document:
+                repeat = o > first[0]
+            else:
+                repeat = (o != first[0]) | (v != first[1]) | (start != first[2])
+            is_open = (np.cumsum(new) <= (1 if last is None else 0)) if opening else np.zeros(len(a), bool)
+            if last is None:
+                yield _walked(2, *(x[:1] for x in (a, b, o, v, start)))
+            yield _walked(0, *(x[repeat] for x in (a, b, o, v, start)))
+            yield _walked(1, *(x[is_open & ~repeat] for x in (a, b, o, v, start)))
+            opening = bool(is_open[-1])
+            last = (a[-1], b[-1], *(x[-1] for x in first))
+        if last is not None:
+            yield _walked(2, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int64, np.int32, np.int32))))
+    return run
+
+
+def _walked(kind, *columns):
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *map(pa.array, columns)],
+                                      names=["kind", "a", "b", "o", "v", "start"])
+
+
 def _sort_windows(unit: Unit):
     """Buckets arrive one after the other; whole buckets are sorted together."""
     def run(batches):
