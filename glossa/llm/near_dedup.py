@@ -9,8 +9,8 @@ second permutation, and a signature is a running minimum over slices. ``BANDS``
 
 Documents with equal sets are one node. In a bucket not all pairs are compared: first
 each node with one pivot, then with the pivots of all its buckets, and then, where a
-bucket still holds several components, every pair across components. Pairs inside a component
-add nothing to it, so no link between different components is left out.
+bucket still holds several components, the members across components, block by block inside
+tasks. Pairs inside a component add nothing to it, so no link between components is left out.
 
 Defined results: words are lower-cased in A-Z; with fewer than five words the whole sequence
 is the one shingle; a null or wordless text has an empty set, is linked with nothing and kept;
@@ -36,6 +36,7 @@ SHINGLE_WORDS = 5
 PERCENT = 75               # least Jaccard similarity of a link
 BANDS, BAND_ROWS = 60, 6
 UNIVERSE = 1 << 20
+BLOCK = 512                # members of a bucket on each side of a comparison
 SEED = 20_011
 _U = np.uint64
 
@@ -134,7 +135,7 @@ def _link(buckets: DataFrame, texts: DataFrame) -> DataFrame:
     members = buckets.select("key", "s", "n")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "s long, c long")
-    for step in (_one_pivot, _all_pivots, _all_across):
+    for step in (_one_pivot, _all_pivots, _across(texts)):
         now = members.join(labels, "s", "left").select("key", "s", "n", F.coalesce("c", "s").alias("c"))
         found = _confirmed(step(now), texts)
         links = stored(links.unionByName(found), "links")
@@ -157,16 +158,70 @@ def _all_pivots(now: DataFrame) -> DataFrame:
     return _with_pivot(now).select(F.col("s").alias("a"), F.col("p.s").alias("b")).distinct()
 
 
-def _all_across(now: DataFrame) -> DataFrame:
-    """Every pair of one bucket in different components: the members outside the bucket's largest
-    component against all others."""
-    sizes = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("x"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    open_ = stored(now.join(largest.select("key", F.col("x.c").alias("most")), "key"), "open")
-    left = open_.where("c <> most").select("key", F.col("s").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = open_.select("key", F.col("s").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "most")
-    pairs = left.join(right, "key").where("ca <> cb and (cb = most or a < b)")
-    return pairs.where(_similar_size(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+def _across(texts: DataFrame):
+    """Pairs of one bucket in different components. Their sets meet in blocks of at most
+    ``2 * BLOCK`` members and are compared there as a matrix product, so only similar pairs
+    leave the task. Sets travel as 32-bit hashes, whose collisions can only add a pair; all
+    pairs are confirmed afterwards."""
+    def step(now: DataFrame) -> DataFrame:
+        open_ = now.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2")
+        open_ = stored(now.join(open_.select("key", "m"), "key"), "open")
+        sets = texts.join(open_.select("s").distinct(), "s", "left_semi").mapInArrow(_short_sets, "s long, x binary")
+        blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+        d = open_.withColumn("own", F.pmod(F.xxhash64("s"), blocks).cast("int"))
+        d = d.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        d = d.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "s", "c")
+        d = d.join(sets, "s").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "s")
+        return d.select("key", "i", "j", "own", "s", "c", "x").mapInArrow(_compare_blocks, "a long, b long").distinct()
+    return step
+
+
+def _short_sets(batches):
+    for whole in batches:
+        for k in range(0, whole.num_rows, 1_000):
+            batch = whole.slice(k, 1_000)
+            x = [np.unique((shingle_set(t) >> _U(32)).astype(np.uint32)).tobytes() for t in utf8_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("s"), pa.array(x, pa.binary())], names=["s", "x"])
+
+
+def _compare_blocks(batches):
+    """Rows arrive block by block; a block is compared when its last row is there."""
+    group, rows = None, []
+    for batch in batches:
+        key, i, j, own, s, c = (batch.column(n).to_numpy() for n in ("key", "i", "j", "own", "s", "c"))
+        for r, x in enumerate(utf8_column(batch, "x")):
+            g = (key[r], i[r], j[r])
+            if g != group:
+                if rows:
+                    yield _similar_pairs(rows, group)
+                group, rows = g, []
+            rows.append((own[r], s[r], c[r], np.frombuffer(bytes(x), np.uint32)))
+    if rows:
+        yield _similar_pairs(rows, group)
+
+
+def _similar_pairs(rows, group) -> pa.RecordBatch:
+    own, s, c = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+    size = np.array([len(r[3]) for r in rows], np.int64)
+    member = np.repeat(np.arange(len(rows)), size)
+    _, place, often = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True)
+    shared = often[place] > 1                               # a shingle of one member adds to no intersection
+    column = (np.cumsum(often > 1) - 1)[place[shared]]
+    member = member[shared]
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], member[order]
+    both = np.zeros((len(rows), len(rows)), np.float32)
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, 2_048):
+        a, b = np.searchsorted(column, (k, k + 2_048))
+        part = np.zeros((len(rows), 2_048), np.float32)
+        part[member[a:b], column[a:b] - k] = 1
+        both += part @ part.T
+    union = size[:, None] + size[None, :] - both
+    hit = np.triu(100 * both >= PERCENT * union, 1) & (c[:, None] != c[None, :])
+    if group[1] != group[2]:                                # pairs inside a block belong to its own group
+        hit &= own[:, None] != own[None, :]
+    x, y = np.nonzero(hit)
+    return pa.RecordBatch.from_arrays([pa.array(s[x]), pa.array(s[y])], names=["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
