@@ -73,10 +73,12 @@ def one_hot(label) -> Column:                                           # K8
     return F.array(F.lit(1.0) - y, y)
 
 
-def mlm_inputs_and_labels(ids, key, seed: int = 0) -> tuple[Column, Column]:   # K7
+def mlm_inputs_and_labels(ids, key, seed: int = 0, mask_id: int = MASK_ID,
+                          random_ids: tuple[int, int] = RANDOM_ID_RANGE) -> tuple[Column, Column]:   # K7
     """Masked-LM inputs and labels. Each position draws three md5 uniforms keyed by
     (seed, key, position): select (15 %, ids > 2 only), mask (90 % of selected),
-    random id (1/9 of masked). Labels are the id where selected, else -1."""
+    random id (1/9 of masked). ``mask_id`` and ``random_ids`` (from, below) belong to the
+    vocabulary; the defaults are the pretrained one's. Labels are the id where selected, else -1."""
     def u(i, tag):
         return rand.uniform(seed, key, i, tag)
 
@@ -89,9 +91,9 @@ def mlm_inputs_and_labels(ids, key, seed: int = 0) -> tuple[Column, Column]:   #
     def randomised(x, i):
         return masked(x, i) & (u(i, "rnd") < F.lit(MLM_RANDOM_P))
 
-    lo, hi = RANDOM_ID_RANGE
+    lo, hi = random_ids
     rid = lambda i: (F.floor(u(i, "rid") * F.lit(hi - lo)) + F.lit(lo)).cast("int")
     inputs = F.transform(_c(ids), lambda x, i: F.when(randomised(x, i), rid(i))
-                         .when(masked(x, i), F.lit(MASK_ID)).otherwise(x))
+                         .when(masked(x, i), F.lit(mask_id)).otherwise(x))
     labels = F.transform(_c(ids), lambda x, i: F.when(sel(x, i), x).otherwise(F.lit(-1)))
     return inputs, labels

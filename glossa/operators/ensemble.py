@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import text as T
-from glossa.operators.scale import pct_rank
+from glossa.operators.scale import null_safe_join, pct_rank
 
 # --- fixed values ------------------------------------------------------------
 CALIBRATION_MEAN = 0.21                      # calibrated files have this mean
@@ -55,7 +55,7 @@ def calibrate(df: DataFrame, score_col: str, by: Sequence[str] = (), target=CALI
     by = list(by)
     if by:
         means = df.groupBy(*by).agg(F.avg(score_col).alias("_mean"))
-        d = df.join(means, on=by, how="inner")     # one row per group; AQE broadcasts it
+        d = null_safe_join(df, means, by)     # one row per group; AQE broadcasts it
         return d.withColumn(score_col, F.col(score_col) / F.col("_mean") * F.lit(target)).drop("_mean")
     mean = df.select(F.avg(score_col)).scalar()    # scalar subquery, planned once
     return df.withColumn(score_col, F.col(score_col) / mean * F.lit(target))
@@ -146,9 +146,12 @@ def lang_routed(base: DataFrame, lang_scores: DataFrame, base_col="toxic", out="
     return d.withColumn(out, expr.otherwise(F.col(base_col))).drop(*models)
 
 
+RAW_INPUTS = ("mas",)       # already a rank blend (E4): enters the final blend as it is
+
+
 def final_rank_blend(scores: Mapping[str, DataFrame], out="blend", carry: Sequence[str] = ("lang",)) -> DataFrame:   # E7
-    """Rank each input ``(id, value[, carry])`` over its own ids (W1), inner-join
-    them on id and weight by FINAL_WEIGHTS. The inputs are stacked into one long
+    """Rank each input ``(id, value[, carry])`` over its own ids (W1) unless it is in
+    ``RAW_INPUTS``, inner-join them on id and weight by FINAL_WEIGHTS. The inputs are stacked into one long
     table, so the four ranks share one pass and the four-way join is one
     conditional aggregation on id."""
     names = [n for n, _ in FINAL_WEIGHTS]
@@ -158,7 +161,9 @@ def final_rank_blend(scores: Mapping[str, DataFrame], out="blend", carry: Sequen
         extra = [F.col(c) if c in d.columns else F.lit(None).cast("string").alias(c) for c in carry]
         parts.append(d.select("id", F.lit(n).alias("_name"), F.col("value").cast("double").alias("_v"), *extra))
     long = reduce(lambda a, b: a.unionByName(b), parts)
-    ranked = rank_long(long, "_name", "_v", "_r")
+    raw = F.col("_name").isin(*RAW_INPUTS)
+    ranked = rank_long(long.where(~raw), "_name", "_v", "_r").unionByName(
+        long.where(raw).withColumn("_r", F.col("_v")), allowMissingColumns=True)
     w = wide_inner(ranked, "id", "_name", "_r", names, carry=carry)
     expr = reduce(lambda a, b: a + b, [F.lit(wt) * F.col(n) for n, wt in FINAL_WEIGHTS])
     return w.withColumn(out, expr)

@@ -15,14 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions import rand
-from glossa.operators.scale import row_number_by_uniform
+from glossa.operators.scale import null_safe_join, row_number_by_uniform
 
 # --- fixed values ------------------------------------------------------------
 SEED = 5353
 N_FOLDS = 10                 # fold downsample modulus
 HOLDOUT_FRACTION = 0.1
-# ``take_shuffled`` caps up to this size run as a top-k (each task keeps n rows).
-TAKE_ORDERED_MAX = 10_000
 # -----------------------------------------------------------------------------
 
 
@@ -40,8 +38,6 @@ def shuffle_positions(df: DataFrame, id_col: str, seed: int = SEED, part_cols: S
 def take_shuffled(df: DataFrame, n: int, id_col: str, seed: int = SEED) -> DataFrame:          # L2 / L3
     """The first ``n`` rows of the seeded shuffle (all rows when fewer)."""
     d = with_shuffle_key(df, id_col, seed, "_u")
-    if n <= TAKE_ORDERED_MAX:
-        return d.orderBy("_u", id_col).limit(n).drop("_u")
     return row_number_by_uniform(d, "_u", [id_col], out_col="_rn").where(F.col("_rn") <= n).drop("_u", "_rn")
 
 
@@ -55,7 +51,7 @@ def class_balance(df: DataFrame, label_col: str, ratio: int, id_col: str, file_c
                                    F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_n"))
     caps = counts.select(*keys, F.least(F.col("_p") * F.lit(ratio), F.col("_n")).alias("_cap"))
     nn = shuffle_positions(neg, id_col, seed, keys, out="_rn")
-    nn = (nn.join(caps, keys, "inner") if keys else nn.withColumn("_cap", caps.select("_cap").scalar()))
+    nn = (null_safe_join(nn, caps, keys) if keys else nn.withColumn("_cap", caps.select("_cap").scalar()))
     return pos.unionByName(nn.where(F.col("_rn") <= F.col("_cap")).drop("_rn", "_cap"))
 
 
@@ -72,7 +68,7 @@ def stratified_chunks(df: DataFrame, strata_col: str, chunk_size: int, id_col: s
     # one row per stratum: the ordering window runs on that small table only
     w = Window.orderBy(strata_col).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(strata_col, F.coalesce(F.sum("_sn").over(w), F.lit(0)).alias("_off"))
-    d = shuffle_positions(df, id_col, seed, [strata_col], out="_rn").join(offs, strata_col, "inner")
+    d = null_safe_join(shuffle_positions(df, id_col, seed, [strata_col], out="_rn"), offs, [strata_col])
     chunk = F.when(k > 2, F.pmod(F.col("_off") + F.col("_rn") - 1, k)).otherwise(F.lit(0))
     return d.withColumn(out, chunk.cast("int")).drop("_rn", "_off")
 
@@ -92,8 +88,9 @@ def fold_downsample(df: DataFrame, fold: int, label_col: str, id_col: str, part_
 
 
 def equal_class_downsample(df: DataFrame, class_cols: Sequence[str], id_col: str, seed: int = SEED) -> DataFrame:   # G5
-    """Cut every class to the size of the smallest class."""
+    """Cut every class to the size of the smallest class. Rows without a class are left out first."""
     class_cols = list(class_cols)
+    df = df.dropna(subset=class_cols)
     smallest = df.groupBy(*class_cols).agg(F.count(F.lit(1)).alias("_c")).select(F.min("_c")).scalar()
     d = shuffle_positions(df, id_col, seed, class_cols, out="_rn")
     return d.where(F.col("_rn") <= smallest).drop("_rn")

@@ -27,6 +27,13 @@ from glossa.session import materialize
 _B = "_bucket"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key matches a null key, so grouped values find their rows again."""
+    other = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(other[f"_k_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def default_buckets(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(16, 2 * n)
@@ -94,8 +101,9 @@ def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Se
         offs += [F.sum(f"_{c}_bt").over(w_tot).alias(f"{c}_total") for c in sum_cols]
     bt = bt.select(*keys, *offs)
     if not part_cols:
-        bt = F.broadcast(bt)      # n_buckets rows: size is bounded by construction
-    out = d.join(bt, on=keys, how="inner")
+        out = d.join(F.broadcast(bt), on=keys, how="inner")      # n_buckets rows: size is bounded by construction
+    else:
+        out = null_safe_join(d, bt, keys)
     for c in sum_cols:
         out = out.withColumn(f"{c}_before", F.col(f"_{c}_off") + F.col(f"_{c}_in"))
     return out.drop(_B, *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols],
@@ -115,7 +123,7 @@ def pct_rank(df: DataFrame, value_col: str, out_col: str, part_cols: Sequence[st
     vals = vals.select(*part_cols, value_col,
                        ((F.col("_n_before") + (F.col("_n") + F.lit(1)) / F.lit(2.0))
                         / F.col("_n_total")).alias(out_col))
-    return df.join(vals, on=part_cols + [value_col], how="left")
+    return null_safe_join(df, vals, part_cols + [value_col], "left")
 
 
 def row_number_by_uniform(df: DataFrame, u_col: str, tie_cols: Sequence[str],

@@ -83,5 +83,9 @@ def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
     j = ex.join(v, on="token", how="left")
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("token_id"), F.lit(UNK)).alias("tid")))
-    g = j.groupBy(key_col, *carry).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    # every document has one row at position 0 (null when it has no token): two mean two documents
+    firsts = F.sum(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, 1).otherwise(0))
+    repeated = F.raise_error(F.concat(F.lit(f"encode_ids: {key_col} is not unique: "), F.first(F.col(key_col).cast("string"))))
+    items = F.array_sort(F.collect_list(item))
+    g = j.groupBy(key_col, *carry).agg(F.when(firsts > 1, repeated).otherwise(items).alias("_items"))
     return g.select(key_col, *carry, F.transform("_items", lambda s: s["tid"]).alias(out_col))

@@ -32,7 +32,7 @@ def mono_blend(spark, sf):
 
 
 def final_blend(spark, sf):
-    """Four inputs, each ranked over its own ids, inner joined on id."""
+    """Three inputs ranked over their own ids and ``mas`` as it is, inner joined on id."""
     sc = X.scores(spark, sf)
     w = E.wide_inner(sc, "id", "model", "toxic", ["m0", "m1"], rename={"m0": "mlm1", "m1": "mlm2"})
     return E.final_rank_blend({
@@ -85,7 +85,7 @@ mono_b AS (SELECT b.id, b.lang, b.toxic, {_routed_case()} AS pred FROM base b LE
 _FINAL_SQL = _MLM_SQL + ",\n" + _MONO_SQL + """,
 single AS (SELECT id, """ + Q.pct_rank("toxic") + """ AS single_roberta FROM scores WHERE model = 'm0'),
 mono AS (SELECT id, lang, """ + Q.pct_rank("pred") + """ AS mono FROM mono_b),
-mas AS (SELECT id, """ + Q.pct_rank("toxic") + """ AS mas FROM scores WHERE model = 'm2'),
+mas AS (SELECT id, toxic AS mas FROM scores WHERE model = 'm2'),
 fin AS (SELECT s.id, m.mlm, o.lang, o.mono, a.mas, s.single_roberta,
   0.08 * s.single_roberta + 0.29 * m.mlm + 0.44 * o.mono + 0.19 * a.mas AS blend
   FROM single s JOIN mlm m ON s.id = m.id JOIN mono o ON s.id = o.id JOIN mas a ON s.id = a.id)"""
@@ -123,11 +123,11 @@ def e05_mean_rank(spark, sf):
 
 
 @query("e06_lang_routed_blend", X.with_fixtures(
-    "SELECT id, lang, round(pred, 6) AS pred, round(r, 6) AS igor_blend_rank FROM mono", "scores", "lang_scores",
+    "SELECT id, lang, round(pred, 6) AS pred, round(r, 6) AS mono_rank FROM mono", "scores", "lang_scores",
     ctes=_MONO_SQL + ",\nmono AS (SELECT id, lang, pred, " + Q.pct_rank("pred") + " AS r FROM mono_b)"))
 def e06_lang_routed_blend(spark, sf):
     d = pct_rank(mono_blend(spark, sf), "pred", "r")
-    return d.select("id", "lang", r6("pred").alias("pred"), r6("r").alias("igor_blend_rank"))
+    return d.select("id", "lang", r6("pred").alias("pred"), r6("r").alias("mono_rank"))
 
 
 @query("w01_pct_rank", X.with_fixtures(

@@ -22,9 +22,9 @@ def p01_select_project(spark, sf):
     return d.select(F.col("doc_id").cast("string").alias("id"), "lang", F.col("text").alias("comment_text"))
 
 
-@query("p02_rename", "SELECT CAST(doc_id AS VARCHAR) AS id, lang, text AS content FROM documents WHERE source IS NOT NULL")
+@query("p02_rename", "SELECT CAST(doc_id AS VARCHAR) AS id, lang, text AS content FROM documents")
 def p02_rename(spark, sf):
-    d = load(spark, sf, "documents").where(F.col("source").isNotNull())
+    d = load(spark, sf, "documents")
     d = d.select("doc_id", "lang", "text").toDF("id", "lang", "content")
     return d.withColumn("id", F.col("id").cast("string"))
 

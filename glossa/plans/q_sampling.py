@@ -168,33 +168,40 @@ def u02_dedupe_keep_first(spark, sf):
     return d.select("comment_text", "id", "lang", L.round_label("toxic").alias("toxic"))
 
 
-CORPUS_CAP = 1_000_000
+# The first two corpora are shuffled and capped, the subset is whole. The cap of the query is small
+# enough to bite on every test table.
+CORPUS_CAP = 300
 
 
 @query("u03_mlm_corpus", X.with_fixtures(
-    "SELECT corpus, id, text FROM (SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY "
-    + Q.u(SEED, "corpus", "id") + ", id) AS rn FROM ("
-    "SELECT 'train' AS corpus, id, comment_text AS text FROM comments WHERE toxic IS NOT NULL "
-    "UNION ALL SELECT 'train', CAST(id AS VARCHAR), comment_text FROM pool "
-    "UNION ALL SELECT 'valid_test', id, comment_text FROM comments WHERE toxic IS NULL "
-    "UNION ALL SELECT 'subset', CAST(doc_id AS VARCHAR), text FROM documents WHERE source = 'src0')) "
-    f"WHERE rn <= {CORPUS_CAP}", "comments", "pool"))
+    "SELECT corpus, origin, id, text FROM (SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY "
+    + Q.u(SEED, "corpus", "origin", "id") + ", origin, id) AS rn FROM ("
+    "SELECT 'all' AS corpus, 'comments' AS origin, id, comment_text AS text FROM comments "
+    "UNION ALL SELECT 'all', 'pool', CAST(id AS VARCHAR), comment_text FROM pool "
+    "UNION ALL SELECT 'valid_test', 'comments', id, comment_text FROM comments WHERE toxic IS NULL "
+    "UNION ALL SELECT 'subset', 'documents', CAST(doc_id AS VARCHAR), text FROM documents WHERE source = 'src0' "
+    "UNION ALL SELECT 'subset', 'original', v.id, c.comment_text FROM views v JOIN comments c ON v.id = c.id WHERE v.original = 1)) "
+    f"WHERE corpus = 'subset' OR rn <= {CORPUS_CAP}", "comments", "pool", "views"))
 def u03_mlm_corpus(spark, sf):
+    return mlm_corpora(spark, sf, CORPUS_CAP)
+
+
+def mlm_corpora(spark, sf, cap):
+    """Train + valid + test and valid + test, each at most ``cap`` rows of a seeded shuffle, and
+    the uncapped subset (one source, and the original rows of the translated views)."""
     from glossa.sources.tables import load
     from glossa.operators.scale import row_number_by_uniform
     from glossa.functions import rand
-    c = X.comments(spark, sf)
-    parts = [
-        c.where(F.col("toxic").isNotNull()).select(F.lit("train").alias("corpus"), "id", F.col("comment_text").alias("text")),
-        X.pool(spark, sf).select(F.lit("train").alias("corpus"), F.col("id").cast("string").alias("id"),
-                                 F.col("comment_text").alias("text")),
-        c.where(F.col("toxic").isNull()).select(F.lit("valid_test").alias("corpus"), "id", F.col("comment_text").alias("text")),
-        load(spark, sf, "documents").where(F.col("source") == "src0").select(
-            F.lit("subset").alias("corpus"), F.col("doc_id").cast("string").alias("id"), "text"),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    u = u.withColumn("_u", rand.uniform(SEED, F.col("corpus"), F.col("id")))
-    u = row_number_by_uniform(u, "_u", ["id"], ["corpus"], out_col="_rn")
-    return u.where(F.col("_rn") <= CORPUS_CAP).select("corpus", "id", "text")
+    c = X.comments(spark, sf).select("id", F.col("comment_text").alias("text"), "toxic")
+
+    def leg(df, corpus, origin):
+        return df.select(F.lit(corpus).alias("corpus"), F.lit(origin).alias("origin"), F.col("id").cast("string").alias("id"), "text")
+    capped = (leg(c, "all", "comments")
+              .unionByName(leg(X.pool(spark, sf).withColumnRenamed("comment_text", "text"), "all", "pool"))
+              .unionByName(leg(c.where(F.col("toxic").isNull()), "valid_test", "comments")))
+    capped = capped.withColumn("_u", rand.uniform(SEED, F.col("corpus"), F.col("origin"), F.col("id")))
+    capped = row_number_by_uniform(capped, "_u", ["origin", "id"], ["corpus"], out_col="_rn")
+    original = X.views(spark, sf).where(F.col("original") == 1).select("id").join(c, "id")
+    src0 = load(spark, sf, "documents").where(F.col("source") == "src0").withColumnRenamed("doc_id", "id")
+    whole = leg(src0, "subset", "documents").unionByName(leg(original, "subset", "original"))
+    return capped.where(F.col("_rn") <= cap).select("corpus", "origin", "id", "text").unionByName(whole)

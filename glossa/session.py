@@ -43,8 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as given. Only
-    when it is unset (local tests) is a private folder created.
+    On a cluster this setting names shared storage and is used as given. When it
+    is unset, a local session gets a private folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="glossa-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

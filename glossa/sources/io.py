@@ -24,7 +24,9 @@ _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str) -> DataFrame:   # S1 / S3
     """Header CSV with a declared schema; ``path`` may be a glob or a list."""
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    d = spark.read.schema(schema).options(**_CSV).csv(path)
+    numbers = [f.name for f in d.schema.fields if f.dataType.simpleString() in ("double", "float")]
+    return d.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})      # a NaN cell is missing
 
 
 def write_csv(df: DataFrame, path: str) -> str:                                                      # S5
@@ -52,17 +54,21 @@ def read_chunks(spark: SparkSession, path: str, chunks: Iterable[int] | None = N
     return d if chunks is None else d.where(F.col(chunk_col).isin(list(chunks)))
 
 
+def _missing(x) -> bool:
+    return pd.isna(x) or x in ("", "NaN")
+
+
 def _cast_frame(pdf: pd.DataFrame, schema: StructType) -> pd.DataFrame:
     out = {}
     for f in schema.fields:
         s = pdf[f.name] if f.name in pdf.columns else pd.Series([None] * len(pdf), dtype=object)
         t = f.dataType.simpleString()
         if t in ("int", "bigint", "smallint", "tinyint"):
-            out[f.name] = pd.to_numeric(s.replace("", None), errors="coerce").astype("Int64")
+            out[f.name] = pd.array([None if _missing(x) else int(x) for x in s], dtype="Int64")
         elif t in ("double", "float"):
-            out[f.name] = pd.to_numeric(s.replace("", None), errors="coerce").astype("float64")
+            out[f.name] = pd.array([None if _missing(x) else float(x) for x in s], dtype="Float64")
         else:
-            out[f.name] = s.where(s.notna(), None)
+            out[f.name] = pd.Series([None if pd.isna(x) or x == "" else x for x in s], index=s.index, dtype=object)
         if t == "string":
             out[f.name] = out[f.name].astype(object)
     return pd.DataFrame(out)

@@ -63,3 +63,16 @@ def test_chunk_scan_prunes_partitions(spark):
     plan = sel._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "chunk" in plan
     assert sorted(r.chunk for r in sel.select("chunk").distinct().collect()) == [1, 3]
+
+
+def test_both_csv_readers_agree_on_awkward_cells(spark):
+    import pandas as pd
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("id long, t string, x double")
+    cells = pd.DataFrame({"id": ["9007199254740993", "", "7"], "t": ["", "a,b", "NaN"], "x": ["NaN", "0.5", ""]})
+    assert IO._cast_frame(cells, schema).astype(object).where(lambda d: d.notna(), None).values.tolist() == [
+        [9007199254740993, None, None], [None, "a,b", 0.5], [7, "NaN", None]]
+    path = scratch_path(spark, "t_awkward")
+    spark.createDataFrame(cells).coalesce(1).write.option("header", True).csv(path)
+    got = sorted(map(tuple, IO.read_csv(spark, path, schema).collect()), key=str)
+    assert got == sorted([(9007199254740993, None, None), (None, "a,b", 0.5), (7, "NaN", None)], key=str)

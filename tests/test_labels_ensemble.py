@@ -66,3 +66,14 @@ def test_wide_inner_drops_incomplete_ids(spark):
                                  "id string, name string, v double")
     got = E.wide_inner(long, "id", "name", "v", ["x", "y"]).collect()
     assert [(r.id, r.x, r.y) for r in got] == [("a", 0.1, 0.2)]
+
+
+def test_final_blend_ranks_three_inputs_and_takes_the_fourth_raw(spark):
+    def scores(*values):
+        return spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, value double")
+    blend = E.final_rank_blend({"single_roberta": scores(.1, .2, .3, .4), "mlm": scores(.9, .8, .7, .6),
+                                "mono": scores(.5, .5, .1, .9), "mas": scores(.05, .95, .5, .5)}, carry=())
+    got = [round(r.blend, 6) for r in blend.orderBy("id").collect()]
+    # .08 * rank + .29 * rank + .44 * rank + .19 * raw; ranks in quarters, the tie is 2.5 / 4
+    assert got == [round(x, 6) for x in (.08 * .25 + .29 * 1 + .44 * .625 + .19 * .05, .08 * .5 + .29 * .75 + .44 * .625 + .19 * .95,
+                                         .08 * .75 + .29 * .5 + .44 * .25 + .19 * .5, .08 * 1 + .29 * .25 + .44 * 1 + .19 * .5)]

@@ -93,3 +93,29 @@ def test_dedupe_keep_first(spark):
     df = spark.createDataFrame([(3, "a", 0.1), (1, "a", 0.9), (2, "b", 0.5)], "id long, t string, x double")
     got = sorted((r.t, r.id, r.x) for r in S.dedupe_keep_first(df, "t", "id").collect())
     assert got == [("a", 1, 0.9), ("b", 2, 0.5)]
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "en", i % 3 % 2) for i in range(12)], "id int, lang string, y int")
+    assert S.shuffle_positions(df, "id", part_cols=["lang"]).count() == 12
+    assert S.stratified_chunks(df, "lang", 3, "id").count() == 12
+    folds = [S.fold_downsample(df, f, "y", "id", n_folds=3).where("y = 0").count() for f in range(3)]
+    assert sum(folds) == 8
+    assert S.class_balance(df, "y", 1, "id", file_col="lang").where("lang is null").count() > 0
+    cut = S.equal_class_downsample(df, ["lang"], "id")
+    assert cut.count() == 6 and cut.where("lang is null").count() == 0
+
+
+def test_take_shuffled_beyond_ten_thousand(spark):
+    df = spark.range(12_000).withColumnRenamed("id", "k")
+    got = S.take_shuffled(df, 11_000, "k")
+    assert got.count() == got.distinct().count() == 11_000
+    assert got.exceptAll(S.take_shuffled(df, 11_500, "k")).isEmpty()
+
+
+def test_corpus_cap_spares_the_subset(spark):
+    from glossa.plans.q_sampling import mlm_corpora
+    from conftest import SF0001
+    sizes = {cap: dict(mlm_corpora(spark, SF0001, cap).groupBy("corpus").count().collect()) for cap in (20, 10 ** 9)}
+    assert sizes[20]["all"] == sizes[20]["valid_test"] == 20 < sizes[10 ** 9]["valid_test"]
+    assert sizes[20]["subset"] == sizes[10 ** 9]["subset"] > 20

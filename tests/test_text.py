@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import text as T
 
-# the specification, in Python regex terms
+# fixed values: the patterns of the specification, in Python regex terms
 PY = {
     "t1": lambda s: re.sub(r'[0-9"]', "", s),
     "t2": lambda s: re.sub(r"#[\S]+\b", "", s),
@@ -24,13 +24,6 @@ def py_clean(s):
     return s
 
 
-def py_dedupe(s):
-    out = []
-    for sent in re.split(r"(?<=[.!?])\s+", s):
-        sent = sent.strip()
-        if sent not in out:
-            out.append(sent)
-    return " ".join(out)
 
 
 ROWS = ["#", "##", "#é", "#tag!", "#a_b-", "@usér.", "mail @bob, #x1 end", "  a b \x1c",
@@ -40,8 +33,7 @@ ROWS = ["#", "##", "#é", "#tag!", "#a_b-", "@usér.", "mail @bob, #x1 end", " 
 
 def _apply(spark, fn, rows=ROWS):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string")
-    return [r[0] for r in df.select(fn("s")).orderBy(F.col("i")).collect()] if False else \
-        [r[1] for r in sorted(df.select("i", fn("s").alias("o")).collect())]
+    return [r[1] for r in sorted(df.select("i", fn("s").alias("o")).collect())]
 
 
 @pytest.mark.parametrize("key,fn", [("t1", T.strip_digits_quotes), ("t2", T.strip_hashtags),
@@ -58,12 +50,13 @@ def test_clean_text_matches_python(spark):
 def test_dedupe_sentences(spark):
     rows = ["Hi there.  Hi there. Bye!", "Hi there.\tHi   there. ok", "no stop mark at all", "",
             "A? A? B. A?"]
-    assert _apply(spark, T.dedupe_sentences, rows) == [py_dedupe(r) for r in rows]
+    assert _apply(spark, T.dedupe_sentences, rows) == [
+        "Hi there. Bye!", "Hi there. Hi   there. ok", "no stop mark at all", "", "A? B."]
 
 
 def test_clean_text_mono(spark):
     rows = ["  #tag Hi 12.  Hi 34.  ", "x"]
-    assert _apply(spark, T.clean_text_mono, rows) == [py_dedupe(py_clean(r)).strip() for r in rows]
+    assert _apply(spark, T.clean_text_mono, rows) == ["Hi .", "x"]
 
 
 def test_template_flag(spark):

@@ -8,29 +8,18 @@ from glossa.operators import augment as AU
 from glossa.operators import vocab as V
 
 
-def py_windows(ids, window=100, max_len=192):
-    if len(ids) < max_len:
-        return [ids + [1] * (max_len - len(ids))]
-    content, out, start = ids[1:-1], [], 0
-    while True:
-        cur = [0] + content[start:start + max_len - 2] + [2]
-        out.append(cur + [1] * (max_len - len(cur)))
-        if len(content[start:]) <= max_len - 2:
-            return out
-        start += window
-
-
-@pytest.mark.parametrize("n", [5, 191, 192, 193, 292, 293, 1000])
-def test_split_windows_match_loop(spark, n):
-    ids = [0] + list(range(10, 10 + n - 2)) + [2]
-    df = spark.createDataFrame([(ids,)], "ids array<int>")
+@pytest.mark.parametrize("n,starts", [(5, [0]), (191, [0]), (192, [0]), (193, [0, 100]), (292, [0, 100]), (293, [0, 100, 200]),
+                                      (1000, [0, 100, 200, 300, 400, 500, 600, 700, 800, 900])])
+def test_split_windows(spark, n, starts):
+    content = list(range(10, 10 + n - 2))
+    df = spark.createDataFrame([([0] + content + [2],)], "ids array<int>")
     got = df.select(F.posexplode(K.window_starts("ids", 192, 100)).alias("w", "s"), "ids") \
         .select("w", K.window_ids("ids", "s", 192).alias("x")).orderBy("w").collect()
-    want = py_windows(ids)
-    assert [r.x for r in got] == want
-    covered = {t for r in got for t in r.x if t >= 10}
-    assert covered == set(range(10, 10 + n - 2))
-    assert all(len(r.x) == 192 for r in got)
+    assert [r.x[1] for r in got] == [content[s] for s in starts]         # where each window begins
+    for r, s in zip(got, starts):
+        marks = [0] + content[s:s + 190] + [2]
+        assert r.x == marks + [1] * (192 - len(marks))
+    assert {t for r in got for t in r.x if t >= 10} == set(content)      # nothing is lost
 
 
 def test_marks_truncate_and_pad(spark):
@@ -96,3 +85,10 @@ def test_vocab_ranked_path_equals_top_k(spark):
         a = sorted(V.build_vocab(df, "toks", size).collect())
         b = sorted(V.build_vocab(df, "toks", size, topk_max=0).collect())
         assert a == b and len(a) == min(size, len(set(words)))
+
+
+def test_repeated_document_ids_raise(spark):
+    vocab = spark.createDataFrame([("x", 4), ("y", 5)], "token string, token_id int")
+    df = spark.createDataFrame([("a", ["x", "y"]), ("a", ["y"])], "id string, t array<string>")
+    with pytest.raises(Exception, match="not unique"):
+        V.encode_ids(df, "id", "t", vocab).collect()
