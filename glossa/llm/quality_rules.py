@@ -126,13 +126,13 @@ def _sql() -> str:
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS txt FROM documents),
 w AS (SELECT doc_id, txt,
-        list_filter(string_split_regex(txt, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws,
-        list_filter(string_split(txt, chr(10)), x -> translate(x, {blanks}, '') <> '') AS ls FROM t),
+        list_filter(string_split_regex(txt, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(txt, chr(10)), lambda x: translate(x, {blanks}, '') <> '') AS ls FROM t),
 s AS (SELECT doc_id, ws, len(ws) AS n_words, len(ls) AS n_lines,
         length(translate(txt, {blanks}, '')) AS word_chars,
         length(txt) - length(translate(txt, '{SYMBOLS}', '')) AS n_symbols,
         len(ls) - len(list_distinct(ls)) AS n_dup_lines,
-        len(list_filter(ws, x -> x IN ({stops}))) AS n_stop_words FROM w),
+        len(list_filter(ws, lambda x: x IN ({stops}))) AS n_stop_words FROM w),
 g AS (SELECT doc_id, p, ws[p] || ' ' || ws[p + 1] || ' ' || ws[p + 2] AS tri
       FROM (SELECT doc_id, ws, unnest(range(1, n_words - 1)) AS p FROM s)),
 r AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, tri) AS c FROM g),
