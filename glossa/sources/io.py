@@ -122,4 +122,5 @@ def write_zipped_csv(df: DataFrame, path: str) -> DataFrame:
         os.replace(tmp, target)
         yield pd.DataFrame({"path": [target], "rows": [len(pdf)]})
 
-    return df.mapInPandas(write, "path string, rows long")
+    # as text: pandas would turn integers with a null among them into doubles
+    return df.select(*[F.col(c).cast("string").alias(c) for c in cols]).mapInPandas(write, "path string, rows long")
