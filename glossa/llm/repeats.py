@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm.segments import BYTE_HASH, SLICE, gram_hashes, mix, super_kmers
-from glossa.llm.storage import stored
+from glossa.llm.storage import join_small, stored
 from glossa.llm.texts import utf8_column, word_bounds, word_hashes
 
 SAMPLE_DOCS = 5_000        # documents read to find frequent minimisers
@@ -197,7 +197,7 @@ _WALKED = "kind int, a long, b long, o long, v int, start int"
 def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
     """Repeated windows among super-k-mers that share a minimiser but differ."""
     full = reps.groupBy("mini").count().where(F.col("count") > BUCKET).select("mini", F.lit(True).alias("full"))
-    reps = reps.join(full, "mini", "left").withColumn("full", F.coalesce("full", F.lit(False)))
+    reps = join_small(reps, stored(full, "full"), ["mini"]).withColumn("full", F.coalesce("full", F.lit(False)))
     per_doc = reps.groupBy("o", "v").agg(F.collect_list(F.struct("mini", "full", "start", "n")).alias("cuts"))
     packed = stored(docs.select("o", "v", "text").join(per_doc, ["o", "v"])
                     .mapInArrow(_pack(unit), _PACKED), "packed")
