@@ -203,7 +203,7 @@ def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
                     .mapInArrow(_pack(unit), _PACKED), "packed")
     cold = (packed.where(~F.col("full")).repartition("mini").sortWithinPartitions("mini")
             .mapInArrow(_sort_windows(unit), _SPAN))
-    windows = packed.where("full").mapInArrow(_name_windows(unit), _WINDOW)
+    windows = packed.where("full").repartition("o", "v", "start").mapInArrow(_name_windows(unit), _WINDOW)
     place = ["o", "v", "start"]
     keys = ["a", "b", *place]
     ranged = stored(windows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_walk_windows(unit), _WALKED), "walked")
