@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import rand
 from glossa.functions import text as T
-from glossa.operators.scale import row_number_by_uniform
+from glossa.operators.scale import join_table, row_number_by_uniform
 from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
@@ -100,7 +100,7 @@ def synthetic_mix(rows: DataFrame, pool: DataFrame, id_col="id", text_col="text"
         .otherwise(_draws(NON_TOXIC_DRAWS_IF_1, rand.uniform(seed, key, "n_nt")))
     n_t = F.when(y == 0, F.lit(0)).otherwise(_draws(TOXIC_DRAWS_IF_1, rand.uniform(seed, key, "n_t")))
     kept = rows.where(~mix)
-    m = rows.where(mix).join(sizes, "lang", "left")
+    m = join_table(rows.where(mix), sizes.where("lang is not null"), ["lang"], "left")
     m = m.withColumn("_n_nt", F.when(F.col("_n0") > 0, n_nt).otherwise(0)) \
          .withColumn("_n_t", F.when(F.col("_n1") > 0, n_t).otherwise(0))
     plan = F.concat(

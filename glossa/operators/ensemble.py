@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import text as T
-from glossa.operators.scale import null_safe_join, pct_rank
+from glossa.operators.scale import join_table, pct_rank
+from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 CALIBRATION_MEAN = 0.21                      # calibrated files have this mean
@@ -23,9 +24,11 @@ FOLD_WEIGHTS = (0.8, 0.2, 0.5)               # foreign, rest, english share of r
 FAMILY_WEIGHTS = (("roberta", 9.0), ("xlm", 2.0), ("bert", 1.0))   # sum 12
 FINAL_WEIGHTS = (("single_roberta", 0.08), ("mlm", 0.29), ("mono", 0.44), ("mas", 0.19))
 # language -> (base weight, [(model, weight), ...]); other languages keep base
-LANG_ROUTES = {"fr": (0.1, (("fr_1", 0.45), ("fr_2", 0.45))),
+LANG_ROUTES = {"tr": (0.1, (("tr_1", 0.45), ("tr_2", 0.45))),
+               "it": (0.1, (("it_1", 0.9),)),
                "es": (0.1, (("es_1", 0.45), ("es_2", 0.45))),
-               "de": (0.1, (("de_1", 0.9),))}
+               "ru": (0.1, (("ru_1", 0.45), ("ru_2", 0.45))),
+               "fr": (0.1, (("fr_1", 0.45), ("fr_2", 0.45)))}
 IP_RULE_LANGS = ("es", "tr")
 IP_RULE_BAND = (0.5, 0.9)                    # open interval
 IP_RULE_FACTOR = 1.1
@@ -55,7 +58,7 @@ def calibrate(df: DataFrame, score_col: str, by: Sequence[str] = (), target=CALI
     by = list(by)
     if by:
         means = df.groupBy(*by).agg(F.avg(score_col).alias("_mean"))
-        d = null_safe_join(df, means, by)     # one row per group; AQE broadcasts it
+        d = join_table(df, means, by)
         return d.withColumn(score_col, F.col(score_col) / F.col("_mean") * F.lit(target)).drop("_mean")
     mean = df.select(F.avg(score_col)).scalar()    # scalar subquery, planned once
     return df.withColumn(score_col, F.col(score_col) / mean * F.lit(target))
@@ -88,28 +91,49 @@ def fold_key(view: str, fold: int) -> str:
     return view if fold < 0 else f"{view}_{fold}"
 
 
-def power_mean_blend(fold_scores: DataFrame, family: str, folds: Sequence[int],
-                     extra_fold: Mapping[int, int] | None = None, views: int = 3,
-                     out="toxic") -> DataFrame:                                              # E1 / E2
-    """Per fold ``m = .8 foreign + .2 (.5 english + .5 extra)`` (or ``.8 foreign +
-    .2 english`` with two views); result ``(mean_f sqrt(m_f))^2``."""
+def _power_mean(family: str, folds: Sequence[int], extra_fold: Mapping[int, int], views: int) -> tuple[list[str], Column]:
+    """The series that a family's blend needs, and the blend over columns of these names."""
     wf, wr, we = FOLD_WEIGHTS
-    extra_fold = dict(extra_fold or {})
-    names = [fold_key("english", -1)] + [fold_key("foreign", f) for f in folds]
-    if views == 3:
-        names += sorted({fold_key("extra", extra_fold.get(f, f)) for f in folds})
-    fam = fold_scores.where(F.col("family") == F.lit(family)).select(
-        "id", F.concat_ws("_", "view", F.when(F.col("fold") >= 0, F.col("fold").cast("string"))).alias("k"),
-        "toxic")
-    w = wide_inner(fam, "id", "k", "toxic", names)
-    roots = []
+
+    def series(view, fold):
+        return f"{family}_{fold_key(view, fold)}"
+    english = series("english", -1)
+    names, roots = [english], []
     for f in folds:
-        rest = (F.lit(we) * F.col("english") + F.lit(1 - we) * F.col(fold_key("extra", extra_fold.get(f, f)))
-                if views == 3 else F.col("english"))
-        m = F.lit(wf) * F.col(fold_key("foreign", f)) + F.lit(wr) * rest
-        roots.append(F.sqrt(m))
+        foreign, rest = series("foreign", f), F.col(english)
+        names.append(foreign)
+        if views == 3:
+            extra = series("extra", extra_fold.get(f, f))
+            names.append(extra)
+            rest = F.lit(we) * rest + F.lit(1 - we) * F.col(extra)
+        roots.append(F.sqrt(F.lit(wf) * F.col(foreign) + F.lit(wr) * rest))
     mean = reduce(lambda a, b: a + b, roots) / F.lit(float(len(folds)))
-    return w.select("id", (mean * mean).alias(out))
+    return sorted(set(names)), mean * mean
+
+
+def power_mean_blends(fold_scores: DataFrame, specs: Mapping[str, tuple], incomplete: bool = False) -> DataFrame:   # E1 / E2
+    """``id`` and one blend per family of ``specs`` (family -> folds, extra-fold map, views): per
+    fold ``m = .8 foreign + .2 (.5 english + .5 extra)`` (or ``.8 foreign + .2 english`` with two
+    views); the blend is ``(mean_f sqrt(m_f))^2``. All series of all families come out of one
+    conditional aggregation; ids that miss one of them drop, or with ``incomplete`` have a null
+    blend in the families concerned."""
+    blends = {fam: _power_mean(fam, folds, dict(extra or {}), views) for fam, (folds, extra, views) in specs.items()}
+    long = fold_scores.where(F.col("family").isin(*specs)).select(
+        "id", F.concat_ws("_", "family", "view", F.when(F.col("fold") >= 0, F.col("fold").cast("string"))).alias("k"),
+        "toxic")
+    names = [n for names, _ in blends.values() for n in names]
+    if incomplete:
+        w = long.groupBy("id").agg(*[F.max(F.when(F.col("k") == n, F.col("toxic"))).alias(n) for n in names])
+    else:
+        w = wide_inner(long, "id", "k", "toxic", names)
+    return w.select("id", *[blend.alias(fam) for fam, (_, blend) in blends.items()])
+
+
+def power_mean_blend(fold_scores: DataFrame, family: str, folds: Sequence[int],
+                     extra_fold: Mapping[int, int] | None = None, views: int = 3,
+                     out="toxic") -> DataFrame:                                              # E1 / E2
+    """``power_mean_blends`` of one family."""
+    return power_mean_blends(fold_scores, {family: (folds, extra_fold, views)}).withColumnRenamed(family, out)
 
 
 def family_blend(fams: DataFrame, out="toxic") -> Column:                                    # E3
@@ -189,13 +213,25 @@ def post_process(blend: DataFrame, texts: DataFrame, clusters: DataFrame,
     return d
 
 
-def tta_rollup(df: DataFrame, variant: str, file_col: str | None = None, id_col="id",
-               score_col="score", original_col="original") -> DataFrame:                     # E8
-    """Calibrate each file, weight views by ``original`` (no-TTA 1/0, TTA 5/1),
-    weighted mean per id, calibrate again."""
-    w_orig, w_other = TTA_WEIGHTS[variant]
+def tta_rollups(df: DataFrame, variants: Sequence[str] = tuple(TTA_WEIGHTS), file_col: str | None = None, id_col="id",
+                score_col="score", original_col="original") -> DataFrame:                    # E8
+    """Calibrate each file, weight views by ``original`` (no-TTA 1/0, TTA 5/1), weighted mean per
+    id, calibrate again. ``id`` and one column per variant, all from one aggregation, which is
+    written once: the means of the second calibration read it too."""
     d = df.select(*([file_col] if file_col else []), id_col, original_col, F.col(score_col).alias("toxic"))
     d = calibrate(d, "toxic", by=[file_col] if file_col else [])
-    w = F.when(F.col(original_col) == 1, F.lit(w_orig)).otherwise(F.lit(w_other))
-    r = weighted_mean(d, [id_col], F.col("toxic"), w)
-    return calibrate(r, "toxic")
+    sums = []
+    for v in variants:
+        w_orig, w_other = TTA_WEIGHTS[v]
+        w = F.when(F.col(original_col) == 1, F.lit(w_orig)).otherwise(F.lit(w_other))
+        sums.append((F.sum(F.col("toxic") * w) / F.nullif(F.sum(w), F.lit(0.0))).alias(v))
+    r = materialize(d.groupBy(id_col).agg(*sums))
+    for v in variants:
+        r = calibrate(r, v)
+    return r
+
+
+def tta_rollup(df: DataFrame, variant: str, file_col: str | None = None, id_col="id",
+               score_col="score", original_col="original") -> DataFrame:                     # E8
+    """``tta_rollups`` of one variant, as column ``toxic``."""
+    return tta_rollups(df, [variant], file_col, id_col, score_col, original_col).withColumnRenamed(variant, "toxic")

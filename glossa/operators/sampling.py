@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions import rand
-from glossa.operators.scale import null_safe_join, row_number_by_uniform
+from glossa.operators.scale import join_table, row_number_by_uniform
 
 # --- fixed values ------------------------------------------------------------
 SEED = 5353
@@ -46,13 +46,12 @@ def class_balance(df: DataFrame, label_col: str, ratio: int, id_col: str, file_c
     """All positives plus ``min(pos * ratio, neg)`` negatives drawn without
     replacement, per input file."""
     keys = [file_col] if file_col else []
-    pos, neg = df.where(F.col(label_col) == 1), df.where(F.col(label_col) == 0)
     counts = df.groupBy(*keys).agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("_p"),
                                    F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_n"))
     caps = counts.select(*keys, F.least(F.col("_p") * F.lit(ratio), F.col("_n")).alias("_cap"))
-    nn = shuffle_positions(neg, id_col, seed, keys, out="_rn")
-    nn = (null_safe_join(nn, caps, keys) if keys else nn.withColumn("_cap", caps.select("_cap").scalar()))
-    return pos.unionByName(nn.where(F.col("_rn") <= F.col("_cap")).drop("_rn", "_cap"))
+    d = shuffle_positions(df.where(F.col(label_col).isin(0, 1)), id_col, seed, [*keys, label_col], out="_rn")
+    d = join_table(d, caps, keys) if keys else d.withColumn("_cap", caps.select("_cap").scalar())
+    return d.where((F.col(label_col) == 1) | (F.col("_rn") <= F.col("_cap"))).drop("_rn", "_cap")
 
 
 def stratified_chunks(df: DataFrame, strata_col: str, chunk_size: int, id_col: str,
@@ -68,7 +67,7 @@ def stratified_chunks(df: DataFrame, strata_col: str, chunk_size: int, id_col: s
     # one row per stratum: the ordering window runs on that small table only
     w = Window.orderBy(strata_col).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(strata_col, F.coalesce(F.sum("_sn").over(w), F.lit(0)).alias("_off"))
-    d = null_safe_join(shuffle_positions(df, id_col, seed, [strata_col], out="_rn"), offs, [strata_col])
+    d = join_table(shuffle_positions(df, id_col, seed, [strata_col], out="_rn"), offs, [strata_col])
     chunk = F.when(k > 2, F.pmod(F.col("_off") + F.col("_rn") - 1, k)).otherwise(F.lit(0))
     return d.withColumn(out, chunk.cast("int")).drop("_rn", "_off")
 
@@ -81,10 +80,8 @@ def fold_downsample(df: DataFrame, fold: int, label_col: str, id_col: str, part_
                     seed: int = SEED, n_folds: int = N_FOLDS) -> DataFrame:                         # G4 / W2
     """All positives plus the negatives whose 0-based shuffled index (per
     ``part_cols``) is ``fold`` modulo ``n_folds``."""
-    pos, neg = df.where(F.col(label_col) == 1), df.where(F.col(label_col) == 0)
-    nn = shuffle_positions(neg, id_col, seed, part_cols, out="_rn")
-    keep = nn.where(F.pmod(F.col("_rn") - 1, F.lit(n_folds)) == fold).drop("_rn")
-    return pos.unionByName(keep)
+    d = shuffle_positions(df.where(F.col(label_col).isin(0, 1)), id_col, seed, [*part_cols, label_col], out="_rn")
+    return d.where((F.col(label_col) == 1) | (F.pmod(F.col("_rn") - 1, F.lit(n_folds)) == fold)).drop("_rn")
 
 
 def equal_class_downsample(df: DataFrame, class_cols: Sequence[str], id_col: str, seed: int = SEED) -> DataFrame:   # G5

@@ -25,15 +25,25 @@ from pyspark.sql import functions as F
 from glossa.session import materialize
 
 _B = "_bucket"
+BROADCAST_ROWS = 10_000     # a table of at most this many narrow rows may be broadcast
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which a null key matches a null key, so grouped values find their rows again."""
     other = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    on = [left[k].eqNullSafe(other[f"_k_{k}"]) for k in keys]
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     return left.join(other, on, how).drop(*[f"_k_{k}" for k in keys])
 
 
+def join_table(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join with a table that normally has few rows (one per file, stratum, language,
+    ...). It is written once and counted: up to ``BROADCAST_ROWS`` rows it is broadcast, so ``df`` is not
+    shuffled on a few hot keys; beyond, there are many keys and an ordinary join spreads them."""
+    table = materialize(table)
+    small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return null_safe_join(df, F.broadcast(table) if small else table, keys, how)
+
+
 def default_buckets(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(16, 2 * n)
@@ -85,13 +95,9 @@ def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Se
     keys = part_cols + [_B]
     w_in = (Window.partitionBy(*keys).orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
-    w_bt = Window.partitionBy(*keys)
-    # Running sums and bucket totals come out of one Window operator, so the
-    # bucket-total branch below reuses the same exchange instead of
-    # recomputing the input.
-    d = d.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_{c}_in") for c in sum_cols],
-                 *[F.sum(c).over(w_bt).alias(f"_{c}_bt") for c in sum_cols])
-    bt = d.groupBy(*keys).agg(*[F.max(f"_{c}_bt").alias(f"_{c}_bt") for c in sum_cols])
+    # totals by partial aggregation: no window buffers a whole bucket for them
+    bt = d.groupBy(*keys).agg(*[F.sum(c).alias(f"_{c}_bt") for c in sum_cols])
+    d = d.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_{c}_in") for c in sum_cols])
     # At most (#groups x n_buckets) rows; without part_cols this window sees
     # n_buckets rows only.
     w_off = Window.partitionBy(*part_cols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
@@ -103,18 +109,19 @@ def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Se
     if not part_cols:
         out = d.join(F.broadcast(bt), on=keys, how="inner")      # n_buckets rows: size is bounded by construction
     else:
-        out = null_safe_join(d, bt, keys)
+        out = join_table(d, bt, keys)
     for c in sum_cols:
         out = out.withColumn(f"{c}_before", F.col(f"_{c}_off") + F.col(f"_{c}_in"))
-    return out.drop(_B, *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols],
-                    *[f"_{c}_bt" for c in sum_cols])
+    return out.drop(_B, *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols])
 
 
 def pct_rank(df: DataFrame, value_col: str, out_col: str, part_cols: Sequence[str] = (),
              n_buckets: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)`` (average ties): ``(below + (ties + 1) / 2) / n``,
-    ``n`` = non-null values of the group; null in, null out."""
+    ``n`` = non-null values of the group; null in, null out. ``df`` is written once (pass only
+    the columns that are needed): the value counts and the join back both read it."""
     part_cols = list(part_cols)
+    df = materialize(df)
     vals = (df.where(F.col(value_col).isNotNull())
             .groupBy(*part_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
     vals = materialize(vals)          # read by the sketch, the windows and the join

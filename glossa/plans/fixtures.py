@@ -21,6 +21,10 @@ VIEW_LANGS = (("en", 1), ("fr", 2), ("de", 3), ("es", 4))
 LANG_MODELS = (("fr", "fr_1", 3571, 5), ("fr", "fr_2", 2203, 17),
                ("es", "es_1", 1009, 29), ("es", "es_2", 4441, 3),
                ("de", "de_1", 5333, 11))
+# The routes of these models, in place of the operator's own languages.
+LANG_ROUTES = {"fr": (0.1, (("fr_1", 0.45), ("fr_2", 0.45))),
+               "es": (0.1, (("es_1", 0.45), ("es_2", 0.45))),
+               "de": (0.1, (("de_1", 0.9),))}
 # Fold predictions per family: (family, view, fold, multiplier, offset).
 # 'bert' reuses extra fold 0 for every fold; 'xlm' has no extra view.
 FOLD_MODELS = (

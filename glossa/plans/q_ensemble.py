@@ -9,12 +9,19 @@ from glossa.operators.scale import pct_rank
 from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query, r6
+from glossa.session import materialize
+from glossa.sources.tables import load
 
 
 # ----------------------------------------------------------------------------- building blocks
 
-def _rank_of(df, col, name):
-    return pct_rank(df, col, name).select("id", name)
+_FAMILY_SPECS = {
+    # family: (folds, extra-fold map, views)
+    "roberta": ((0, 1, 2, 3), None, 3),
+    "bert": ((0, 1, 2, 3), {0: 0, 1: 0, 2: 0, 3: 0}, 3),
+    "xlm": ((0, 1, 2), None, 2),
+}
+_SUM_DIGITS = 9      # printed digits of a rolled-up score: equal sums in another order stay ties
 
 
 def mlm_rank(spark, sf):
@@ -28,18 +35,37 @@ def mlm_rank(spark, sf):
 def mono_blend(spark, sf):
     """Language-routed blend of a base score with per-language models."""
     base = X.scores(spark, sf).where(F.col("model") == "m0").select("id", "lang", "toxic")
-    return E.lang_routed(base, X.lang_scores(spark, sf))
+    return E.lang_routed(base, X.lang_scores(spark, sf), routes=X.LANG_ROUTES)
+
+
+def families(spark, sf, incomplete=False):
+    return E.power_mean_blends(X.fold_scores(spark, sf), _FAMILY_SPECS, incomplete)
+
+
+def rank_blend(fams):
+    """Weighted mean of the families' ranks."""
+    return E.rank_columns(fams, list(_FAMILY_SPECS), suffix="").select("id", E.family_blend(None, "toxic"))
+
+
+def rolled_views(spark, sf):
+    """E8 over the files of the translated views, one per language."""
+    return E.tta_rollups(X.views(spark, sf), file_col="lang")
 
 
 def final_blend(spark, sf):
-    """Three inputs ranked over their own ids and ``mas`` as it is, inner joined on id."""
-    sc = X.scores(spark, sf)
-    w = E.wide_inner(sc, "id", "model", "toxic", ["m0", "m1"], rename={"m0": "mlm1", "m1": "mlm2"})
+    """E7 over the chain: E1's roberta alone and as base of the routed blend (E6), the mean of E8's
+    variants, and E4 as it is; each ranked over its own ids, inner joined on id."""
+    fams = materialize(families(spark, sf, incomplete=True))
+    roberta = fams.where("roberta is not null").select("id", F.col("roberta").alias("toxic"))
+    langs = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
+    mono = E.lang_routed(roberta.join(langs, "id", "left"), X.lang_scores(spark, sf), routes=X.LANG_ROUTES)
+    pair = rolled_views(spark, sf).dropna()
+    mean = F.round((F.col("no_tta") + F.col("tta")) / F.lit(2.0), _SUM_DIGITS)
     return E.final_rank_blend({
-        "single_roberta": sc.where(F.col("model") == "m0").select("id", F.col("toxic").alias("value")),
-        "mlm": w.select("id", ((F.col("mlm1") + F.col("mlm2")) / F.lit(2.0)).alias("value")),
-        "mono": mono_blend(spark, sf).select("id", "lang", F.col("pred").alias("value")),
-        "mas": sc.where(F.col("model") == "m2").select("id", F.col("toxic").alias("value")),
+        "single_roberta": roberta.withColumnRenamed("toxic", "value"),
+        "mlm": pair.select("id", mean.alias("value")),
+        "mono": mono.select("id", "lang", F.col("pred").alias("value")),
+        "mas": rank_blend(fams.dropna()).withColumnRenamed("toxic", "value"),
     })
 
 
@@ -70,36 +96,78 @@ mlm AS (SELECT id, mlm1, mlm2, mlm_blend, """ + Q.pct_rank("mlm_blend") + """ AS
 
 def _routed_case():
     parts = []
-    for lang, (wb, ms) in E.LANG_ROUTES.items():
+    for lang, (wb, ms) in X.LANG_ROUTES.items():
         v = f"{wb} * b.toxic" + "".join(f" + {wm} * ls.{m}" for m, wm in ms)
         parts.append(f"WHEN b.lang = '{lang}' THEN {v}")
     return "CASE " + " ".join(parts) + " ELSE b.toxic END"
 
 
-_MODELS = [m for _, (_, ms) in E.LANG_ROUTES.items() for m, _ in ms]
-_MONO_SQL = f"""base AS (SELECT id, lang, toxic FROM scores WHERE model = 'm0'),
-ls AS (SELECT id, {', '.join(f"max(CASE WHEN model = '{m}' THEN toxic END) AS {m}" for m in _MODELS)}
+_MODELS = [m for _, (_, ms) in X.LANG_ROUTES.items() for m, _ in ms]
+_ROUTED_SQL = f"""ls AS (SELECT id, {', '.join(f"max(CASE WHEN model = '{m}' THEN toxic END) AS {m}" for m in _MODELS)}
   FROM lang_scores GROUP BY id),
 mono_b AS (SELECT b.id, b.lang, b.toxic, {_routed_case()} AS pred FROM base b LEFT JOIN ls ON b.id = ls.id)"""
+_MONO_SQL = "base AS (SELECT id, lang, toxic FROM scores WHERE model = 'm0'),\n" + _ROUTED_SQL
 
-_FINAL_SQL = _MLM_SQL + ",\n" + _MONO_SQL + """,
-single AS (SELECT id, """ + Q.pct_rank("toxic") + """ AS single_roberta FROM scores WHERE model = 'm0'),
-mono AS (SELECT id, lang, """ + Q.pct_rank("pred") + """ AS mono FROM mono_b),
-mas AS (SELECT id, toxic AS mas FROM scores WHERE model = 'm2'),
-fin AS (SELECT s.id, m.mlm, o.lang, o.mono, a.mas, s.single_roberta,
-  0.08 * s.single_roberta + 0.29 * m.mlm + 0.44 * o.mono + 0.19 * a.mas AS blend
+
+def _family_sql(family):
+    folds, extra, views = _FAMILY_SPECS[family]
+    extra = extra or {}
+    names = ["english"] + [f"foreign_{f}" for f in folds]
+    if views == 3:
+        names += sorted({f"extra_{extra.get(f, f)}" for f in folds})
+    w = (f"w_{family} AS (SELECT id, " + ", ".join(f"max(CASE WHEN k = '{n}' THEN toxic END) AS {n}" for n in names)
+         + f" FROM (SELECT id, CASE WHEN fold >= 0 THEN view || '_' || CAST(fold AS VARCHAR) ELSE view END AS k, toxic "
+         f"FROM fold_scores WHERE family = '{family}') GROUP BY id HAVING "
+         + " AND ".join(f"max(CASE WHEN k = '{n}' THEN 1 END) IS NOT NULL" for n in names) + ")")
+    roots = []
+    for f in folds:
+        rest = (f"(0.5 * english + 0.5 * extra_{extra.get(f, f)})" if views == 3 else "english")
+        roots.append(f"sqrt(0.8 * foreign_{f} + 0.2 * {rest})")
+    mean = f"(({' + '.join(roots)}) / {float(len(folds))})"
+    return w + f",\nf_{family} AS (SELECT id, {mean} * {mean} AS {family} FROM w_{family})"
+
+
+_FAM_SQL = ",\n".join(_family_sql(f) for f in _FAMILY_SPECS) + """,
+fam AS (SELECT r.id, r.roberta, b.bert, x.xlm FROM f_roberta r JOIN f_bert b ON r.id = b.id JOIN f_xlm x ON r.id = x.id)"""
+_PROB = "(" + " + ".join(f"{w} * {n}" for n, w in E.FAMILY_WEIGHTS) + f") / {sum(w for _, w in E.FAMILY_WEIGHTS)}"
+_RANK_BLEND_SQL = (f"SELECT id, {_PROB} AS toxic FROM (SELECT id, "
+                   + ", ".join(f"{Q.pct_rank(n)} AS {n}" for n, _ in E.FAMILY_WEIGHTS) + " FROM fam)")
+
+
+def _tta_sql():
+    def weight(v):
+        wo, wt = E.TTA_WEIGHTS[v]
+        return f"CASE WHEN original = 1 THEN {wo} ELSE {wt} END"
+    sums = ", ".join(f"sum(toxic * {weight(v)}) / nullif(sum({weight(v)}), 0) AS {v}" for v in E.TTA_WEIGHTS)
+    again = ", ".join(f"{v} / (SELECT avg({v}) FROM rolled) * {E.CALIBRATION_MEAN} AS {v}" for v in E.TTA_WEIGHTS)
+    return (f"""cal AS (SELECT id, original, score / avg(score) OVER (PARTITION BY lang) * {E.CALIBRATION_MEAN} AS toxic FROM views),
+rolled AS (SELECT id, {sums} FROM cal GROUP BY id),
+tta2 AS (SELECT id, {again} FROM rolled)""")
+
+
+_FINAL_SQL = _FAM_SQL + ",\n" + _tta_sql() + f""",
+base AS (SELECT r.id, d.lang, r.roberta AS toxic FROM f_roberta r LEFT JOIN (SELECT cast(doc_id AS varchar) AS id, lang FROM documents) d ON r.id = d.id),
+""" + _ROUTED_SQL + f""",
+mlm AS (SELECT id, {Q.pct_rank("v")} AS mlm FROM
+  (SELECT id, round((no_tta + tta) / CAST(2 AS DOUBLE), {_SUM_DIGITS}) AS v FROM tta2 WHERE no_tta IS NOT NULL AND tta IS NOT NULL)),
+single AS (SELECT id, {Q.pct_rank("roberta")} AS single_roberta FROM f_roberta),
+mono AS (SELECT id, lang, {Q.pct_rank("pred")} AS mono FROM mono_b),
+mas AS (SELECT id, toxic AS mas FROM ({_RANK_BLEND_SQL})),
+fin AS (SELECT s.id, o.lang, {' + '.join(f"{w} * {n}" for n, w in E.FINAL_WEIGHTS)} AS blend
   FROM single s JOIN mlm m ON s.id = m.id JOIN mono o ON s.id = o.id JOIN mas a ON s.id = a.id)"""
 
-_PP_SQL = _FINAL_SQL + """,
-fl AS (SELECT id, """ + Q.has_ipv4("comment_text") + """ AS has_ip, """ + Q.is_template_message("comment_text") + """ AS is_bot_msg FROM comments),
+_LO, _HI = E.IP_RULE_BAND
+_PP_SQL = _FINAL_SQL + f""",
+fl AS (SELECT id, {Q.has_ipv4("comment_text")} AS has_ip, {Q.is_template_message("comment_text")} AS is_bot_msg FROM comments),
 pp1 AS (SELECT f.*, fl.has_ip, fl.is_bot_msg, c.cluster,
-  CASE WHEN fl.has_ip = 1 AND f.lang IN ('es', 'tr') AND f.blend > 0.5 AND f.blend < 0.9 THEN 1.1 * f.blend ELSE f.blend END AS p1
+  CASE WHEN fl.has_ip = 1 AND f.lang IN {E.IP_RULE_LANGS} AND f.blend > {_LO} AND f.blend < {_HI} THEN {E.IP_RULE_FACTOR} * f.blend ELSE f.blend END AS p1
   FROM fin f JOIN fl ON f.id = fl.id JOIN clusters c ON f.id = c.id),
-pp2 AS (SELECT *, CASE WHEN is_bot_msg THEN 0.5 * p1 ELSE p1 END AS p2 FROM pp1),
-pp AS (SELECT *, CASE WHEN cluster IN (39, 52, 100, 14, 111, 80, 42, 196) THEN 0.5 * p2 ELSE p2 END AS blend_pp FROM pp2)"""
+pp2 AS (SELECT *, CASE WHEN is_bot_msg THEN {E.BOT_FACTOR} * p1 ELSE p1 END AS p2 FROM pp1),
+pp AS (SELECT *, CASE WHEN cluster IN {E.TEMPLATE_CLUSTERS} THEN {E.CLUSTER_FACTOR} * p2 ELSE p2 END AS blend_pp FROM pp2)"""
+_CHAIN = ("fold_scores", "views", "lang_scores")
 
 FLAGSHIP_SQL = X.with_fixtures("SELECT id, round(blend_pp, 6) AS toxic FROM pp",
-                               "scores", "lang_scores", "comments", "clusters", ctes=_PP_SQL)
+                               *_CHAIN, "comments", "clusters", ctes=_PP_SQL)
 
 
 # ----------------------------------------------------------------------------- registered queries
@@ -110,7 +178,7 @@ def e09_post_process(spark, sf):
 
 
 @query("e07_final_rank_blend", X.with_fixtures(
-    "SELECT id, lang, round(blend, 6) AS blend FROM fin", "scores", "lang_scores", ctes=_FINAL_SQL))
+    "SELECT id, lang, round(blend, 6) AS blend FROM fin", *_CHAIN, ctes=_FINAL_SQL))
 def e07_final_rank_blend(spark, sf):
     return final_blend(spark, sf).select("id", "lang", r6("blend").alias("blend"))
 
@@ -140,7 +208,7 @@ def w01_pct_rank(spark, sf):
 
 @query("a09_corr", X.with_fixtures(
     "SELECT round(corr(blend, p1), 6) AS corr_pp_ip, round(corr(blend, p2), 6) AS corr_pp_bot, "
-    "round(corr(blend, blend_pp), 6) AS corr_blend_pp FROM pp", "scores", "lang_scores", "comments", "clusters",
+    "round(corr(blend, blend_pp), 6) AS corr_blend_pp FROM pp", *_CHAIN, "comments", "clusters",
     ctes=_PP_SQL))
 def a09_corr(spark, sf):
     return flagship_rules(spark, sf)
@@ -148,48 +216,11 @@ def a09_corr(spark, sf):
 
 # ----------------------------------------------------------------------------- fold blends (E1-E4), TTA
 
-_FAMILY_SPECS = {
-    # family: (folds, extra-fold map, views)
-    "roberta": ((0, 1, 2, 3), None, 3),
-    "bert": ((0, 1, 2, 3), {0: 0, 1: 0, 2: 0, 3: 0}, 3),
-    "xlm": ((0, 1, 2), None, 2),
-}
-
-
 def family_score(spark, sf, family):
     folds, extra, views = _FAMILY_SPECS[family]
     return E.power_mean_blend(X.fold_scores(spark, sf), family, folds, extra, views, out=family)
 
 
-def families(spark, sf):
-    r = family_score(spark, sf, "roberta")
-    b = family_score(spark, sf, "bert")
-    x = family_score(spark, sf, "xlm")
-    return r.join(b, "id").join(x, "id")
-
-
-def _family_sql(family):
-    folds, extra, views = _FAMILY_SPECS[family]
-    extra = extra or {}
-    names = ["english"] + [f"foreign_{f}" for f in folds]
-    if views == 3:
-        names += sorted({f"extra_{extra.get(f, f)}" for f in folds})
-    w = (f"w_{family} AS (SELECT id, " + ", ".join(f"max(CASE WHEN k = '{n}' THEN toxic END) AS {n}" for n in names)
-         + f" FROM (SELECT id, CASE WHEN fold >= 0 THEN view || '_' || CAST(fold AS VARCHAR) ELSE view END AS k, toxic "
-         f"FROM fold_scores WHERE family = '{family}') GROUP BY id HAVING "
-         + " AND ".join(f"max(CASE WHEN k = '{n}' THEN 1 END) IS NOT NULL" for n in names) + ")")
-    roots = []
-    for f in folds:
-        rest = (f"(0.5 * english + 0.5 * extra_{extra.get(f, f)})" if views == 3 else "english")
-        roots.append(f"sqrt(0.8 * foreign_{f} + 0.2 * {rest})")
-    mean = f"(({' + '.join(roots)}) / {float(len(folds))})"
-    return w + f",\nf_{family} AS (SELECT id, {mean} * {mean} AS {family} FROM w_{family})"
-
-
-_FAM_SQL = ",\n".join(_family_sql(f) for f in _FAMILY_SPECS) + """,
-fam AS (SELECT r.id, r.roberta, b.bert, x.xlm FROM f_roberta r JOIN f_bert b ON r.id = b.id JOIN f_xlm x ON r.id = x.id)"""
-
-
 def _fam_query(family, key):
     @query(key, X.with_fixtures(f"SELECT id, round({family}, 6) AS toxic FROM f_{family}", "fold_scores",
                                 ctes=_family_sql(family)))
@@ -204,37 +235,20 @@ _fam_query("bert", "e01_power_mean_3view_shared_extra")
 _fam_query("xlm", "e02_power_mean_2view")
 
 
-@query("e03_prob_blend", X.with_fixtures(
-    "SELECT id, round((9.0 * roberta + 2.0 * xlm + 1.0 * bert) / 12.0, 6) AS toxic_prob FROM fam",
-    "fold_scores", ctes=_FAM_SQL))
+@query("e03_prob_blend", X.with_fixtures(f"SELECT id, round({_PROB}, 6) AS toxic_prob FROM fam", "fold_scores", ctes=_FAM_SQL))
 def e03_prob_blend(spark, sf):
     return families(spark, sf).select("id", r6(E.family_blend(None, "toxic_prob")).alias("toxic_prob"))
 
 
-@query("e04_rank_blend", X.with_fixtures(
-    "SELECT id, round((9.0 * rr + 2.0 * rx + 1.0 * rb) / 12.0, 6) AS toxic FROM (SELECT id, "
-    + Q.pct_rank("roberta") + " AS rr, " + Q.pct_rank("xlm") + " AS rx, " + Q.pct_rank("bert") + " AS rb FROM fam)",
-    "fold_scores", ctes=_FAM_SQL))
+@query("e04_rank_blend", X.with_fixtures(f"SELECT id, round(toxic, 6) AS toxic FROM ({_RANK_BLEND_SQL})", "fold_scores",
+                                         ctes=_FAM_SQL))
 def e04_rank_blend(spark, sf):
-    d = E.rank_columns(families(spark, sf), ["roberta", "xlm", "bert"], suffix="")
-    return d.select("id", r6(E.family_blend(None, "toxic")).alias("toxic"))
-
-
-def _tta_sql(variant):
-    wo, wt = E.TTA_WEIGHTS[variant]
-    return (f"t_{variant} AS (SELECT id, sum(toxic * w) / nullif(sum(w), 0) AS toxic FROM "
-            f"(SELECT id, score / (SELECT avg(score) FROM views) * 0.21 AS toxic, "
-            f"CASE WHEN original = 1 THEN {wo} ELSE {wt} END AS w FROM views) GROUP BY id),\n"
-            f"c_{variant} AS (SELECT id, '{variant}' AS variant, toxic / (SELECT avg(toxic) FROM t_{variant}) * 0.21 AS toxic "
-            f"FROM t_{variant})")
+    return rank_blend(families(spark, sf)).select("id", r6("toxic").alias("toxic"))
 
 
 @query("e08_tta_rollup", X.with_fixtures(
-    "SELECT id, variant, round(toxic, 6) AS toxic FROM c_no_tta UNION ALL "
-    "SELECT id, variant, round(toxic, 6) AS toxic FROM c_tta", "views",
-    ctes=_tta_sql("no_tta") + ",\n" + _tta_sql("tta")))
+    " UNION ALL ".join(f"SELECT id, '{v}' AS variant, round({v}, 6) AS toxic FROM tta2" for v in E.TTA_WEIGHTS), "views",
+    ctes=_tta_sql()))
 def e08_tta_rollup(spark, sf):
-    v = X.views(spark, sf)
-    outs = [E.tta_rollup(v, variant).select("id", F.lit(variant).alias("variant"), r6("toxic").alias("toxic"))
-            for variant in ("no_tta", "tta")]
-    return outs[0].unionByName(outs[1])
+    rows = F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), r6(v).alias("toxic")) for v in E.TTA_WEIGHTS]))
+    return rolled_views(spark, sf).select("id", rows.alias("_r")).select("id", "_r.variant", "_r.toxic")

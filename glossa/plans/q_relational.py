@@ -115,7 +115,7 @@ def j02_left_join_drop_unmatched(spark, sf):
     return j.select(F.col("doc_id").cast("string").alias("id"), "lang", "toxic")
 
 
-_J3_MODELS = [m for _, (_, ms) in E.LANG_ROUTES.items() for m, _ in ms]
+_J3_MODELS = [m for _, (_, ms) in X.LANG_ROUTES.items() for m, _ in ms]
 
 
 @query("j03_left_enrichment", X.with_fixtures(

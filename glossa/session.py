@@ -60,22 +60,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder for written tables. The application's
+    folder is removed when the driver ends."""
+    sc = spark.sparkContext
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{sc.applicationId}"
+    if getattr(sc, "_glossa_scratch", None) != folder:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        sc._glossa_scratch = folder
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+    """Write ``df`` as Parquet to the shared checkpoint folder and continue from there.
 
     Used where a derived table is read by several branches of a plan (e.g. the
     value-count table of a global rank feeds a quantile sketch, a window and a
     join): it is computed once, and the lineage is cut so a lost executor does
-    not recompute the whole upstream. Reliable ``checkpoint`` only -- never a
-    machine-local one.
+    not recompute the whole upstream. A table rather than ``checkpoint()``: that one
+    runs the last stage twice (count, then write), and its files cannot be pruned by column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
