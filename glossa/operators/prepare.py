@@ -93,5 +93,7 @@ def prepare_file(df: DataFrame, file_type: str, vocab: DataFrame, long_comment_a
     check_options(file_type, long_comment_action)
     d = with_chunks(select_file(df, file_type), should_chunk, file_type, chunk_size, max_chunk)
     carry = [c for c in d.columns if c not in ("id", "comment_text")]
-    enc = V.encode_ids(d, "id", K.word_tokens("comment_text"), vocab, carry=carry, vocab_size=vocab_size)
+    limit = {"split": {"max_tokens": SPLIT_ENCODE_LEN - 2}, "drop": {"below": max_len - 2}, "ignore": {"max_tokens": max_len - 2}}
+    enc = V.encode_ids(d, "id", K.word_tokens("comment_text"), vocab, carry=carry, vocab_size=vocab_size,
+                       **limit[long_comment_action]).drop("n_tokens")
     return long_comment_rows(enc, long_comment_action, max_len=max_len)

@@ -3,9 +3,7 @@
 The vocabulary is the ``size`` most frequent tokens (ties by token), id =
 rank + 3. Encoding explodes tokens with their position, looks ids up with a
 broadcast hash join (the vocabulary has at most ``size`` rows, so its size is
-bounded by a parameter), and re-collects them per document. Documents are
-hash-partitioned by key *before* the explode, so the explode -> join ->
-re-collect runs inside those partitions without shuffling the token rows.
+bounded by a parameter), and re-collects them per document.
 """
 
 from __future__ import annotations
@@ -24,12 +22,6 @@ from glossa.session import materialize
 BROADCAST_VOCAB_MAX = 2_000_000
 
 
-# Vocabularies up to this many entries are cut with a top-k (each task keeps
-# ``size`` rows, one task merges them); larger ones are ranked by the bucketed
-# row number of ``scale``, which has no single-task step.
-TAKE_ORDERED_VOCAB_MAX = 10_000
-
-
 def _order_bucket_key(n: Column, token: Column) -> Column:
     """A double that is non-decreasing in the order ``(n desc, token asc)``:
     ``-n * 2^48`` plus the first 6 UTF-8 bytes of the token read as a number
@@ -39,44 +31,43 @@ def _order_bucket_key(n: Column, token: Column) -> Column:
     return -n.cast("double") * F.lit(float(1 << 48)) + prefix.cast("double")
 
 
-def build_vocab(df: DataFrame, tokens_col: str, size: int, topk_max: int = TAKE_ORDERED_VOCAB_MAX) -> DataFrame:
-    """``(token, token_id)`` for the ``size`` most frequent tokens (ties by
-    token), id = rank + 3."""
+def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
+    """``(token, token_id)`` for the ``size`` most frequent tokens (ties by token), id = rank + 3.
+    Token counts are ranked in buckets, so no task sees them all. Written once: every reader of
+    the vocabulary reads this table."""
     # explode_outer + a filter on the generated column: an inner explode makes
     # Catalyst infer ``size(tokens) > 0`` and push it below the projection,
     # which would evaluate the whole tokeniser twice per row.
     counts = (df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    if size > topk_max:
-        c = counts.withColumn("_neg_n", -F.col("n")).withColumn("_one", F.lit(1))
-        c = materialize(c.withColumn("_key", _order_bucket_key(F.col("n"), F.col("token"))))
-        c = with_exclusive_prefix(c, ["_neg_n", "token"], ["_one"], bucket_col="_key")
-        ranked = c.select("token", (F.col("_one_before") + F.lit(1)).alias("_rank"))
-        return ranked.where(F.col("_rank") <= size).select(
-            "token", (F.col("_rank") + F.lit(UNK)).cast("int").alias("token_id"))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)     # top-k: the feature
-    # ``size`` rows at most, so the ordering window runs on a bounded table.
-    w = Window.orderBy(F.desc("n"), F.asc("token"))
-    return top.select("token", (F.row_number().over(w) + F.lit(UNK)).cast("int").alias("token_id"))
+    c = counts.withColumn("_neg_n", -F.col("n")).withColumn("_one", F.lit(1))
+    c = materialize(c.withColumn("_key", _order_bucket_key(F.col("n"), F.col("token"))))
+    c = with_exclusive_prefix(c, ["_neg_n", "token"], ["_one"], bucket_col="_key")
+    ranked = c.select("token", (F.col("_one_before") + F.lit(1)).alias("_rank"))
+    return materialize(ranked.where(F.col("_rank") <= size).select(
+        "token", (F.col("_rank") + F.lit(UNK)).cast("int").alias("token_id")))
 
 
 def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
                carry: Sequence[str] = (), vocab_size: int | None = None,
-               out_col: str = "raw_ids", partitioned: bool = False) -> DataFrame:
+               out_col: str = "raw_ids", max_tokens: int | None = None, below: int | None = None) -> DataFrame:
     """Map each document's tokens to ids (unknown = 3), keeping token order.
 
-    ``tokens`` is a column name or a Column expression over ``df`` (e.g.
-    ``word_tokens('comment_text')``); it is evaluated *after* the rows are
-    hash-partitioned by ``key_col``, so the per-row tokenising runs spread over
-    all tasks and the explode -> join -> re-collect needs no further shuffle.
-    Returns ``key_col, *carry, out_col``; ``carry`` columns must be
-    functionally dependent on ``key_col``. Pass ``partitioned=True`` when ``df``
-    is already ``repartition(key_col)`` (e.g. shared with the vocabulary build,
-    so both read one exchange)."""
+    ``tokens`` is a column name or a Column expression over ``df`` (e.g. ``word_tokens('comment_text')``).
+    Only what the output needs becomes rows: with ``below`` documents of that many tokens or more are
+    left out, with ``max_tokens`` the tokens beyond are cut, both before the explode. Returns
+    ``key_col, *carry, n_tokens, out_col`` (``n_tokens`` counts all tokens of the document). ``carry``
+    columns must be functionally dependent on ``key_col`` or, like it, tell documents apart. A
+    document's tokens stay in the task that read it until they are one array again; only these
+    arrays cross the exchange."""
     carry = list(carry)
     tok = F.col(tokens) if isinstance(tokens, str) else tokens
-    parts = df if partitioned else df.repartition(key_col)
-    ex = parts.select(key_col, *carry, F.posexplode_outer(tok).alias("pos", "token"))
+    d = df.select(key_col, *carry, tok.alias("_toks")).select(
+        key_col, *carry, F.greatest(F.size("_toks"), F.lit(0)).alias("n_tokens"), "_toks")
+    if below is not None:
+        d = d.where(F.col("n_tokens") < below)
+    kept = F.col("_toks") if max_tokens is None else F.slice("_toks", 1, max_tokens)
+    ex = d.select(key_col, *carry, "n_tokens", F.posexplode_outer(kept).alias("pos", "token"))
     v = vocab.select("token", "token_id")
     if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_MAX:
         v = F.broadcast(v)
@@ -87,5 +78,5 @@ def encode_ids(df: DataFrame, key_col: str, tokens, vocab: DataFrame,
     firsts = F.sum(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, 1).otherwise(0))
     repeated = F.raise_error(F.concat(F.lit(f"encode_ids: {key_col} is not unique: "), F.first(F.col(key_col).cast("string"))))
     items = F.array_sort(F.collect_list(item))
-    g = j.groupBy(key_col, *carry).agg(F.when(firsts > 1, repeated).otherwise(items).alias("_items"))
-    return g.select(key_col, *carry, F.transform("_items", lambda s: s["tid"]).alias(out_col))
+    g = j.groupBy(key_col, *carry).agg(F.max("n_tokens").alias("n_tokens"), F.when(firsts > 1, repeated).otherwise(items).alias("_items"))
+    return g.select(key_col, *carry, "n_tokens", F.transform("_items", lambda s: s["tid"]).alias(out_col))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import tokens as K
 from glossa.functions import text as T
+from glossa.operators import ensemble as E
 from glossa.operators import labels as L
 from glossa.operators import model as MD
 from glossa.operators import vocab as V
@@ -29,11 +30,11 @@ def _m2_sql():
 @query("m02_batch_score", _m2_sql())
 def m02_batch_score(spark, sf):
     from glossa.plans.q_tokens import MAX_LEN, encoded
-    e = encoded(spark, sf).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
+    e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
     return e.select("id", r6(MD.linear_score("ids", "lin_a")).alias("toxic"))
 
 
-def _m3_sql():
+def _m3_sql(digits=", 6"):
     from glossa.plans import sqlkit as Q
     from glossa.plans.q_tokens import MAX_LEN, _BASE, marks_sql
     clean = (f"tok2 AS (SELECT id, list_filter(string_split({Q.clean_text(Q.clean_text_mono('comment_text'))}, ' '), "
@@ -44,7 +45,7 @@ def _m3_sql():
              "enc2 AS (SELECT t.id, coalesce(e.raw_ids, CAST([] AS INT[])) AS raw_ids FROM tok2 t LEFT JOIN enc2a e ON t.id = e.id),\n"
              f"views AS (SELECT id, 'orig' AS view, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc "
              f"UNION ALL SELECT id, 'clean' AS view, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc2)")
-    sel = " UNION ALL ".join(f"SELECT id, '{m}' AS model, view, round({_lin_sql('ids', m)}, 6) AS toxic FROM views"
+    sel = " UNION ALL ".join(f"SELECT id, '{m}' AS model, view, {'round' if digits else ''}({_lin_sql('ids', m)}{digits}) AS toxic FROM views"
                              for m in MD.LINEAR_SCORERS)
     return X.with_fixtures(sel, "comments", ctes=_BASE + ",\n" + clean)
 
@@ -52,27 +53,44 @@ def _m3_sql():
 @query("m03_scoring_matrix", _m3_sql())
 def m03_scoring_matrix(spark, sf):
     """Scorers x views -> one long score table, written partitioned by model."""
-    from glossa.plans.q_tokens import MAX_LEN, VOCAB_SIZE, tokenised
-    t = tokenised(spark, sf)
-    vocab = V.build_vocab(t, "toks", VOCAB_SIZE)
-    c = X.comments(spark, sf)
-    views = [("orig", V.encode_ids(c, "id", K.word_tokens("comment_text"), vocab, vocab_size=VOCAB_SIZE)),
-             ("clean", V.encode_ids(c, "id", K.word_tokens(T.clean_text_mono("comment_text")), vocab,
-                                    vocab_size=VOCAB_SIZE))]
-    parts = []
-    for view, enc in views:
-        ids = K.with_marks("raw_ids", MAX_LEN, True)
-        for m in MD.LINEAR_SCORERS:
-            parts.append(enc.select("id", F.lit(m).alias("model"), F.lit(view).alias("view"),
-                                    r6(MD.linear_score(ids, m)).alias("toxic")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
     path = scratch_path(spark, "scores_long")
-    long.write.mode("overwrite").partitionBy("model").parquet(path)
+    view_scores(spark, sf).withColumn("toxic", r6("toxic")).write.mode("overwrite").partitionBy("model").parquet(path)
     return spark.read.parquet(path).select("id", "model", "view", "toxic")
 
 
+def view_scores(spark, sf, models=tuple(MD.LINEAR_SCORERS)):
+    """``id, model, view, toxic``: the text as it is and cleaned, both encoded in one pass and
+    scored by all models in one projection."""
+    from glossa.plans.q_tokens import MAX_LEN, VOCAB_SIZE, vocabulary
+    texts = F.explode(F.array(F.struct(F.lit("orig").alias("view"), F.col("comment_text").alias("text")),
+                              F.struct(F.lit("clean").alias("view"), T.clean_text_mono("comment_text").alias("text"))))
+    views = X.comments(spark, sf).select("id", texts.alias("_v")).select("id", "_v.view", "_v.text")
+    enc = V.encode_ids(views, "id", K.word_tokens("text"), vocabulary(spark, sf), carry=["view"], vocab_size=VOCAB_SIZE,
+                       max_tokens=MAX_LEN - 2)
+    enc = enc.select("id", "view", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
+    scores = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), MD.linear_score("ids", m).alias("toxic")) for m in models]))
+    return enc.select("id", "view", scores.alias("_s")).select("id", "_s.model", "view", "_s.toxic")
+
+
+def _m4_sql():
+    from glossa.plans.q_tokens import _SPLIT, _sql
+    return _sql(f"SELECT id, round(max({_lin_sql('input_ids', 'lin_a')}), 6) AS toxic FROM wins GROUP BY id", _SPLIT)
+
+
+@query("m04_window_max", _m4_sql())
+def m04_window_max(spark, sf):
+    """Encode, split into windows (K3), score every window, maximum per document (A1)."""
+    from glossa.plans.q_tokens import split_windows
+    w = split_windows(spark, sf).select("id", MD.linear_score("input_ids", "lin_a").alias("toxic"))
+    return E.doc_max(w).select("id", r6("toxic").alias("toxic"))
+
+
+@query("m05_view_mean", "SELECT id, round(avg(toxic), 6) AS toxic FROM (" + _m3_sql("") + ") WHERE model = 'lin_a' GROUP BY id")
+def m05_view_mean(spark, sf):
+    """Score every view of a document, mean per document (A2)."""
+    return E.doc_mean(view_scores(spark, sf, ["lin_a"])).select("id", r6("toxic").alias("toxic"))
+
+
 @query("m01_train_classifier", None)
 def m01_train_classifier(spark, sf):
     """Train on labelled comments (weight 1) plus pseudo-labelled rows (weight

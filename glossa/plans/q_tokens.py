@@ -9,7 +9,6 @@ from glossa.operators import vocab as V
 from glossa.plans import fixtures as X
 from glossa.plans import sqlkit as Q
 from glossa.plans.registry import query
-from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 VOCAB_SIZE = 2000
@@ -29,23 +28,20 @@ def tokenised(spark, sf):
     return X.comments(spark, sf).select("id", "lang", "toxic", K.word_tokens("comment_text").alias("toks"))
 
 
-def encoded(spark, sf):
-    """``id, lang, toxic, raw_ids``. Documents are exchanged by id once and the
-    regex tokeniser runs once, after that exchange; its output is checkpointed
-    and read by the vocabulary count and by the encoding. The checkpoint does
-    not carry the hash partitioning into the next plan (AQE plans are unknown
-    until run), but rows of one id still sit in one task, so the re-collect's
-    partial aggregation is complete there and only one compact id array per
-    document crosses the final exchange."""
-    c = X.comments(spark, sf, spread=False).repartition("id")
-    toks = materialize(c.select("id", "lang", "toxic", K.word_tokens("comment_text").alias("toks")))
-    vocab = V.build_vocab(toks.select("toks"), "toks", VOCAB_SIZE)
-    return V.encode_ids(toks, "id", "toks", vocab, carry=["lang", "toxic"], vocab_size=VOCAB_SIZE,
-                        partitioned=True)
+def vocabulary(spark, sf):
+    return V.build_vocab(tokenised(spark, sf), "toks", VOCAB_SIZE)
+
+
+def encoded(spark, sf, max_tokens=None, below=None):
+    """``id, lang, toxic, n_tokens, raw_ids``. The vocabulary counts every token; the encoding
+    reads the scan again and keeps ``max_tokens`` tokens of the documents ``below`` a length."""
+    c = X.comments(spark, sf)
+    return V.encode_ids(c, "id", K.word_tokens("comment_text"), vocabulary(spark, sf), carry=["lang", "toxic"],
+                        vocab_size=VOCAB_SIZE, max_tokens=max_tokens, below=below)
 
 
 def split_windows(spark, sf):
-    e = encoded(spark, sf).withColumn("ids", K.with_marks("raw_ids", SPLIT_ENCODE_LEN, pad=False))
+    e = encoded(spark, sf, SPLIT_ENCODE_LEN - 2).withColumn("ids", K.with_marks("raw_ids", SPLIT_ENCODE_LEN, pad=False))
     w = e.select("id", "lang", "toxic", "ids",
                  F.posexplode(K.window_starts("ids", MAX_LEN, WINDOW)).alias("win", "start"))
     return w.select("id", "lang", "toxic", "win", "start", K.window_ids("ids", "start", MAX_LEN).alias("input_ids"),
@@ -93,8 +89,8 @@ def k02_vocab_build(spark, sf):
 @query("k01_encode", _sql(
     f"SELECT id, len(raw_ids) AS n_tokens, array_to_string({marks_sql('raw_ids', SPLIT_ENCODE_LEN, False)}, ' ') AS input_ids FROM enc"))
 def k01_encode(spark, sf):
-    e = encoded(spark, sf)
-    return e.select("id", F.size("raw_ids").alias("n_tokens"),
+    e = encoded(spark, sf, SPLIT_ENCODE_LEN - 2)
+    return e.select("id", "n_tokens",
                     F.array_join(K.with_marks("raw_ids", SPLIT_ENCODE_LEN, False).cast("array<string>"), " ")
                     .alias("input_ids"))
 
@@ -125,14 +121,14 @@ def a15_split_summary(spark, sf):
 @query("k04_drop_long", _sql(
     f"SELECT id, array_to_string({marks_sql('raw_ids', MAX_LEN, True)}, ' ') AS input_ids FROM enc WHERE len(raw_ids) + 2 < {MAX_LEN}"))
 def k04_drop_long(spark, sf):
-    e = encoded(spark, sf).where(F.size("raw_ids") + 2 < MAX_LEN)
+    e = encoded(spark, sf, below=MAX_LEN - 2)
     return e.select("id", ids_str(K.with_marks("raw_ids", MAX_LEN, True)).alias("input_ids"))
 
 
 @query("k05_truncate", _sql(
     f"SELECT id, lang, array_to_string({marks_sql('raw_ids', MAX_LEN, True)}, ' ') AS input_ids FROM enc"))
 def k05_truncate(spark, sf):
-    e = encoded(spark, sf)
+    e = encoded(spark, sf, MAX_LEN - 2)
     return e.select("id", "lang", ids_str(K.with_marks("raw_ids", MAX_LEN, True)).alias("input_ids"))
 
 
@@ -141,7 +137,7 @@ def k05_truncate(spark, sf):
     f"CAST(list_sum(list_transform(ids, lambda x: CASE WHEN x <> 1 THEN 1 ELSE 0 END)) AS INT) AS token_length "
     f"FROM (SELECT id, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc)"))
 def k06_attention_mask(spark, sf):
-    e = encoded(spark, sf).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
+    e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
     return e.select("id", ids_str(K.attention_mask("ids")).alias("attention_mask"),
                     K.token_length("ids").alias("token_length"))
 
@@ -161,7 +157,7 @@ def _mlm_sql():
 
 @query("k07_mlm_mask", _sql(_mlm_sql()))
 def k07_mlm_mask(spark, sf):
-    e = encoded(spark, sf).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
+    e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
     inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), seed=MLM_SEED)
     return e.select("id", ids_str(inputs).alias("mlm_input_ids"), ids_str(labels).alias("mlm_labels"))
 

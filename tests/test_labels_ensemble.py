@@ -77,3 +77,58 @@ def test_final_blend_ranks_three_inputs_and_takes_the_fourth_raw(spark):
     # .08 * rank + .29 * rank + .44 * rank + .19 * raw; ranks in quarters, the tie is 2.5 / 4
     assert got == [round(x, 6) for x in (.08 * .25 + .29 * 1 + .44 * .625 + .19 * .05, .08 * .5 + .29 * .75 + .44 * .625 + .19 * .95,
                                          .08 * .75 + .29 * .5 + .44 * .25 + .19 * .5, .08 * 1 + .29 * .25 + .44 * 1 + .19 * .5)]
+
+
+def test_rollup_calibrates_each_file_first(spark):
+    df = spark.createDataFrame([("f", "a", 1, 0.2), ("f", "b", 1, 0.6), ("g", "a", 0, 2.0), ("g", "b", 0, 6.0)],
+                               "file string, id string, original int, score double")
+    got = {r.id: (r.no_tta, r.tta) for r in E.tta_rollups(df, file_col="file").collect()}
+    # both files have the same shape after calibration: .105 and .315, whose mean is .21 already
+    assert got["a"] == pytest.approx((0.105, 0.105)) and got["b"] == pytest.approx((0.315, 0.315))
+
+
+def test_default_routes(spark):
+    langs = ["tr", "it", "es", "ru", "fr", "pt"]
+    base = spark.createDataFrame([(x, x, 0.5) for x in langs], "id string, lang string, toxic double")
+    models = [(x, m) for x, (_, ms) in E.LANG_ROUTES.items() for m, _ in ms]
+    scores = spark.createDataFrame([(x, m, 1.0) for x, m in models], "id string, model string, toxic double")
+    got = {r.id: r.pred for r in E.lang_routed(base, scores).collect()}
+    assert got == pytest.approx({**{x: 0.95 for x in langs[:5]}, "pt": 0.5})
+
+
+def test_families_out_of_one_aggregate(spark):
+    specs = {"a": ((0,), None, 2), "b": ((0,), None, 3)}
+    rows = [("1", "a", "english", -1, .25), ("1", "a", "foreign", 0, .5), ("2", "a", "english", -1, .25), ("2", "a", "foreign", 0, .5),
+            ("1", "b", "english", -1, .25), ("1", "b", "foreign", 0, .5), ("1", "b", "extra", 0, .75)]
+    df = spark.createDataFrame(rows, "id string, family string, view string, fold int, toxic double")
+    got = [tuple(r) for r in E.power_mean_blends(df, specs).collect()]
+    assert [r[0] for r in got] == ["1"] and got[0][1:] == pytest.approx((.45, .5))
+    loose = {r.id: r.b for r in E.power_mean_blends(df, specs, incomplete=True).collect()}
+    assert loose["2"] is None and loose["1"] == pytest.approx(.5)
+
+
+def _hash_exchanges(df):
+    import re
+    return re.findall(r"hashpartitioning\(([^)]*)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_few_keys_are_not_shuffle_keys(spark):
+    from glossa.operators import sampling as S
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(str(i), None if i % 5 == 0 else f"m{i % 3}", i % 2, i / 10) for i in range(60)],
+                                   "id string, model string, y int, toxic double")
+        assert _hash_exchanges(E.calibrate(df, "toxic", by=["model"])) == []
+        for d in (S.class_balance(df, "y", 1, "id", "model"), S.stratified_chunks(df, "model", 10, "id")):
+            assert all("_bucket" in keys for keys in _hash_exchanges(d))
+        assert S.stratified_chunks(df, "model", 10, "id").count() == 60      # null strata stay
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_external_scorer(spark):
+    from glossa.operators.model import score_in_pandas
+    df = spark.createDataFrame([("a", "xx"), ("b", "")], "id string, t string")
+    got = score_in_pandas(df, lambda: lambda batch: batch["t"].str.len() / 10)
+    assert {r.id: r.toxic for r in got.collect()} == {"a": 0.2, "b": 0.0}

@@ -76,15 +76,33 @@ def test_length_router_edges(spark, words, route):
     assert len(got) == 1 and got[0].route == route
 
 
-def test_vocab_ranked_path_equals_top_k(spark):
-    # counts with heavy ties (many tokens seen once, shared prefixes) and a
-    # multi-byte token; both paths must give the same ids
+def test_vocab_ranks_ties_by_token(spark):
+    from collections import Counter
+    # counts with heavy ties (many tokens seen once, shared prefixes) and a multi-byte token
     words = [f"w{i % 37}" for i in range(400)] + [f"rare{i}" for i in range(300)] + ["é", "é", "ab", "abc"]
     df = spark.createDataFrame([(words[i:i + 7],) for i in range(0, len(words), 7)], "toks array<string>")
-    for size in (5, 40, 200, 1000):
-        a = sorted(V.build_vocab(df, "toks", size).collect())
-        b = sorted(V.build_vocab(df, "toks", size, topk_max=0).collect())
-        assert a == b and len(a) == min(size, len(set(words)))
+    order = sorted(Counter(words).items(), key=lambda t: (-t[1], t[0].encode()))
+    for size in (5, 40, 1000):
+        got = sorted((r.token_id, r.token) for r in V.build_vocab(df, "toks", size).collect())
+        assert got == [(i + 4, t) for i, (t, _) in enumerate(order[:size])]
+
+
+def test_encode_cuts_before_the_explode(spark):
+    vocab = spark.createDataFrame([("x", 4), ("y", 5)], "token string, token_id int")
+    df = spark.createDataFrame([("a", ["x", "y", "z"]), ("b", ["y"]), ("c", None)], "id string, t array<string>")
+    cut = {r.id: (r.n_tokens, r.raw_ids) for r in V.encode_ids(df, "id", "t", vocab, max_tokens=2).collect()}
+    assert cut == {"a": (3, [4, 5]), "b": (1, [5]), "c": (0, [])}
+    short = V.encode_ids(df, "id", "t", vocab, below=3)
+    assert {r.id: r.raw_ids for r in short.collect()} == {"b": [5], "c": []}
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("< 3")          # the length filter stands below the explode
+
+
+def test_encode_tells_views_of_one_id_apart(spark):
+    vocab = spark.createDataFrame([("x", 4)], "token string, token_id int")
+    df = spark.createDataFrame([("a", "en", ["x"]), ("a", "fr", ["q", "x"])], "id string, view string, t array<string>")
+    got = {r.view: r.raw_ids for r in V.encode_ids(df, "id", "t", vocab, carry=["view"]).collect()}
+    assert got == {"en": [4], "fr": [3, 4]}
 
 
 def test_repeated_document_ids_raise(spark):
