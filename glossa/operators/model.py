@@ -16,13 +16,15 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossa.operators.metrics import roc_auc
+from glossa.operators.sampling import holdout_split
+from glossa.session import materialize
+
 # --- fixed values ------------------------------------------------------------
 # linear scorers: weight(id) = (((id * a + b) % 101) - 50) / 1000
 LINEAR_SCORERS = {"lin_a": (37, 11), "lin_b": (53, 7)}
@@ -41,17 +43,23 @@ def linear_score(ids, name: str) -> Column:
 
 def train_classifier(df: DataFrame, tokens_col: str = "toks", label_col: str = "label",
                      weight_col: str | None = None, reg_params: Sequence[float] = (0.01, 0.1),
-                     seed: int = 5353) -> PipelineModel:                                  # M1
+                     seed: int = 5353, id_col: str = "id", fraction: float = 0.1) -> tuple[PipelineModel, float]:   # M1
+    """The best model and its validation ROC AUC (A10). The validation rows are the seeded hold-out
+    (G6), the same under any partitioning; the tokens are written once and read by every fit."""
+    d = materialize(holdout_split(df, id_col, fraction, seed))
+    train, valid = (d.where(F.col("split") == x) for x in ("train", "holdout"))
     tf = HashingTF(inputCol=tokens_col, outputCol="_tf", numFeatures=HASH_FEATURES)
-    idf = IDF(inputCol="_tf", outputCol="_features")
-    lr = LogisticRegression(featuresCol="_features", labelCol=label_col, maxIter=30,
-                            **({"weightCol": weight_col} if weight_col else {}))
-    pipe = Pipeline(stages=[tf, idf, lr])
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, trainRatio=0.9, seed=seed,
-                               evaluator=BinaryClassificationEvaluator(labelCol=label_col,
-                                                                       metricName="areaUnderROC"))
-    return tvs.fit(df).bestModel
+    features = Pipeline(stages=[tf, IDF(inputCol="_tf", outputCol="_features")]).fit(train)
+    best = None
+    for reg in reg_params:
+        lr = LogisticRegression(featuresCol="_features", labelCol=label_col, maxIter=30, regParam=reg,
+                                **({"weightCol": weight_col} if weight_col else {}))
+        model = PipelineModel(stages=[*features.stages, lr.fit(features.transform(train))])
+        scored = model.transform(valid).select(F.col(label_col).alias("y"), vector_to_array("probability")[1].alias("p"))
+        auc = roc_auc(scored, "y", "p").first()["auc"]            # one row
+        if best is None or (auc or 0.0) > (best[1] or 0.0):
+            best = model, auc
+    return best
 
 
 def predict(model: PipelineModel, df: DataFrame, id_col: str = "id", out: str = "toxic") -> DataFrame:   # M2

@@ -12,7 +12,7 @@ from glossa.operators import model as MD
 from glossa.operators import vocab as V
 from glossa.plans import fixtures as X
 from glossa.plans.registry import query, r6
-from glossa.session import scratch_path
+from glossa.session import materialize, scratch_path
 
 
 def _lin_sql(ids, name):
@@ -96,11 +96,12 @@ def m01_train_classifier(spark, sf):
     """Train on labelled comments (weight 1) plus pseudo-labelled rows (weight
     0.5), pick regularisation by validation AUC, score every comment."""
     from glossa.plans.q_tokens import tokenised
-    t = tokenised(spark, sf)
+    t = materialize(tokenised(spark, sf))
     lab = t.where(F.col("toxic").isNotNull()).select("id", "toks", F.col("toxic").cast("double").alias("label"),
                                                      F.lit(1.0).alias("w"))
     sc = X.scores(spark, sf).where(F.col("model") == "m0").select("id", F.col("toxic").alias("p"))
     pseudo = (t.where(F.col("toxic").isNull()).join(sc, "id")
               .select("id", "toks", L.binarise(L.round1("p"), 0.5).cast("double").alias("label"), F.lit(0.5).alias("w")))
-    model = MD.train_classifier(lab.unionByName(pseudo), "toks", "label", "w")
-    return MD.predict(model, t.select("id", "toks")).select("id", r6("toxic").alias("toxic"))
+    model, auc = MD.train_classifier(lab.unionByName(pseudo), "toks", "label", "w")
+    scored = MD.predict(model, t.select("id", "toks"))
+    return scored.select("id", r6("toxic").alias("toxic"), F.round(F.lit(auc), 6).alias("validation_auc"))

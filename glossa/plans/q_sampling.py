@@ -151,18 +151,18 @@ def g07_fold_routing(spark, sf):
 
 
 _U2 = ("pc AS (SELECT id, " + Q.clean_text_mono("comment_text") + " AS comment_text, lang, toxic FROM pool "
-       "WHERE comment_text IS NOT NULL AND lang = 'fr')")
+       "WHERE comment_text IS NOT NULL)")
 
 
-def pool_texts(spark, sf, lang="fr"):
-    p = X.pool(spark, sf).where(F.col("comment_text").isNotNull() & (F.col("lang") == lang))
+def pool_texts(spark, sf):
+    p = X.pool(spark, sf).where(F.col("comment_text").isNotNull())
     p = p.select("id", T.clean_text_mono("comment_text").alias("comment_text"), "lang", "toxic")
-    return S.dedupe_keep_first(p, "comment_text", "id")
+    return S.dedupe_keep_first(p, ["lang", "comment_text"], "id")
 
 
 @query("u02_dedupe_keep_first", X.with_fixtures(
-    "SELECT comment_text, arg_min(id, id) AS id, arg_min(lang, id) AS lang, "
-    "CAST(round_even(arg_min(toxic, id), 0) AS INT) AS toxic FROM pc GROUP BY comment_text", "pool", ctes=_U2))
+    "SELECT comment_text, arg_min(id, id) AS id, lang, "
+    "CAST(round_even(arg_min(toxic, id), 0) AS INT) AS toxic FROM pc GROUP BY lang, comment_text", "pool", ctes=_U2))
 def u02_dedupe_keep_first(spark, sf):
     d = pool_texts(spark, sf)
     return d.select("comment_text", "id", "lang", L.round_label("toxic").alias("toxic"))

@@ -132,3 +132,15 @@ def test_external_scorer(spark):
     df = spark.createDataFrame([("a", "xx"), ("b", "")], "id string, t string")
     got = score_in_pandas(df, lambda: lambda batch: batch["t"].str.len() / 10)
     assert {r.id: r.toxic for r in got.collect()} == {"a": 0.2, "b": 0.0}
+
+
+def test_classifier_learns_and_reports_its_auc(spark):
+    from glossa.operators import model as MD
+    rows = [(f"d{i}", ["bad" if i % 2 else "good", f"w{i % 7}"], float(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id string, toks array<string>, label double")
+    model, auc = MD.train_classifier(df, reg_params=(0.01,))
+    assert auc == 1.0
+    p = {r.id: r.toxic for r in MD.predict(model, df).collect()}
+    assert len(p) == 200 and p["d1"] > 0.5 > p["d0"]
+    again = MD.train_classifier(df.repartition(3), reg_params=(0.01,))[1]
+    assert again == auc
