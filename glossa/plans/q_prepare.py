@@ -22,7 +22,7 @@ def train_file(spark, sf):
 
 
 def test_file(spark, sf):
-    return X.comments(spark, sf, spread=False)
+    return X.comments(spark, sf)
 
 
 def _prepared(df, file_type, action, should_chunk, max_chunk):

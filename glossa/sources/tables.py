@@ -3,8 +3,6 @@ left to Catalyst: callers select what they need right after the read)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -19,33 +17,3 @@ def path_of(sf_dir: str, name: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path_of(sf_dir, name))
-
-
-def _local_row_groups(path: str) -> int | None:
-    """Row groups of a local single-file parquet table (footer read only);
-    None for directories or remote storage, which are left as they are."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in p or not os.path.isfile(p):
-        return None
-    try:
-        import pyarrow.parquet as pq
-        return pq.ParquetFile(p).metadata.num_row_groups
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def load_spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """``load`` for tables that feed CPU-heavy per-row text work.
-
-    Parquet splits at row-group boundaries, so a file with fewer row groups
-    than task slots is scanned by that few tasks and every regex after it runs
-    there too. Such an under-split input is hash-spread by ``key`` once; a
-    well-split table (the normal case at scale) is returned untouched, so no
-    shuffle is added where the scan is already parallel."""
-    df = load(spark, sf_dir, name)
-    groups = _local_row_groups(path_of(sf_dir, name))
-    slots = spark.sparkContext.defaultParallelism
-    if groups is not None and groups < slots:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(max(n, slots), key)
-    return df
