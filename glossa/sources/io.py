@@ -1,7 +1,8 @@
 """Sources and sinks.
 
 CSV is read with an explicit schema (no inference pass), multi-line quoted
-fields and RFC-4180 quote doubling. Zip archives are not a Hadoop codec, so
+fields and RFC-4180 quote doubling. A file with multi-line cells cannot be split, so large
+inputs are turned into Parquet once, or read with ``multi_line=False`` where no cell has a line break. Zip archives are not a Hadoop codec, so
 ``read_zipped_csv`` reads each archive with ``binaryFile`` and unpacks it in
 a pandas batch -- one task per archive, which is the unit Spark can split.
 """
@@ -9,6 +10,7 @@ a pandas batch -- one task per archive, which is the unit Spark can split.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterable, Sequence
 
@@ -17,14 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+_CSV = {"header": "true", "quote": '"', "escape": '"',
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
         "emptyValue": "", "nullValue": ""}
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str) -> DataFrame:   # S1 / S3
-    """Header CSV with a declared schema; ``path`` may be a glob or a list."""
-    d = spark.read.schema(schema).options(**_CSV).csv(path)
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str,
+             multi_line: bool = True) -> DataFrame:                                                 # S1 / S3
+    """Header CSV with a declared schema; ``path`` may be a glob or a list. ``multi_line``: cells may
+    hold line breaks, and a file is read by one task; without it Spark splits files."""
+    d = spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(path)
     numbers = [f.name for f in d.schema.fields if f.dataType.simpleString() in ("double", "float")]
     return d.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})      # a NaN cell is missing
 
@@ -35,9 +39,10 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def read_score_files(spark: SparkSession, pattern: str, schema: StructType | str,
-                     name_regex: str = r"submission_([^/]+)\.csv", name_col: str = "model") -> DataFrame:   # S3
+                     name_regex: str = r"submission_([^/]+)\.csv", name_col: str = "model",
+                     multi_line: bool = True) -> DataFrame:                                       # S3
     """Every CSV matching ``pattern`` with the file's name part as ``name_col``."""
-    d = read_csv(spark, pattern, schema)
+    d = read_csv(spark, pattern, schema, multi_line)
     return d.withColumn(name_col, F.regexp_extract(F.col("_metadata.file_path"), name_regex, 1))
 
 
@@ -97,30 +102,42 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str,
     return files.mapInPandas(unzip, schema)
 
 
+def filesystem_of(uri: str):
+    """The ``pyarrow`` file system of a shared folder and the path in it (``file:``, ``hdfs:``,
+    ``s3:``/``s3a:``, ``gs:`` or a plain path)."""
+    from pyarrow import fs
+    if uri.startswith("s3a:"):
+        uri = "s3" + uri[3:]
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
 def write_zipped_csv(df: DataFrame, path: str) -> DataFrame:                                          # S2 (writer)
-    """Each partition writes one ``part-<n>.csv.zip`` into ``path`` (a shared
-    POSIX folder); returns the written paths as a DataFrame (lazy)."""
-    import os
+    """Each non-empty partition streams into one ``part-<n>.csv.zip`` in the shared folder ``path``,
+    batch by batch; returns the written paths and row counts as a DataFrame (lazy)."""
     cols = df.columns
     if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    if "://" in path:
-        raise NotImplementedError("write_zipped_csv writes through a POSIX mount of the shared folder")
+        path = "file:///" + path[len("file:"):].lstrip("/")
 
     def write(batches):
         from pyspark import TaskContext
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)[cols]
-        os.makedirs(path, exist_ok=True)
+        store, folder = filesystem_of(path)
+        store.create_dir(folder, recursive=True)
         # named by partition: a retried task replaces its own file, never adds one
-        target = os.path.join(path, f"part-{TaskContext.get().partitionId():05d}.csv.zip")
-        tmp = target + ".tmp"
-        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr("data.csv", pdf.to_csv(index=False))
-        os.replace(tmp, target)
-        yield pd.DataFrame({"path": [target], "rows": [len(pdf)]})
+        target = f"{folder}/part-{TaskContext.get().partitionId():05d}.csv.zip"
+        part = f"{target}.{uuid.uuid4().hex}.tmp"
+        rows = 0
+        with (store.open_output_stream(part, compression=None) as raw,
+              zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf,
+              zf.open("data.csv", "w", force_zip64=True) as member,
+              io.TextIOWrapper(member, "utf-8", newline="") as out):
+            for pdf in batches:
+                pdf[cols].to_csv(out, index=False, header=rows == 0)
+                rows += len(pdf)
+        if rows:
+            store.move(part, target)
+            yield pd.DataFrame({"path": [target], "rows": [rows]})
+        else:
+            store.delete_file(part)
 
     # as text: pandas would turn integers with a null among them into doubles
     return df.select(*[F.col(c).cast("string").alias(c) for c in cols]).mapInPandas(write, "path string, rows long")

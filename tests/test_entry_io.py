@@ -48,6 +48,33 @@ def test_csv_roundtrip_multiline(spark):
     assert sorted(tuple(r) for r in back.collect()) == sorted(want)
 
 
+def test_single_line_csv_is_split(spark):
+    path = scratch_path(spark, "t_split")
+    spark.range(20_000).selectExpr("cast(id AS string) AS id", "'text' AS t").coalesce(1).write.option("header", True).csv(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        d = IO.read_csv(spark, path, "id string, t string", multi_line=False)
+        assert d.rdd.getNumPartitions() > 1 and d.count() == 20_000
+        assert IO.read_csv(spark, path, "id string, t string").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_zip_writer_streams_batches_and_skips_empty_partitions(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        path = scratch_path(spark, "t_zip_batches")
+        df = spark.range(0, 1_000, 1, 3).where("id < 400").selectExpr("id", "concat('zeile ', id, ' ä') AS t")
+        done = IO.write_zipped_csv(df, path).collect()
+        assert sum(r["rows"] for r in done) == 400 and len(done) == 2
+        back = IO.read_zipped_csv(spark, path, "id long, t string")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_zip_roundtrip(spark):
     df = spark.createDataFrame([("1", "a,b", 2), ("2", "x\ny", None)], "id string, t string, n int").repartition(2)
     path = scratch_path(spark, "t_zip")
