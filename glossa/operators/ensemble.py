@@ -68,23 +68,33 @@ def wide_inner(long_df: DataFrame, id_col: str, name_col: str, value_col: str,
                names: Sequence[str], rename: Mapping[str, str] | None = None,
                carry: Sequence[str] = ()) -> DataFrame:                                        # J4
     """N-way inner join of per-name score files on ``id``: one row per id present
-    in every file, a column per name (``carry`` columns: their non-null max)."""
+    in every file, a column per name (``carry`` columns: their non-null max). A file with two
+    rows for an id is an error."""
     rename = dict(rename or {})
-    aggs = [F.max(c).alias(c) for c in carry]
-    for n in names:
-        hit = F.col(name_col) == F.lit(n)
-        aggs.append(F.max(F.when(hit, F.col(value_col))).alias(rename.get(n, n)))
-        aggs.append(F.max(F.when(hit, F.lit(1))).alias(f"_has_{n}"))
-    g = long_df.groupBy(id_col).agg(*aggs)
+    g = long_df.groupBy(id_col).agg(*[F.max(c).alias(c) for c in carry], *_pivot(name_col, value_col, names))
     present = reduce(lambda a, b: a & b, [F.col(f"_has_{n}").isNotNull() for n in names])
-    return g.where(present).drop(*[f"_has_{n}" for n in names])
+    return g.where(present).select(id_col, *carry, *[_single(id_col, n).alias(rename.get(n, n)) for n in names])
+
+
+def _pivot(name_col: str, value_col: str, names: Sequence[str]) -> list[Column]:
+    """The value of each name and how many rows have it (null: none), as aggregates."""
+    hits = {n: F.col(name_col) == F.lit(n) for n in names}
+    return ([F.max(F.when(hit, F.col(value_col))).alias(f"_at_{n}") for n, hit in hits.items()]
+            + [F.sum(F.when(hit, F.lit(1))).alias(f"_has_{n}") for n, hit in hits.items()])
+
+
+def _single(id_col: str, name: str) -> Column:
+    """The value of ``name``; raises where an id has several rows of it."""
+    twice = F.raise_error(F.concat(F.lit(f"several rows of {name} for one id: "), F.col(id_col).cast("string")))
+    return F.when(F.col(f"_has_{name}") > 1, twice.cast("double")).otherwise(F.col(f"_at_{name}"))
 
 
 def wide_left(base: DataFrame, long_df: DataFrame, id_col: str, name_col: str, value_col: str,
               names: Sequence[str]) -> DataFrame:                                            # J3
-    """Left-join enrichment of ``base`` with one column per score file."""
-    aggs = [F.max(F.when(F.col(name_col) == F.lit(n), F.col(value_col))).alias(n) for n in names]
-    return base.join(long_df.groupBy(id_col).agg(*aggs), on=id_col, how="left")
+    """Left-join enrichment of ``base`` with one column per score file. A file with two rows for an
+    id is an error."""
+    wide = long_df.groupBy(id_col).agg(*_pivot(name_col, value_col, names))
+    return base.join(wide.select(id_col, *[_single(id_col, n).alias(n) for n in names]), on=id_col, how="left")
 
 
 def fold_key(view: str, fold: int) -> str:

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -62,6 +62,12 @@ def train_classifier(df: DataFrame, tokens_col: str = "toks", label_col: str = "
     return best
 
 
+def train_variants(variants: Mapping[str, DataFrame], **options) -> dict[str, tuple[PipelineModel, float]]:   # M1
+    """One model and its validation AUC per variant (a fold, a language), each trained on its own rows
+    as in ``train_classifier``. Write rows that several variants share before."""
+    return {name: train_classifier(rows, **options) for name, rows in variants.items()}
+
+
 def predict(model: PipelineModel, df: DataFrame, id_col: str = "id", out: str = "toxic") -> DataFrame:   # M2
     p = model.transform(df)
     return p.select(id_col, vector_to_array("probability")[1].alias(out))

@@ -9,6 +9,7 @@ from glossa.functions import text as T
 from glossa.operators import ensemble as E
 from glossa.operators import labels as L
 from glossa.operators import model as MD
+from glossa.operators import sampling as S
 from glossa.operators import vocab as V
 from glossa.plans import fixtures as X
 from glossa.plans.registry import query, r6
@@ -91,17 +92,48 @@ def m05_view_mean(spark, sf):
     return E.doc_mean(view_scores(spark, sf, ["lin_a"])).select("id", r6("toxic").alias("toxic"))
 
 
-@query("m01_train_classifier", None)
-def m01_train_classifier(spark, sf):
-    """Train on labelled comments (weight 1) plus pseudo-labelled rows (weight
-    0.5), pick regularisation by validation AUC, score every comment."""
+def training_rows(spark, sf):
+    """All tokenised comments, and the rows to train on: labelled comments (weight 1) plus
+    pseudo-labelled ones (weight 0.5)."""
     from glossa.plans.q_tokens import tokenised
     t = materialize(tokenised(spark, sf))
-    lab = t.where(F.col("toxic").isNotNull()).select("id", "toks", F.col("toxic").cast("double").alias("label"),
+    lab = t.where(F.col("toxic").isNotNull()).select("id", "lang", "toks", F.col("toxic").cast("double").alias("label"),
                                                      F.lit(1.0).alias("w"))
     sc = X.scores(spark, sf).where(F.col("model") == "m0").select("id", F.col("toxic").alias("p"))
     pseudo = (t.where(F.col("toxic").isNull()).join(sc, "id")
-              .select("id", "toks", L.binarise(L.round1("p"), 0.5).cast("double").alias("label"), F.lit(0.5).alias("w")))
-    model, auc = MD.train_classifier(lab.unionByName(pseudo), "toks", "label", "w")
+              .select("id", "lang", "toks", L.binarise(L.round1("p"), 0.5).cast("double").alias("label"), F.lit(0.5).alias("w")))
+    return t, lab.unionByName(pseudo)
+
+
+@query("m01_train_classifier", None)
+def m01_train_classifier(spark, sf):
+    """Train on labelled and pseudo-labelled comments, pick regularisation by validation AUC, score
+    every comment."""
+    t, rows = training_rows(spark, sf)
+    model, auc = MD.train_classifier(rows, "toks", "label", "w")
     scored = MD.predict(model, t.select("id", "toks"))
     return scored.select("id", r6("toxic").alias("toxic"), F.round(F.lit(auc), 6).alias("validation_auc"))
+
+
+FOLDS = (0, 1)                                    # of the ten folds of G4
+MONO_LANGS = tuple(lang for lang, _ in X.VIEW_LANGS)
+
+
+@query("m06_train_variants", X.with_fixtures(
+    " UNION ALL ".join([f"SELECT id, 'fold_{f}' AS variant, true AS in_range FROM comments" for f in FOLDS]
+                       + ["SELECT id, 'mono_' || lang AS variant, true AS in_range FROM comments WHERE lang IN ("
+                          + ", ".join(f"'{x}'" for x in MONO_LANGS) + ")"]), "comments"))
+def m06_train_variants(spark, sf):
+    """One model per fold (all positives, a tenth of the negatives: G4), which scores all comments, and one
+    per language, which scores the comments of its language. SQL can check the rows and the range only."""
+    t, rows = training_rows(spark, sf)
+    rows = materialize(rows)
+    variants = {f"fold_{f}": S.fold_downsample(rows, f, "label", "id") for f in FOLDS}
+    variants |= {f"mono_{x}": rows.where(F.col("lang") == x) for x in MONO_LANGS}
+    out = None
+    for name, (model, _) in MD.train_variants(variants, weight_col="w", reg_params=(0.1,)).items():
+        texts = t.where(F.col("lang") == name.removeprefix("mono_")) if name.startswith("mono_") else t
+        scored = MD.predict(model, texts.select("id", "toks")).select(
+            "id", F.lit(name).alias("variant"), F.col("toxic").between(0.0, 1.0).alias("in_range"))
+        out = scored if out is None else out.unionByName(scored)
+    return out

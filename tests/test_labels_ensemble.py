@@ -68,6 +68,17 @@ def test_wide_inner_drops_incomplete_ids(spark):
     assert [(r.id, r.x, r.y) for r in got] == [("a", 0.1, 0.2)]
 
 
+def test_two_rows_of_one_score_file_are_an_error(spark):
+    long = spark.createDataFrame([("a", "x", 0.1), ("a", "x", 0.2), ("a", "y", 0.2)], "id string, name string, v double")
+    base = spark.createDataFrame([("a",), ("b",)], "id string")
+    with pytest.raises(Exception, match="several rows of x"):
+        E.wide_inner(long, "id", "name", "v", ["x", "y"]).collect()
+    with pytest.raises(Exception, match="several rows of x"):
+        E.wide_left(base, long, "id", "name", "v", ["x"]).collect()
+    got = E.wide_left(base, long, "id", "name", "v", ["y"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [("a", 0.2), ("b", None)]
+
+
 def test_final_blend_ranks_three_inputs_and_takes_the_fourth_raw(spark):
     def scores(*values):
         return spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, value double")
@@ -142,5 +153,8 @@ def test_classifier_learns_and_reports_its_auc(spark):
     assert auc == 1.0
     p = {r.id: r.toxic for r in MD.predict(model, df).collect()}
     assert len(p) == 200 and p["d1"] > 0.5 > p["d0"]
+    by_word = {f"w{k}": df.where(F.col("toks")[1] == f"w{k}") for k in (0, 1)}
+    models = MD.train_variants(by_word, reg_params=(0.01,))
+    assert set(models) == {"w0", "w1"} and {r.id: r.toxic for r in MD.predict(models["w0"][0], df).collect()}["d1"] > 0.5
     again = MD.train_classifier(df.repartition(3), reg_params=(0.01,))[1]
     assert again == auc
