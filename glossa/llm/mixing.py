@@ -48,9 +48,10 @@ def source_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
         match = sizes["source"].eqNullSafe(given["source"])
         weighed = sizes.join(F.broadcast(given), match, "left").select(
             sizes["source"], "n_docs", "n_words", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    total = weighed.agg(F.sum("n_words").alias("all_words"), F.sum(F.when(F.col("n_words") > 0, F.col("weight"))).alias("all_weight"))
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_words") * F.lit(float(epochs)) / F.col("n_words")
-    return weighed.join(F.broadcast(total)).select(           # total is one row
+    all_words = weighed.select(F.sum("n_words")).scalar()
+    all_weight = weighed.select(F.sum(F.when(F.col("n_words") > 0, F.col("weight")))).scalar()
+    rate = F.col("weight") / all_weight * all_words * F.lit(float(epochs)) / F.col("n_words")
+    return weighed.select(
         "source", "n_docs", "n_words", F.when((F.col("n_words") > 0) & (F.col("weight") > 0), rate).otherwise(0.0).alias("rate"))
 
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from glossa.llm.storage import join_small, stored
 from glossa.llm.texts import utf8_column
 from glossa.session import scratch_path
+from glossa.sources.io import filesystem_of
 
 ARCHIVE_BYTES = 64 << 20
 MIN_REVISIT_BYTES = 0
@@ -84,13 +85,6 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-    if uri.startswith("s3a:"):
-        uri = "s3" + uri[3:]
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Writes all rows and returns the manifest ``path, n_records``, stored."""
@@ -107,7 +101,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 def _write(folder: str):
     def run(batches):
-        filesystem, base = _filesystem(folder)
+        filesystem, base = filesystem_of(folder)
         filesystem.create_dir(base, recursive=True)
         out, n, size, path = None, 0, 0, None
         done = []
@@ -200,7 +194,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
 
 
 def _read_one(path: str, n_records: int, payloads: bool):
-    filesystem, inner = _filesystem(path)
+    filesystem, inner = filesystem_of(path)
     rows, n = [], 0
 
     def batch():
