@@ -189,3 +189,23 @@ def test_shards_are_exact_and_gapless(spark):
     assert sharding.shard(d.where("doc_id < 0"), ["doc_id"]).count() == 0
     full = sharding.shard(frame(spark), ["doc_id", "text"])
     assert full.columns == ["doc_id", "text", "kept", "shard", "slot"] and full.count() == len(EDGES)
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 20])
+def test_copies_of_a_row_spread_like_other_rows(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(sharding, "HOT_ROWS", hot_rows)
+    rows = [(i, f"text {i}") for i in range(200) for _ in range(8)] + [(None, "no id")] * 800
+    d = frame(spark, rows)
+    out = sharding.shard(d, ["doc_id", "text"]).select("doc_id", "shard", "slot").collect()
+    places = {}
+    for r in out:
+        places.setdefault(r.doc_id, []).append(r["shard"])
+    same = [a == b for i, at in places.items() if i is not None for k, a in enumerate(at) for b in at[:k]]
+    assert abs(np.mean(same) - 1 / 8) < 0.02                       # 5,600 pairs of copies
+    hot = np.bincount(places[None], minlength=8)                   # hypergeometric: mean 100, deviation 7.6
+    assert hot.sum() == 800 and abs(hot - 100).max() < 40
+    order = [r.doc_id for r in sorted(out, key=lambda r: (r["shard"], r.slot)) if r.doc_id is not None]
+    assert np.mean([a == b for a, b in zip(order, order[1:])]) < 0.03
+    assert Counter(r["shard"] for r in out) == {k: 300 for k in range(8)}
+    again = sharding.shard(d.repartition(6), ["doc_id", "text"]).select("doc_id", "shard", "slot").collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
