@@ -8,11 +8,13 @@ differs in at most RADIUS // BLOCKS bits). A window of similarity 0.75 lies 11 b
 its item in the mean, ``RADIUS`` is four standard deviations beyond. Candidates are
 verified by exact weighted Jaccard similarity.
 
-A window as similar as that shares a shingle with the item. So the windows that are
-fingerprinted are those of an item's size laid where a shared shingle puts it; no other
-window at these places is left out. The items' shingles are compiled into the scan as a set, at
-most ``MAX_SHINGLES`` at once (more items: several passes), and their index, of at most
-``BLOCKS * 37`` rows per item of a pass, is broadcast.
+A window as similar as that shares a number of shingles with the item that follows from the
+sizes of both, in any order of its parts. So the windows that are fingerprinted are all those of an
+item's size, at any start, that hold as many places of the item's shingles; no other window can
+reach the similarity. Documents are first cut into stretches around shared places (``_stretches``)
+and a stretch with fewer places than the smallest item needs ends there. The items' shingles
+are compiled into the scan as a set, at most ``MAX_SHINGLES`` at once (more items: several
+passes), and their index, of at most ``BLOCKS * 37`` rows per item of a pass, is broadcast.
 
 Defined results: words are lower-cased; an item or document with fewer than five words is one
 shingle; an empty item matches nothing; a document shorter than an item is compared as a
@@ -54,9 +56,10 @@ def with_simhash(df: DataFrame, hashes: str, name: str) -> DataFrame:
     have it. Sum g of sixteen counts the bits g, g + 16, g + 32 and g + 48 in 16-bit lanes of a long."""
     sums = (f"transform(sequence(0, 15), g -> aggregate({hashes}, 0L, "
             f"(acc, x) -> acc + (shiftrightunsigned(x, g) & 281479271743489L)))")
-    bits = (f"aggregate(sequence(0, 63), 0L, (acc, i) -> acc | if(2 * (shiftrightunsigned(_sums[i % 16], "
-            f"cast(16 * (i div 16) as int)) & 65535L) > size({hashes}), shiftleft(1L, i), 0L))")
-    return df.withColumn("_sums", F.expr(sums)).withColumn(name, F.expr(bits)).drop("_sums")
+    # the sums are bound by a lambda, so that the optimiser cannot move them into the loop over the bits
+    bits = (f"transform(array({sums}), s -> aggregate(sequence(0, 63), 0L, (acc, i) -> acc | if(2 * (shiftrightunsigned("
+            f"s[i % 16], cast(16 * (i div 16) as int)) & 65535L) > size({hashes}), shiftleft(1L, i), 0L)))[0]")
+    return df.withColumn(name, F.expr(bits))
 
 
 def _blocks(df: DataFrame, fingerprint: str) -> DataFrame:
@@ -96,24 +99,57 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return out
 
 
-def _one_pass(docs, part, size, id_col, text_col, percent) -> DataFrame:
-    seeds = part.select("item_id", "words", F.posexplode("sh").alias("q", "x")).select("x", "words", "q").distinct()
-    wanted = part.select(F.explode("sh").alias("x")).agg(F.collect_set("x")).scalar()        # about MAX_SHINGLES hashes
+def _needed(a: Column, b: Column, percent: int) -> Column:
+    """Least number of shingles that sets of ``a`` and ``b`` shingles share at a similarity of ``percent``."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))).cast("int")
+
+
+def _stretches(docs: DataFrame, wanted: Column, size: int, widest: int, fewest: int, id_col: str, text_col: str) -> DataFrame:
+    """``_id, _k, n, at, h, hits``: the parts of each document of ``n`` words that any window of a match lies in.
+    A part begins at word ``at``, has word hashes ``h`` and shared shingles ``hits`` (place, hash), at least ``fewest``.
+    Shared places farther apart than the ``widest`` item are in no common window."""
     d = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_k"),
                     word_hashes(F.col(text_col)).alias("h")).withColumn("sh", shingles("h", size))
     d = d.withColumn("shared", F.array_intersect("sh", wanted))
     places = F.filter(F.transform("sh", lambda x, p: F.when(F.array_contains("shared", x), p)), lambda p: p.isNotNull())
-    d = d.withColumn("hits", F.when(F.size("shared") > 0, places))
+    d = d.withColumn("places", F.when(F.size("shared") > 0, places))
+    cuts = F.filter(F.transform("places", lambda p, i: F.when((i == 0) | (p - F.get("places", i - 1) > widest), i)),
+                    lambda i: i.isNotNull())
+    d = d.withColumn("cuts", F.when(F.size("places") >= fewest, cuts))
+    runs = F.transform("cuts", lambda c, j: F.struct(c.alias("a"), F.coalesce(F.get("cuts", j + 1), F.size("places")).alias("b")))
     # explode_outer: the filter an inner explode infers would be pushed down and hash every text twice
-    d = d.select("_id", "_k", "h", "sh", F.explode_outer("hits").alias("p")).where("p is not null")
-    d = d.withColumn("x", F.get("sh", F.col("p"))).drop("sh")
-    d = d.join(F.broadcast(seeds), "x")                                             # at most one row per item shingle
-    n = F.least("words", F.size("h"))
-    d = d.select("_id", "_k", "h", "words", F.least(F.greatest(F.col("p") - F.col("q"), F.lit(0)), F.size("h") - n).alias("start"), n.alias("n_words"))
-    d = d.select("_id", "_k", "words", "start", "n_words", F.slice("h", F.col("start") + 1, F.col("n_words")).alias("w"))
-    d = d.groupBy("_id", "_k", "words", "start", "n_words").agg(F.first("w").alias("w"))
-    d = with_simhash(d.withColumn("ws", shingles("w", size)).drop("w"), "ws", "fp")
-    d = _blocks(d, "fp")
+    d = d.select("_id", "_k", "h", "sh", "places", F.explode_outer(F.filter(runs, lambda r: r["b"] - r["a"] >= fewest)).alias("r"))
+    d = d.where("r is not null")
+    first, last = F.get("places", F.col("r.a")), F.get("places", F.col("r.b") - 1)
+    d = d.withColumn("at", F.greatest(first - widest, F.lit(0))).withColumn("to", F.least(last + widest + size, F.size("h")))
+    inside = F.slice("places", F.col("r.a") + 1, F.col("r.b") - F.col("r.a"))
+    hits = F.transform(inside, lambda p: F.struct(p.alias("p"), F.get("sh", p).alias("x")))
+    return d.select("_id", "_k", F.size("h").alias("n"), "at", F.slice("h", F.col("at") + 1, F.col("to") - F.col("at")).alias("h"),
+                    hits.alias("hits"))
+
+
+def _one_pass(docs, part, size, id_col, text_col, percent) -> DataFrame:
+    seeds = part.select("item_id", "words", F.size("sh").alias("m"), F.explode(F.array_distinct("sh")).alias("x"))
+    wanted = part.select(F.explode("sh").alias("x")).agg(F.collect_set("x")).scalar()        # about MAX_SHINGLES hashes
+    least, widest = part.agg(F.min(F.size("sh")), F.max("words")).first()
+    if least is None:
+        least, widest = 1, size
+    fewest = max(1, -(-percent * least // 100))          # of a shorter document too: both >= percent / 100 * item
+    d = stored(_stretches(docs, wanted, size, widest, fewest, id_col, text_col).dropDuplicates(["_id", "_k", "at"]), "stretches")
+    near = d.select("_id", "_k", "n", "at", F.explode("hits").alias("s")).select("_id", "_k", "n", "at", "s.p", "s.x")
+    near = near.join(F.broadcast(seeds), "x")                                       # at most one row per item shingle
+    near = near.groupBy("_id", "_k", "n", "at", "item_id", "words", "m").agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    near = near.withColumn("n_words", F.least("words", "n")).withColumn("w", F.col("n_words") - (size - 1))
+    near = near.withColumn("need", _needed(F.col("m"), F.col("w"), percent)).where(F.size("ps") >= F.col("need"))
+    # windows that hold the places i .. i + need - 1
+    low, high = F.get("ps", F.col("i") + F.col("need") - 1) - F.col("w") + 1, F.least(F.get("ps", F.col("i")), F.col("n") - F.col("n_words"))
+    near = near.select("*", F.explode(F.sequence(F.lit(0), F.size("ps") - F.col("need"))).alias("i"))
+    near = near.withColumn("low", F.greatest(low, F.lit(0))).withColumn("high", high).where("low <= high")
+    near = near.select("_id", "_k", "at", "words", "n_words", F.explode(F.sequence("low", "high")).alias("start")).distinct()
+    parts = d.select(F.col("_id").alias("_id2"), F.col("_k").alias("_k2"), F.col("at").alias("at2"), "h")
+    d = near.join(parts, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_k") == F.col("_k2")) & (F.col("at") == F.col("at2")))
+    d = d.select("_id", "_k", "words", "start", "n_words", F.slice("h", F.col("start") - F.col("at") + 1, F.col("n_words")).alias("w"))
+    d = _blocks(stored(with_simhash(d.withColumn("ws", shingles("w", size)).drop("w"), "ws", "fp"), "windows"), "fp")
     flips = F.array(*[F.lit(x) for x in FLIPS])
     index = _blocks(part.select("item_id", "words", F.col("fp").alias("item_fp")), "item_fp")
     index = index.withColumn("b", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("b")))))

@@ -88,6 +88,30 @@ def test_decontamination_matches_brute_force(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_decontamination_finds_reordered_passages(spark):
+    rnd = random.Random(9)
+    items = [words(rnd, n) for n in (40, 60, 100, 58, 61, 90)] + [["rep", "eat"] * 20]
+    docs = []
+    for item in items:
+        cut, third = len(item) // 2, len(item) // 3
+        for parts in ([item[cut:], item[:cut]], [item[2 * third:], item[third:2 * third], item[:third]], [item[:third], ["x"], item[third:]]):
+            for n in (0, 7, 300):
+                docs.append(words(rnd, n) + sum(parts, []) + words(rnd, n))
+    want = {}
+    for d, w in enumerate(docs):
+        for k, item in enumerate(items):
+            n = min(len(item), len(w))
+            best = max(similarity(w[s:s + n], item, 5) for s in range(len(w) - n + 1))
+            if best >= 0.75:
+                want[d, k] = best
+    assert len({d for d, _ in want}) > 45                          # most of the 63 documents, swapped ones too
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(df.repartition(4), bench).collect()}
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-5 for k in want)
+
+
 def test_decontamination_edges(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "x a b c d e f g"), (3, None), (4, ""), (5, "clean " * 5_000)]
