@@ -75,7 +75,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
-_SIGNED = "id long, o long, v int, n long, s long, s2 long, bands array<long>"
+_SIGNED = "id long, o long, v long, n long, s long, s2 long, bands array<long>"
 
 
 def _sign(batches):
@@ -250,7 +250,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select("o", "v").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*docs.columns).alias("_r"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("o"),
-                       F.hash(text).alias("v"))
+                       F.xxhash64(text).alias("v"))
     return rows.join(gone, ["o", "v"], "left_anti").select("_r.*")
 
 

@@ -161,9 +161,9 @@ def quality_scores(docs: DataFrame, model: Classifier | None, id_col: str = "doc
                                              names=["id", "v", "host", "path", "e"])
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.hash(text).alias("v"), _group(host_col).alias("host"),
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("v"), _group(host_col).alias("host"),
                        _group(path_col).alias("path"), text.alias("text"))
-    scored = stored(rows.mapInArrow(score, f"id {kind}, v int, host string, path string, e double"), "evidence")
+    scored = stored(rows.mapInArrow(score, f"id {kind}, v long, host string, path string, e double"), "evidence")
     p = 1 / (1 + F.exp(-F.col("e")))
     paths = stored(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(p).alias("b")), "paths")
     total = paths.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()              # one row
@@ -187,7 +187,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that the classifier keeps."""
     bad = classify(docs, labels, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_id"), F.col("v").alias("_v")).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("_r"), F.col(id_col).alias("_id0"), F.hash(text).alias("_v0"))
+    rows = docs.select(F.struct(*docs.columns).alias("_r"), F.col(id_col).alias("_id0"), F.xxhash64(text).alias("_v0"))
     return rows.join(bad, F.col("_id0").eqNullSafe(F.col("_id")) & (F.col("_v0") == F.col("_v")), "left_anti").select("_r.*")
 
 

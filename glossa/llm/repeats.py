@@ -47,11 +47,11 @@ class Unit:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``o``, ``v``, ``text``: the order of a document (its id) and a checksum that keeps
+    """``o``, ``v``, ``text``: the order of a document (its id) and a 64-bit checksum that keeps
     documents apart that share an id or have none."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("o"),
-                       F.hash(text).alias("v"), text.alias("text"), F.col(id_col).cast("long").alias("id"))
+                       F.xxhash64(text).alias("v"), text.alias("text"), F.col(id_col).cast("long").alias("id"))
 
 
 def repeated_windows(docs: DataFrame, unit: Unit) -> DataFrame:
@@ -71,8 +71,8 @@ def repeated_windows(docs: DataFrame, unit: Unit) -> DataFrame:
 
 # ------------------------------------------------------------------ step 1: super-k-mers
 
-_SEGMENT = "mini long, salt int, content long, o long, v int, start int, n int"
-_FIRST = "mini long, o long, v int, start int, n int"
+_SEGMENT = "mini long, salt int, content long, o long, v long, start int, n int"
+_FIRST = "mini long, o long, v long, start int, n int"
 
 
 def _elements(text, unit: Unit) -> np.ndarray:
@@ -188,10 +188,10 @@ def _first_batch(mini, o, v, start, n):
 
 # ------------------------------------------------------------------ step 2: windows
 
-_PACKED = "mini long, full boolean, o long, v int, start int, n int, packed binary"
-_SPAN = "o long, v int, start int, n int"
-_WINDOW = "a long, b long, o long, v int, start int"
-_WALKED = "kind int, a long, b long, o long, v int, start int"
+_PACKED = "mini long, full boolean, o long, v long, start int, n int, packed binary"
+_SPAN = "o long, v long, start int, n int"
+_WINDOW = "a long, b long, o long, v long, start int"
+_WALKED = "kind int, a long, b long, o long, v long, start int"
 
 
 def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
@@ -231,7 +231,7 @@ def _pack(unit: Unit):
                     for column, x in zip(rows, (c["mini"], c["full"], o[i], v[i], a, c["n"], body)):
                         column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(),
+                [pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(),
                                                        pa.int32(), pa.binary()))],
                 names=["mini", "full", "o", "v", "start", "n", "packed"])
     return run
@@ -296,7 +296,7 @@ def _walk_windows(unit: Unit):
             opening = bool(is_open[-1])
             last = (a[-1], b[-1], *(x[-1] for x in first))
         if last is not None:
-            yield _walked(2, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int64, np.int32, np.int32))))
+            yield _walked(2, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int64, np.int64, np.int32))))
     return run
 
 

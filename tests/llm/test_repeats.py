@@ -5,8 +5,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from glossa.llm import repeats, substring_dedup, suffix_dedup
+from glossa.llm import near_dedup, quality_bayes, repeats, substring_dedup, suffix_dedup
 
 SCHEMA = "doc_id long, text string, kept string, spans int"
 
@@ -99,6 +100,19 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted((r.doc_id or 9, r.n_removed) for r in cut) == [(1, 0), (1, 0), (2, 0), (9, 0), (9, len(text))]
 
 
+def test_texts_of_equal_32_bit_checksum_are_told_apart(spark):
+    made = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(39)), lambda j: F.concat(F.lit("u"), F.col("id"), F.lit("x"), j)))
+    texts = spark.range(300_000).select(made.alias("text"), F.hash(made).alias("h"))
+    a, b = texts.groupBy("h").agg(F.collect_list("text").alias("t")).where(F.size("t") > 1).orderBy("h").first().t[:2]
+    rows = [(1, a), (None, a), (None, b)]
+    clean = lambda out: [r.kept for r in out.collect() if r.n_removed == 0]
+    assert sorted(clean(substring_dedup.dedup_substrings(frame(spark, rows)))) == sorted([a, b])
+    assert sorted(bytes(x).decode() for x in clean(suffix_dedup.dedup_suffixes(frame(spark, rows)))) == sorted([a, b])
+    assert sorted(r.text for r in near_dedup.keep_one(frame(spark, rows)).collect()) == sorted([a, b])
+    marks = quality_bayes.quality_scores(frame(spark, rows), None, host_col="kept", path_col="kept")
+    assert marks.select("v").distinct().count() == 2
+
+
 def test_empty_table(spark):
     assert substring_dedup.dedup_substrings(frame(spark, [])).collect() == []
     assert suffix_dedup.dedup_suffixes(frame(spark, [])).collect() == []
