@@ -24,9 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each group of near-duplicates the document with the smallest id stays."""
+    """Operator 4: of each group of near-duplicates one row of the smallest id stays."""
     _ready(spark)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_single(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,8 +98,8 @@ def _sign(batches):
                 names=["id", "o", "v", "n", "s", "s2", "bands"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id, kept`` and the key ``o, v`` of ``repeats.keyed``, per row of ``docs``."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, o, v, n, s, c`` per row of ``docs``: its key, size of its set, node and component."""
     rows = keyed(docs, id_col, text_col)
     signed = stored(rows.mapInArrow(_sign, _SIGNED), "signed")
     # one node per distinct set; s is its name, s2 keeps apart sets whose names collide
@@ -110,7 +110,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stored(rows.select("o", "v", "text").join(wanted, ["o", "v"]).select("s", "text"), "texts")
     labels = _link(buckets, texts)
     signed = signed.select("id", "o", "v", "n", "s").join(labels, "s", "left").withColumn("c", F.coalesce("c", "s"))
-    signed = stored(signed, "labelled")
+    return stored(signed, "labelled")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_shingles, component_id, kept`` and the key ``o, v`` of ``repeats.keyed``, per row of ``docs``."""
+    signed = _labelled(docs, id_col, text_col)
     least = signed.where("n > 0").groupBy("c").agg(F.min("o").alias("least"))
     full = signed.where("n > 0").join(least, "c").unionByName(signed.where("n = 0").withColumn("least", F.col("o")))
     known = F.when(F.col("least") < NO_ID, F.col("least"))
@@ -254,6 +259,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.join(gone, ["o", "v"], "left_anti").select("_r.*")
 
 
+def keep_single(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component one row of the smallest (id, text
+    checksum) stays, also if rows repeat, share an id or have none. Rows without words all stay."""
+    marked = _labelled(docs, id_col, text_col).where("n > 0").groupBy("c", "o", "v").agg(F.count(F.lit(1)).alias("m"))
+    marked = stored(marked, "marked")
+    least = marked.groupBy("c").agg(F.min(F.struct("o", "v")).alias("at"))
+    # a row's state: null if it is alone, 1 if it is the first of rows that repeat, 0 if it goes
+    stays = (F.col("o") == F.col("at.o")) & (F.col("v") == F.col("at.v"))
+    state = marked.join(least, "c").withColumn("state", F.when(~stays, 0).when(F.col("m") > 1, 1)).where("state is not null")
+    state = stored(state.groupBy("o", "v").agg(F.min("state").alias("state")), "state")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("_r"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("o"),
+                       F.xxhash64(text).alias("v"))
+    alone = rows.join(state, ["o", "v"], "left_anti").select("_r.*")
+    # a partial minimum in every task first: equal rows are no hot key
+    first = rows.join(state.where("state = 1"), ["o", "v"], "left_semi").groupBy("o", "v").agg(F.min("_r").alias("_r"))
+    return alone.unionByName(first.select("_r.*"))
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The columns of the query."""
     return result.select("doc_id", "n_shingles", "component_id", "kept")

@@ -60,6 +60,19 @@ def test_repeated_rows_null_ids_and_empty(spark):
     assert N.near_duplicates(df.where("doc_id = 99")).count() == 0
 
 
+def test_stage_leaves_one_row_of_each_group(spark):
+    import corpus_pipeline
+    text, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "wv")
+    near, last = text + " end", other + " end"
+    rows = [(4, text), (4, text), (4, near), (None, text), (8, near)] + [(None, other)] * 20 + [(None, last)] * 20
+    rows += [(7, "other words"), (9, None), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dups(spark, df, "").collect()]
+    assert sum(t in (text, near) and i == 4 for i, t in got) == 1
+    assert sum(t in (other, last) and i is None for i, t in got) == 1
+    assert sorted(i for i, t in got if t in ("other words", None)) == [7, 9, 9] and len(got) == 5
+
+
 def test_signature_estimates_similarity():
     h = N.CirculantMinHash()
     rng = np.random.default_rng(1)
