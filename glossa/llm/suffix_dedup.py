@@ -1,13 +1,8 @@
 """Operator 6, suffix-array dedup: removes bytes inside long strings that occur earlier in the corpus.
 
-Method: prefix doubling over a sparse suffix array (``repeats``). The first round ranks
-the suffixes at sampled positions (minimisers: every 100-byte string holds one) by their
-first ``GRAM_BYTES`` bytes, and those with a unique rank drop out. The second ranks
-whole runs; runs that are equal in full are settled. In the remaining runs every
-position gets the rank of its first 50 bytes, and Spark's buckets sort the pairs
-(rank at p, rank at p + 50), which orders 100 bytes: past the threshold, all but the
-first position of a class are repeats. A suffix array of every byte would shuffle
-more than 16 bytes per byte of text in every round.
+Method: not prefix doubling, but the super-k-mer partitioning of operator 1 (``repeats``) with bytes
+for words: super-k-mers by minimiser, then windows of ``width`` bytes named by two 64-bit hashes of their
+halves and sorted once. There is no rank table, no reranking and no growing offset.
 
 Defined results: a null or empty text has no bytes; matches never cross documents; a null
 id counts as larger than all ids; rows that share an id are ordered by a checksum of the text;
