@@ -69,8 +69,8 @@ def _blocks(df: DataFrame, fingerprint: str) -> DataFrame:
 
 
 def prepared_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, words, size, sh, fp``: word count, shingle size, shingle hashes and fingerprint."""
-    d = items.select(F.col(id_col).alias("item_id"), word_hashes(F.col(text_col)).alias("h")).withColumn("words", F.size("h"))
+    """``item_id, key, words, size, sh, fp``: a hash of id and text, word count, shingle size, shingle hashes and fingerprint."""
+    d = items.select(F.col(id_col).alias("item_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), word_hashes(F.col(text_col)).alias("h")).withColumn("words", F.size("h"))
     d = d.where("words > 0").withColumn("size", F.least("words", F.lit(SHINGLE_WORDS)))
     sh = F.lit(None).cast("array<bigint>")
     for k in range(SHINGLE_WORDS, 0, -1):
@@ -88,7 +88,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     for size, n in sorted((r["size"], r["n"]) for r in sizes):
         passes = -(-n // MAX_SHINGLES)
         for k in range(passes):
-            part = bench.where((F.col("size") == size) & (F.pmod(F.hash("item_id"), F.lit(passes)) == k))
+            part = bench.where((F.col("size") == size) & (F.pmod(F.hash("key"), F.lit(passes)) == k))
             found = _one_pass(docs, part, size, id_col, text_col, percent)
             out = found if out is None else out.unionByName(found)
     if out is None:
@@ -129,7 +129,7 @@ def _stretches(docs: DataFrame, wanted: Column, size: int, widest: int, fewest:
 
 
 def _one_pass(docs, part, size, id_col, text_col, percent) -> DataFrame:
-    seeds = part.select("item_id", "words", F.size("sh").alias("m"), F.explode(F.array_distinct("sh")).alias("x"))
+    seeds = part.select("key", "words", F.size("sh").alias("m"), F.explode(F.array_distinct("sh")).alias("x"))
     wanted = part.select(F.explode("sh").alias("x")).agg(F.collect_set("x")).scalar()        # about MAX_SHINGLES hashes
     least, widest = part.agg(F.min(F.size("sh")), F.max("words")).first()
     if least is None:
@@ -138,7 +138,7 @@ def _one_pass(docs, part, size, id_col, text_col, percent) -> DataFrame:
     d = stored(_stretches(docs, wanted, size, widest, fewest, id_col, text_col).dropDuplicates(["_id", "_k", "at"]), "stretches")
     near = d.select("_id", "_k", "n", "at", F.explode("hits").alias("s")).select("_id", "_k", "n", "at", "s.p", "s.x")
     near = near.join(F.broadcast(seeds), "x")                                       # at most one row per item shingle
-    near = near.groupBy("_id", "_k", "n", "at", "item_id", "words", "m").agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    near = near.groupBy("_id", "_k", "n", "at", "key", "words", "m").agg(F.sort_array(F.collect_list("p")).alias("ps"))
     near = near.withColumn("n_words", F.least("words", "n")).withColumn("w", F.col("n_words") - (size - 1))
     near = near.withColumn("need", _needed(F.col("m"), F.col("w"), percent)).where(F.size("ps") >= F.col("need"))
     # windows that hold the places i .. i + need - 1
@@ -151,12 +151,12 @@ def _one_pass(docs, part, size, id_col, text_col, percent) -> DataFrame:
     d = d.select("_id", "_k", "words", "start", "n_words", F.slice("h", F.col("start") - F.col("at") + 1, F.col("n_words")).alias("w"))
     d = _blocks(stored(with_simhash(d.withColumn("ws", shingles("w", size)).drop("w"), "ws", "fp"), "windows"), "fp")
     flips = F.array(*[F.lit(x) for x in FLIPS])
-    index = _blocks(part.select("item_id", "words", F.col("fp").alias("item_fp")), "item_fp")
+    index = _blocks(part.select("key", "words", F.col("fp").alias("item_fp")), "item_fp")
     index = index.withColumn("b", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("b")))))
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     pairs = d.join(F.broadcast(index), ["words", "i", "b"]).withColumn("hamming", hamming).where(F.col("hamming") <= RADIUS)
-    pairs = pairs.groupBy("_id", "_k", "item_id", "start", "n_words").agg(F.first("hamming").alias("hamming"), F.first("ws").alias("ws"))
-    pairs = pairs.join(F.broadcast(part.select("item_id", "sh")), "item_id")
+    pairs = pairs.groupBy("_id", "_k", "key", "start", "n_words").agg(F.first("hamming").alias("hamming"), F.first("ws").alias("ws"))
+    pairs = pairs.join(F.broadcast(part.select("key", "item_id", "sh").dropDuplicates(["key"])), "key")
     both = F.aggregate(F.array_distinct("sh"), F.lit(0), lambda acc, x: acc + F.least(
         F.size(F.filter("sh", lambda y: y == x)), F.size(F.filter("ws", lambda y: y == x))))
     pairs = pairs.withColumn("both", both).withColumn("all", F.size("sh") + F.size("ws") - F.col("both"))

@@ -122,6 +122,12 @@ def test_decontamination_edges(spark):
     assert decontaminate.contaminated(docs.where("doc_id > 9"), bench).count() == 0
 
 
+def test_items_without_id_are_found(spark):
+    bench = spark.createDataFrame([(None, "a b c d e f g"), (None, "h i j k l m n")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a b c d e f g"), (2, "clean text of some words")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()] == [(1, None)]
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_equals_its_stages(spark):
