@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL twins."""
+"""The registered queries of the thirteen operators and their SQL twins."""
 
 from __future__ import annotations
 
@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import (decontaminate, mixing, near_dedup, quality_bayes, quality_rules, sharding, substring_dedup,
-                        suffix_dedup, token_counts, warc)
+from glossa.llm import (collocations, decontaminate, mixing, near_dedup, quality_bayes, quality_rules, sharding,
+                        substring_dedup, suffix_dedup, token_counts, warc, whitening)
 from glossa.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: the operators that SQL can express in reasonable time; the others are tested against brute force
-ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL}
 
 
 def query(fn):
@@ -70,3 +70,13 @@ def op9_warc(spark, sf_dir):
 def op10_sharding(spark, sf_dir):
     d = sharding.with_digest(load(spark, sf_dir, "documents"))
     return sharding.digest(sharding.shard(d, ["doc_id", "text_crc32", "size"]))
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.digest(collocations.collocations(load(spark, sf_dir, "documents")))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.digest(whitening.whiten(load(spark, sf_dir, "embeddings")))
