@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 POINTS = 12           # quadrature points on the upper half of the contour
-ROUNDS = 60           # subspace iterations before a failure is reported
+ROUNDS = 200          # subspace iterations before a failure is reported
 
 
 def inertia_above(a: np.ndarray, shift: float) -> int:
@@ -37,39 +37,23 @@ def inertia_above(a: np.ndarray, shift: float) -> int:
     return positive
 
 
-def _gap(a: np.ndarray, wanted: int, low: float, high: float) -> float:
-    """A shift with at least ``wanted`` eigenvalues above it and, if bisection can reach that,
-    none of them much closer to it than the next one below."""
-    scale = high - low
-    while high - low > 1e-3 * scale:
+def _shift_below(a: np.ndarray, wanted: int, low: float, high: float, near: float) -> float:
+    """A shift with at least ``wanted`` eigenvalues above it, less than ``near`` below the last of them."""
+    while high - low > near:
         middle = (low + high) / 2
         if inertia_above(a, middle) >= wanted:
             low = middle
         else:
             high = middle
-    # the wanted eigenvalue is in (low, high]; look for a wide empty stretch below it
-    base, step = inertia_above(a, low), (high - low) / 2
-    best, width = low, 0.0
-    floor = low
-    for _ in range(24):
-        nxt = floor - step
-        if inertia_above(a, nxt) == base:
-            width += step
-            best = floor - step / 2 if width > step else best
-            if width >= 8 * (high - low):
-                break
-        else:
-            base, width = inertia_above(a, nxt), 0.0
-        floor, step = nxt, step * 1.25
-    return best
+    return low
 
 
 def top_components(cov: np.ndarray, wanted: int, negligible: float = 1e-12):
     """``(eigenvalues, vectors)`` of the ``wanted`` largest eigenvalues, falling; a vector is a row.
 
     Eigenvalues at or below ``negligible`` times the trace count as zero and are left out.
-    1. Bisection on inertia counts gives an interval that holds the wanted eigenvalues and says
-       how many it holds. 2. A circle around it is the contour: the trapezoidal rule over complex
+    1. Bisection on inertia counts gives an interval that begins just below the wanted eigenvalues
+       and says how many it holds. 2. A circle around it is the contour: the trapezoidal rule over complex
        shifted solves projects a subspace onto its eigenvectors, Rayleigh-Ritz turns that into
        eigenpairs, and the subspace is filtered again until the residuals are at rounding level.
     3. The pairs found inside must be as many as the inertia count; a pair missed raises.
@@ -82,10 +66,12 @@ def top_components(cov: np.ndarray, wanted: int, negligible: float = 1e-12):
         return np.zeros(0), np.zeros((0, d))
     a = a / trace                                                   # eigenvalues in [0, 1]
     wanted = min(wanted, inertia_above(a, negligible))
-    high = min(1.0, float(np.abs(a).sum(axis=1).max())) * (1 + 1e-9) + 1e-9
-    low = max(_gap(a, wanted, 0.0, high), negligible)
-    inside = inertia_above(a, low) - inertia_above(a, high)
-    size = min(d, max(inside + 4, inside * 3 // 2))
+    bound = min(1.0, float(np.abs(a).sum(axis=1).max())) * (1 + 1e-9)
+    first = _shift_below(a, 1, 0.0, bound, 1e-3 / d)
+    high = min(bound, first + 2e-3 / d)                             # no eigenvalue above it
+    low = max(_shift_below(a, wanted, 0.0, high, 1e-3 / d), negligible)
+    inside = inertia_above(a, low)
+    size = min(d, max(4 * inside, inside + 12))
     centre, radius = (low + high) / 2, (high - low) / 2
     angles = np.pi * (np.arange(POINTS) + 0.5) / POINTS
     nodes = centre + radius * np.exp(1j * angles)
