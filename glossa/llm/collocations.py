@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.llm.segments import gram_hashes, mix
@@ -45,7 +45,8 @@ TRIGGER = LONGEST - 1       # words of a trigger, and of the overlap
 SPACING = 16                # mean words between triggers
 BITMAP_BITS = 1 << 26       # 8 MB: what a task holds of the frequent words or pairs
 _SLICE_BYTES = 1 << 13      # of a bitmap, in one row
-_HELD = 400_000             # phrases summed in a task before they are passed on
+_CHUNKS = 40_000            # chunks whose phrases are summed at once
+_HELD = 400_000             # words a task knows by number before it starts anew
 _SALTS = 8
 _CLEAN = bytes(32 if b == 9 else 10 if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -88,48 +89,65 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return stored(parsed.groupBy("lang", "chunk", "more").agg(F.count(F.lit(1)).alias("freq")), "chunks")
 
 
-def _pieces(chunk: bytes, more: bool):
-    """Words of each piece of a chunk and how many of them a phrase may start at."""
-    pieces = [p.split() for p in chunk.split(b"\n")]
-    if not more:
-        for words in pieces:
-            if words:
-                yield words, len(words)
-        return
-    left = sum(map(len, pieces)) - TRIGGER
-    for words in pieces:
-        if left <= 0:
-            return
-        if words:
-            yield words, min(left, len(words))
-        left -= len(words)
+class _Words:
+    """Numbers of the words met in a task, one language: forgotten together when they grow many."""
 
+    def __init__(self):
+        self.names: list = [b"", b"\n", b"\x0b"]          # nothing, end of a piece, end of a chunk
+        self.ids = {name: i for i, name in enumerate(self.names)}
 
-def _sum_phrases(phrases):
-    """A task: ``phrases(lang, words, starts)`` gives a piece's phrases; sums frequencies by language and phrase."""
-    def flush(held):
-        for lang, found in held.items():
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found)), pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
-                    names=["lang", "phrase", "f"])
+    def number(self, tokens: list) -> np.ndarray:
+        ids, names = self.ids, self.names
+        for word in set(tokens).difference(ids):
+            ids[word] = len(names)
+            names.append(word)
+        return np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+
+
+class Positions:
+    """The words of many chunks of one language as arrays, in order.
+
+    ``word`` is a word's number, ``start`` whether phrases are counted from it, ``next`` whether
+    the following word is in the same piece, ``weight`` the frequency of its chunk."""
+
+    def __init__(self, words: _Words, chunk_list: list, more: np.ndarray, freq: np.ndarray):
+        text = b"\x0b".join(chunk_list).replace(b"\n", b" \n ").replace(b"\x0b", b" \x0b ")
+        ids = words.number(text.split(b" "))
+        ids = ids[ids > 0]
+        at = np.flatnonzero(ids > 2)
+        chunk = np.cumsum(ids == 2)[at]
+        behind = np.cumsum(np.bincount(chunk, minlength=len(chunk_list)))[chunk] - 1 - np.arange(len(at))
+        self.word = ids[at]
+        self.start = ~(more[chunk] & (behind < TRIGGER))
+        self.next = np.append(at[1:] == at[:-1] + 1, False)
+        self.weight = freq[chunk]
+
+
+def _summed(key: np.ndarray, weight: np.ndarray):
+    """Distinct keys, the place of each key among them and their summed weights (exact below 2**53)."""
+    found, where = np.unique(key, return_inverse=True)
+    return found, where, np.bincount(where, weights=weight, minlength=len(found)).astype(np.int64)
 
+
+def _sum_phrases(phrases):
+    """A task: ``phrases(lang, words, positions)`` yields phrases with their sums for some ten thousand chunks."""
     def run(batches):
         held: dict = {}
         for whole in batches:
-            for start in range(0, whole.num_rows, 5_000):
-                batch = whole.slice(start, 5_000)
-                langs = batch.column("lang").to_pylist()
-                for lang, chunk, more, freq in zip(langs, batch.column("chunk").to_pylist(), batch.column("more").to_pylist(),
-                                                   batch.column("freq").to_pylist()):
-                    sums = held.setdefault(lang, {})
-                    for words, starts in _pieces(chunk, more):
-                        for phrase in phrases(lang, words, starts):
-                            sums[phrase] = sums.get(phrase, 0) + freq
-                if sum(map(len, held.values())) > _HELD:
-                    yield from flush(held)
+            for start in range(0, whole.num_rows, _CHUNKS):
+                batch = whole.slice(start, _CHUNKS)
+                langs = np.array(batch.column("lang").to_pylist(), object)
+                more = batch.column("more").to_numpy(zero_copy_only=False)
+                freq = batch.column("freq").to_numpy()
+                for lang in sorted(set(langs)):
+                    rows = np.flatnonzero(langs == lang)
+                    words = held.setdefault(lang, _Words())
+                    where = Positions(words, batch.column("chunk").take(pa.array(rows)).to_pylist(), more[rows], freq[rows])
+                    for found, sums in phrases(lang, words, where):
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()), pa.array(sums, pa.int64())],
+                                                         names=["lang", "phrase", "f"])
+                if sum(len(w.names) for w in held.values()) > _HELD:
                     held = {}
-        yield from flush(held)
     return run
 
 
@@ -138,17 +156,11 @@ def _counted(chunks_table: DataFrame, phrases) -> DataFrame:
             .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
 
 
-def _place(lang: Column, phrase: Column) -> Column:
-    """The bit of a phrase in a bitmap; ``Passing`` computes the same."""
-    return F.pmod(F.conv(F.substring(F.md5(F.concat(F.encode(lang, "utf-8"), F.lit(b"\t"), phrase)), 1, 12), 16, 10)
-                  .cast("long"), F.lit(BITMAP_BITS))
-
-
 class Passing:
-    """The phrases that reach the support, as a bitmap: at most ``BITMAP_BITS / 8`` bytes in whatever it is shipped to."""
+    """The phrases that reach the support, as a bitmap: ``BITMAP_BITS / 8`` bytes, whatever their number."""
 
     def __init__(self, counted: DataFrame):
-        bit = counted.select(_place(F.col("lang"), F.col("phrase")).alias("b")).distinct()
+        bit = counted.select(F.pmod(F.xxhash64("lang", "phrase"), F.lit(BITMAP_BITS)).alias("b")).distinct()
 
         def pack(key, table):
             bits = np.zeros(_SLICE_BYTES * 8, np.uint8)
@@ -160,47 +172,63 @@ class Passing:
         for r in slices:
             whole[r["k"] * _SLICE_BYTES:(r["k"] + 1) * _SLICE_BYTES] = r["bits"]
         self.held = counted.sparkSession.sparkContext.broadcast(bytes(whole))
-        self._known: dict = {}
 
-    def __getstate__(self):
-        return {"held": self.held, "_known": {}}
+    def __call__(self, lang: str, phrases: list) -> np.ndarray:
+        from xxhash import xxh64_intdigest
+        seed = xxh64_intdigest(lang.encode(), 42)              # as Spark's xxhash64 of two columns
+        bit = np.fromiter((xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases)) & np.uint64(BITMAP_BITS - 1)
+        bits = np.frombuffer(self.held.value, np.uint8)
+        return (bits[bit >> np.uint64(3)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
-    def __call__(self, lang: str, phrase: bytes) -> bool:
-        """Bounded memory: what was looked up is forgotten when it grows long."""
-        got = self._known.get((lang, phrase))
-        if got is None:
-            from hashlib import md5
-            if len(self._known) > _HELD:
-                self._known.clear()
-            bit = int(md5(lang.encode() + b"\t" + phrase, usedforsecurity=False).hexdigest()[:12], 16) % BITMAP_BITS
-            got = self._known[lang, phrase] = bool(self.held.value[bit >> 3] >> (7 - (bit & 7)) & 1)
-        return got
+
+def _frequent(known: Passing, lang: str, words: _Words, where: Positions) -> np.ndarray:
+    met = np.unique(where.word)
+    good = np.zeros(len(words.names), bool)
+    good[met] = known(lang, [words.names[i] for i in met])
+    return good[where.word]
 
 
 def phrase_counts(chunks_table: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """Phrases of one to five words that occur ``support`` times (``lang, phrase, k, f``), and ``lang, n``."""
-    def single(lang, words, starts):
-        return words[:starts]
+    def single(lang, words, where):
+        found, _, sums = _summed(where.word[where.start], where.weight[where.start])
+        yield [words.names[i] for i in found], sums
     words = stored(_counted(chunks_table, single), "words")
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     words = words.where(F.col("f") >= support)
     known = Passing(words)
 
-    def pairs(lang, words, starts):
-        good = [known(lang, w) for w in words[:starts + 1]]
-        return [words[i] + b" " + words[i + 1] for i in range(min(starts, len(words) - 1)) if good[i] and good[i + 1]]
+    def pair_keys(words, where, at):
+        return where.word[at] << 32 | where.word[at + 1]
+
+    def pair_names(words, keys):
+        return [words.names[k >> 32] + b" " + words.names[k & 0xFFFFFFFF] for k in keys.tolist()]
+
+    def pairs(lang, words, where):
+        good = _frequent(known, lang, words, where)
+        at = np.flatnonzero(good[:-1] & good[1:] & where.next[:-1] & where.start[:-1])
+        found, _, sums = _summed(pair_keys(words, where, at), where.weight[at])
+        yield pair_names(words, found), sums
     two = stored(_counted(chunks_table, pairs).where(F.col("f") >= support), "pairs")
     linked = Passing(two)
 
-    def longer(lang, words, starts):
-        good = [known(lang, w) for w in words[:starts + LONGEST - 1]]
-        joint = [good[i] and good[i + 1] and linked(lang, words[i] + b" " + words[i + 1]) for i in range(len(good) - 1)]
-        for i in range(min(starts, len(joint))):
-            if joint[i]:
-                for k in range(2, LONGEST):
-                    if i + k > len(joint) or not joint[i + k - 1]:
-                        break
-                    yield b" ".join(words[i:i + k + 1])
+    def longer(lang, words, where):
+        good = _frequent(known, lang, words, where)
+        at = np.flatnonzero(good[:-1] & good[1:] & where.next[:-1])
+        found, place = np.unique(pair_keys(words, where, at), return_inverse=True)
+        names = pair_names(words, found)
+        passes = linked(lang, names)[place]
+        at, place = at[passes], place[passes]
+        joint = np.zeros(len(good) + LONGEST, bool)            # a pair that passes begins here
+        joint[at] = True
+        begins = where.start[at]
+        at, place = at[begins], place[begins]
+        for k in range(3, LONGEST + 1):
+            more = joint[at + k - 2]
+            at, place = at[more], place[more]
+            found, place, sums = _summed(place.astype(np.int64) << 32 | where.word[at + k - 1], where.weight[at])
+            names = [names[f >> 32] + b" " + words.names[f & 0xFFFFFFFF] for f in found.tolist()]
+            yield names, sums
     more = _counted(chunks_table, longer).where(F.col("f") >= support)
     found = [t.select("lang", F.col("phrase").cast("string").alias("phrase"), "f") for t in (words, two, more)]
     every = found[0].unionByName(found[1]).unionByName(found[2])
