@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from glossa.llm import (collocations, decontaminate, mixing, near_dedup, quality_bayes, quality_rules, sharding,
-                        substring_dedup, suffix_dedup, token_counts, warc, whitening)
+                        substring_dedup, suffix_dedup, token_counts, toxicity, warc, whitening)
 from glossa.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ def op11_collocations(spark, sf_dir):
     return collocations.digest(collocations.collocations(load(spark, sf_dir, "documents")))
 
 
+@query
+def op12_toxicity(spark, sf_dir):
+    return toxicity.digest(toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")))
+
+
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.digest(whitening.whiten(load(spark, sf_dir, "embeddings")))
