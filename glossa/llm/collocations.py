@@ -12,7 +12,8 @@ Method:
    Words first, then pairs of words that both reach ``support``, then longer phrases whose pairs
    all do: a phrase is never more frequent than its parts, so nothing that can pass is left out.
    Which words and pairs pass travels as a bitmap of fixed size (``BITMAP_BITS``) over hashes.
-   A collision lets a phrase be counted in vain; the counts themselves are of exact strings.
+   A collision there lets a phrase be counted in vain; what is summed across batches are exact strings.
+   Inside a batch of some 800,000 words equal phrases are found by 64-bit keys (chance of an error 2e-8 a batch).
 3. *Score.* Every cut joins the exact counts of both parts; arithmetic is in 38-digit decimals.
 
 Phrases are summed inside each task before the shuffle. The keys of joins are salted, as one
@@ -31,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.llm.segments import gram_hashes, mix
+from glossa.llm.segments import BASE, gram_hashes, mix
 from glossa.llm.storage import join_small, stored
-from glossa.llm.texts import utf8_column, word_bounds, word_hashes
+from glossa.llm.texts import hashes_between, utf8_column, word_bounds
 
 # --- fixed values of the contract ------------------------------------------------
 LONGEST = 5
@@ -44,9 +45,8 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 TRIGGER = LONGEST - 1       # words of a trigger, and of the overlap
 SPACING = 16                # mean words between triggers
 BITMAP_BITS = 1 << 26       # 8 MB: what a task holds of the frequent words or pairs
-_SLICE_BYTES = 1 << 13      # of a bitmap, in one row
+_SLICE_BITS = 1 << 15       # of a bitmap, in one row (the size that Spark's bitmap functions use)
 _CHUNKS = 40_000            # chunks whose phrases are summed at once
-_HELD = 400_000             # words a task knows by number before it starts anew
 _SALTS = 8
 _CLEAN = bytes(32 if b == 9 else 10 if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -59,7 +59,7 @@ def chunks(text: bytes) -> list[tuple[bytes, bool]]:
         return []
     at = []
     if len(starts) > TRIGGER:
-        g = mix(gram_hashes(word_hashes(text), TRIGGER))
+        g = mix(gram_hashes(hashes_between(text, starts, ends), TRIGGER))
         at = np.flatnonzero(g[1:] % np.uint64(SPACING) == 0) + 1
         at = at[at + TRIGGER < len(starts)]                     # a trigger at the very end would open an empty chunk
     first = [0, *starts[at].tolist()] if len(at) else [0]
@@ -89,146 +89,125 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return stored(parsed.groupBy("lang", "chunk", "more").agg(F.count(F.lit(1)).alias("freq")), "chunks")
 
 
-class _Words:
-    """Numbers of the words met in a task, one language: forgotten together when they grow many."""
-
-    def __init__(self):
-        self.names: list = [b"", b"\n", b"\x0b"]          # nothing, end of a piece, end of a chunk
-        self.ids = {name: i for i, name in enumerate(self.names)}
-
-    def number(self, tokens: list) -> np.ndarray:
-        ids, names = self.ids, self.names
-        for word in set(tokens).difference(ids):
-            ids[word] = len(names)
-            names.append(word)
-        return np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-
-
 class Positions:
-    """The words of many chunks of one language as arrays, in order.
-
-    ``word`` is a word's number, ``start`` whether phrases are counted from it, ``next`` whether
-    the following word is in the same piece, ``weight`` the frequency of its chunk."""
-
-    def __init__(self, words: _Words, chunk_list: list, more: np.ndarray, freq: np.ndarray):
-        text = b"\x0b".join(chunk_list).replace(b"\n", b" \n ").replace(b"\x0b", b" \x0b ")
-        ids = words.number(text.split(b" "))
-        ids = ids[ids > 0]
-        at = np.flatnonzero(ids > 2)
-        chunk = np.cumsum(ids == 2)[at]
-        behind = np.cumsum(np.bincount(chunk, minlength=len(chunk_list)))[chunk] - 1 - np.arange(len(at))
-        self.word = ids[at]
+    """The words of many chunks of one language as arrays, in order: the hash ``key`` of a word, its
+    bytes ``first`` to ``last`` of ``text``, whether phrases are counted from it (``start``), whether
+    the following word is in the same piece (``next``) and the frequency of its chunk (``weight``)."""
+
+    def __init__(self, chunk_list: list, more: np.ndarray, freq: np.ndarray):
+        text = b"\x0b".join(chunk_list)
+        while b"  " in text:
+            text = text.replace(b"  ", b" ")
+        raw = np.frombuffer(text, np.uint8)
+        self.text = text
+        self.first, self.last = word_bounds(text)
+        self.key = hashes_between(text, self.first, self.last)
+        chunk = np.cumsum(raw == 11, dtype=np.int32)[self.first]
+        piece = np.cumsum((raw == 10) | (raw == 11), dtype=np.int32)[self.first]
+        behind = np.cumsum(np.bincount(chunk, minlength=len(chunk_list)))[chunk] - 1 - np.arange(len(chunk))
         self.start = ~(more[chunk] & (behind < TRIGGER))
-        self.next = np.append(at[1:] == at[:-1] + 1, False)
+        self.next = np.append(piece[1:] == piece[:-1], False)[:len(chunk)]
         self.weight = freq[chunk]
 
+    def summed(self, at: np.ndarray, key: np.ndarray, size: int):
+        """Distinct phrases of ``size`` words from the places ``at``, their keys and summed weights (exact below 2**53)."""
+        found, where, place = np.unique(key, return_index=True, return_inverse=True)
+        sums = np.bincount(place, weights=self.weight[at], minlength=len(found)).astype(np.int64)
+        at = at[where]
+        text = self.text
+        return [text[a:b] for a, b in zip(self.first[at].tolist(), self.last[at + size - 1].tolist())], found, sums
+
 
-def _summed(key: np.ndarray, weight: np.ndarray):
-    """Distinct keys, the place of each key among them and their summed weights (exact below 2**53)."""
-    found, where = np.unique(key, return_inverse=True)
-    return found, where, np.bincount(where, weights=weight, minlength=len(found)).astype(np.int64)
+def _joined(key: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Keys of phrases that are one word longer."""
+    return mix(key * np.uint64(BASE) + after)
+
+
+def _fold(lang: str) -> np.uint64:
+    from xxhash import xxh64_intdigest
+    return np.uint64(xxh64_intdigest(lang.encode()))
 
 
 def _sum_phrases(phrases):
-    """A task: ``phrases(lang, words, positions)`` yields phrases with their sums for some ten thousand chunks."""
+    """A task: ``phrases(positions, fold)`` yields phrases, keys and sums for some ten thousand chunks of one language."""
     def run(batches):
-        held: dict = {}
         for whole in batches:
             for start in range(0, whole.num_rows, _CHUNKS):
                 batch = whole.slice(start, _CHUNKS)
-                langs = np.array(batch.column("lang").to_pylist(), object)
+                langs = batch.column("lang").dictionary_encode()
                 more = batch.column("more").to_numpy(zero_copy_only=False)
                 freq = batch.column("freq").to_numpy()
-                for lang in sorted(set(langs)):
-                    rows = np.flatnonzero(langs == lang)
-                    words = held.setdefault(lang, _Words())
-                    where = Positions(words, batch.column("chunk").take(pa.array(rows)).to_pylist(), more[rows], freq[rows])
-                    for found, sums in phrases(lang, words, where):
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()), pa.array(sums, pa.int64())],
-                                                         names=["lang", "phrase", "f"])
-                if sum(len(w.names) for w in held.values()) > _HELD:
-                    held = {}
+                number = langs.indices.to_numpy()
+                for i, lang in enumerate(langs.dictionary.to_pylist()):
+                    rows = np.flatnonzero(number == i)
+                    fold = _fold(lang)
+                    where = Positions(batch.column("chunk").take(pa.array(rows)).to_pylist(), more[rows], freq[rows])
+                    for names, key, sums in phrases(where, fold):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()),
+                             pa.array((key ^ fold).view(np.int64)), pa.array(sums, pa.int64())], names=["lang", "phrase", "h", "f"])
     return run
 
 
 def _counted(chunks_table: DataFrame, phrases) -> DataFrame:
-    return (chunks_table.mapInArrow(_sum_phrases(phrases), "lang string, phrase binary, f long")
-            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+    return (chunks_table.mapInArrow(_sum_phrases(phrases), "lang string, phrase binary, h long, f long")
+            .groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.max("h").alias("h")))
 
 
 class Passing:
-    """The phrases that reach the support, as a bitmap: ``BITMAP_BITS / 8`` bytes, whatever their number."""
+    """The keys of the phrases that reach the support, as a bitmap: ``BITMAP_BITS / 8`` bytes, whatever their number."""
 
     def __init__(self, counted: DataFrame):
-        bit = counted.select(F.pmod(F.xxhash64("lang", "phrase"), F.lit(BITMAP_BITS)).alias("b")).distinct()
-
-        def pack(key, table):
-            bits = np.zeros(_SLICE_BYTES * 8, np.uint8)
-            bits[table.column("b").to_numpy() % (_SLICE_BYTES * 8)] = 1
-            return pa.table({"k": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-        slices = (bit.withColumn("k", F.floor(F.col("b") / (_SLICE_BYTES * 8))).groupBy("k")
-                  .applyInArrow(pack, "k long, bits binary").collect())       # at most BITMAP_BITS / 8 bytes
+        bit = F.pmod("h", F.lit(BITMAP_BITS))
+        slices = (counted.select(F.floor(bit / _SLICE_BITS).alias("k"), (bit % _SLICE_BITS).alias("p")).groupBy("k")
+                  .agg(F.bitmap_construct_agg("p").alias("bits")).collect())              # at most BITMAP_BITS / 8 bytes
         whole = bytearray(BITMAP_BITS // 8)
         for r in slices:
-            whole[r["k"] * _SLICE_BYTES:(r["k"] + 1) * _SLICE_BYTES] = r["bits"]
+            at = r["k"] * _SLICE_BITS // 8
+            whole[at:at + len(r["bits"])] = r["bits"]
         self.held = counted.sparkSession.sparkContext.broadcast(bytes(whole))
 
-    def __call__(self, lang: str, phrases: list) -> np.ndarray:
-        from xxhash import xxh64_intdigest
-        seed = xxh64_intdigest(lang.encode(), 42)              # as Spark's xxhash64 of two columns
-        bit = np.fromiter((xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases)) & np.uint64(BITMAP_BITS - 1)
+    def __call__(self, key: np.ndarray, fold: np.uint64) -> np.ndarray:
+        bit = (key ^ fold) & np.uint64(BITMAP_BITS - 1)
         bits = np.frombuffer(self.held.value, np.uint8)
-        return (bits[bit >> np.uint64(3)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-
-
-def _frequent(known: Passing, lang: str, words: _Words, where: Positions) -> np.ndarray:
-    met = np.unique(where.word)
-    good = np.zeros(len(words.names), bool)
-    good[met] = known(lang, [words.names[i] for i in met])
-    return good[where.word]
+        return (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def phrase_counts(chunks_table: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """Phrases of one to five words that occur ``support`` times (``lang, phrase, k, f``), and ``lang, n``."""
-    def single(lang, words, where):
-        found, _, sums = _summed(where.word[where.start], where.weight[where.start])
-        yield [words.names[i] for i in found], sums
+    def single(where, fold):
+        at = np.flatnonzero(where.start)
+        yield where.summed(at, where.key[at], 1)
     words = stored(_counted(chunks_table, single), "words")
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     words = words.where(F.col("f") >= support)
     known = Passing(words)
 
-    def pair_keys(words, where, at):
-        return where.word[at] << 32 | where.word[at + 1]
-
-    def pair_names(words, keys):
-        return [words.names[k >> 32] + b" " + words.names[k & 0xFFFFFFFF] for k in keys.tolist()]
+    def both(where, fold):
+        good = known(where.key, fold)
+        return np.flatnonzero(good[:-1] & good[1:] & where.next[:-1])
 
-    def pairs(lang, words, where):
-        good = _frequent(known, lang, words, where)
-        at = np.flatnonzero(good[:-1] & good[1:] & where.next[:-1] & where.start[:-1])
-        found, _, sums = _summed(pair_keys(words, where, at), where.weight[at])
-        yield pair_names(words, found), sums
+    def pairs(where, fold):
+        at = both(where, fold)
+        at = at[where.start[at]]
+        yield where.summed(at, _joined(where.key[at], where.key[at + 1]), 2)
     two = stored(_counted(chunks_table, pairs).where(F.col("f") >= support), "pairs")
     linked = Passing(two)
 
-    def longer(lang, words, where):
-        good = _frequent(known, lang, words, where)
-        at = np.flatnonzero(good[:-1] & good[1:] & where.next[:-1])
-        found, place = np.unique(pair_keys(words, where, at), return_inverse=True)
-        names = pair_names(words, found)
-        passes = linked(lang, names)[place]
-        at, place = at[passes], place[passes]
-        joint = np.zeros(len(good) + LONGEST, bool)            # a pair that passes begins here
+    def longer(where, fold):
+        at = both(where, fold)
+        key = _joined(where.key[at], where.key[at + 1])
+        passes = linked(key, fold)
+        at, key = at[passes], key[passes]
+        joint = np.zeros(len(where.key) + LONGEST, bool)       # a pair that passes begins here
         joint[at] = True
         begins = where.start[at]
-        at, place = at[begins], place[begins]
+        at, key = at[begins], key[begins]
         for k in range(3, LONGEST + 1):
             more = joint[at + k - 2]
-            at, place = at[more], place[more]
-            found, place, sums = _summed(place.astype(np.int64) << 32 | where.word[at + k - 1], where.weight[at])
-            names = [names[f >> 32] + b" " + words.names[f & 0xFFFFFFFF] for f in found.tolist()]
-            yield names, sums
+            at = at[more]
+            key = _joined(key[more], where.key[at + k - 1])
+            yield where.summed(at, key, k)
     more = _counted(chunks_table, longer).where(F.col("f") >= support)
     found = [t.select("lang", F.col("phrase").cast("string").alias("phrase"), "f") for t in (words, two, more)]
     every = found[0].unionByName(found[1]).unionByName(found[2])

@@ -38,7 +38,11 @@ def word_bounds(text) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text) -> np.ndarray:
     """A 64-bit hash of every word of a text."""
-    starts, ends = word_bounds(text)
+    return hashes_between(text, *word_bounds(text))
+
+
+def hashes_between(text, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to its end; both rise."""
     out = np.empty(len(starts), np.uint64)
     raw = np.frombuffer(text, np.uint8)
     done = 0
