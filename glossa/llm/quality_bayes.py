@@ -23,6 +23,7 @@ score of 0; equal rows get equal results; other columns are ignored.
 from __future__ import annotations
 
 from itertools import islice
+from math import log
 from operator import eq
 
 import numpy as np
@@ -30,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossa.llm.bitmaps import may_match
+from glossa.llm.segments import gram_hashes, mix
 from glossa.llm.storage import join_small, stored
-from glossa.llm.texts import utf8_column
+from glossa.llm.texts import utf8_column, word_hashes
 
 FIT_ROWS = 20_000
-LIST_WORDS = 1_000          # longest word list
-LIST_SUPPORT = 5            # bad clusters of documents that must hold a listed word
-LIST_PURITY = 0.8           # shrunken share of bad clusters among those that hold it
+LIST_SHARE = 0.002          # share of the toxic texts that must hold a listed word
+LIST_PURITY = 0.8           # shrunken share of toxic texts among those that hold it
+LIST_EVIDENCE = 20.0        # likelihood ratio statistic against the share of toxic texts
+_HELD = 1_000_000           # words a task counts before it passes sums on
 HOST_PRIOR, PATH_PRIOR = 50.0, 20.0
 REJECT = 0.5
 _PUNCT = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256)).lower()
@@ -64,33 +68,64 @@ def features(text: bytes, listed: frozenset) -> list[float]:
             float(np.log1p(len(words))) / 10, min(30.0, size / n) / 30]
 
 
-def _words_of(batches):
-    """Distinct words of each labelled document with its cluster, the smallest word hash."""
-    from xxhash import xxh64_intdigest
-    for whole in batches:
-        for k in range(0, whole.num_rows, 500):
-            batch = whole.slice(k, 500)
-            words, rows, clusters = [], [], []
-            for i, text in enumerate(utf8_column(batch, "text")):
+def likelihood_ratio(k: int, c: int, base: float) -> float:
+    """Test statistic of ``k`` marked among ``k + c`` texts against a share of ``base``; 0 below that share."""
+    n = k + c
+    if k <= n * base:
+        return 0.0
+    return 2 * (k * log(k / (n * base)) + (c * log(c / (n * (1 - base))) if c else 0.0))
+
+
+def copy_key(text) -> int:
+    """A key that most near copies share and other texts hardly ever: the smallest hash of three words in a row."""
+    h = word_hashes(text)
+    return int(mix(gram_hashes(h, min(3, len(h)))).min() >> np.uint64(1)) if len(h) else 0
+
+
+def by_cluster(batches):
+    """Adds the cluster of near copies to each text."""
+    for batch in batches:
+        keys = [copy_key(t) for t in utf8_column(batch, "text")]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("toxic"), batch.column("text")],
+                                         names=["key", "toxic", "text"])
+
+
+def _word_counts(texts: DataFrame, only: frozenset | None = None) -> DataFrame:
+    """``word, k``: texts that hold a word (of ``only``), summed inside the tasks first."""
+    def run(batches):
+        sums: dict = {}
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(list(sums.values()), pa.int64())], names=["word", "k"])
+        for batch in batches:
+            for text in utf8_column(batch, "text"):
                 own = set(plain_words(bytes(text)))
-                words += own
-                rows += [i] * len(own)
-                clusters += [min(map(xxh64_intdigest, own), default=0) >> 1] * len(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(clusters, pa.int64()),
-                 pa.array(batch.column("bad").to_numpy(zero_copy_only=False)[rows] if rows else [], pa.int32())],
-                names=["word", "cluster", "bad"])
+                for word in own if only is None else own & only:
+                    sums[word] = sums.get(word, 0) + 1
+                if len(sums) > _HELD:
+                    yield flush()
+                    sums = {}
+        yield flush()
+    return texts.select("text").mapInArrow(run, "word binary, k long").groupBy("word").agg(F.sum("k").alias("k"))
 
 
 def learn_words(labelled: DataFrame) -> frozenset:
-    """Words that mark toxic documents, from counts over all labelled documents: at most ``LIST_WORDS``."""
-    rows = labelled.select("text", F.col("toxic").cast("int").alias("bad")).where("bad is not null")
-    by_cluster = rows.mapInArrow(_words_of, "word binary, cluster long, bad int").groupBy("word", "cluster").agg(F.max("bad").alias("bad"))
-    counts = by_cluster.groupBy("word").agg(F.sum("bad").alias("k"), F.count(F.lit(1)).alias("n"))
-    purity = F.col("k") / (F.col("n") + 1)                # shrunk: one more cluster without the mark
-    found = (counts.where((F.col("k") >= LIST_SUPPORT) & (purity >= LIST_PURITY))
-             .orderBy(F.desc("k"), "word").limit(LIST_WORDS).collect())
-    return frozenset(bytes(r["word"]) for r in found)
+    """Words that mark toxic documents, from all labelled documents, one text for each cluster of near copies and label.
+
+    Words that ``LIST_SHARE`` of the toxic texts hold are counted first (at most the mean number of words of a
+    toxic text over that share), then the same words in the other texts."""
+    rows = labelled.select(F.col("toxic").cast("int").alias("toxic"), "text").where("toxic is not null")
+    texts = stored(rows.mapInArrow(by_cluster, "key long, toxic int, text string").groupBy("key", "toxic")
+                   .agg(F.min("text").alias("text")), "clusters")
+    sizes = {r["t"]: r["n"] for r in texts.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+    if not toxic or not clean:
+        return frozenset()
+    often = {bytes(r["word"]): r["k"] for r in _word_counts(texts.where("toxic = 1")).where(F.col("k") >= LIST_SHARE * toxic).collect()}
+    also = {bytes(r["word"]): r["k"] for r in _word_counts(texts.where("toxic <> 1"), frozenset(often)).collect()}
+    base = toxic / (toxic + clean)
+    return frozenset(w for w, k in often.items() if k / (k + also.get(w, 0) + 1) >= LIST_PURITY
+                     and likelihood_ratio(k, also.get(w, 0), base) >= LIST_EVIDENCE)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -126,17 +161,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    known = rows.join(marks, "_id").select("_id", "text", "toxic", bad.cast("int").alias("bad"))
+    marks = stored(marks, "marks")
+    known = may_match(rows, "_id", marks, "_id").join(marks, "_id").select("_id", "text", "toxic", bad.cast("int").alias("bad"))
     known = stored(known, "labelled")
     listed = learn_words(known)
 
     def measure(batches):
         for batch in batches:
             x = [features(bytes(t), listed) for t in utf8_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("bad"), pa.array(x, pa.list_(pa.float64()))], names=["bad", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("bad"), pa.array(x, pa.list_(pa.float64()))],
+                                             names=["o", "bad", "x"])
     share = max(1, -(-known.count() // FIT_ROWS))
-    sample = known.where(F.pmod(F.xxhash64(F.lit("fit"), "_id"), F.lit(share)) == 0).select("text", "bad")
-    got = sample.mapInArrow(measure, "bad int, x array<double>").limit(2 * FIT_ROWS).collect()
+    sample = known.withColumn("o", F.xxhash64(F.lit("fit"), "_id", "text")).where(F.pmod("o", F.lit(share)) == 0)
+    got = (sample.select("o", "bad", "text").mapInArrow(measure, "o long, bad int, x array<double>")
+           .orderBy("o", "bad").limit(FIT_ROWS).collect())
     y = np.array([r["bad"] for r in got], float)
     if not len(y) or y.min() == y.max():
         return None
