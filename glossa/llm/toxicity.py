@@ -6,7 +6,7 @@ Method:
    language model. Each disguised token is restored by a Viterbi path through its lattice.
 2. Words and beginnings of words (4 and 5 letters) that mark toxic texts are learned from all
    labelled documents of four fifths of the ids (crc32 of the id modulo 5 is not 0). Near copies
-   count once: one text for each smallest word hash and label. Beginnings and words that less than
+   count once: one text for each smallest hash of three words in a row and label. Beginnings and words that less than
    ``SUPPORT`` of the toxic texts hold are left out, so at most (mean number of them in a toxic
    text) / ``SUPPORT`` are counted further and shipped; of these pass those with a toxic share of
    ``PURITY`` or more and a likelihood ratio of ``EVIDENCE`` or more. Both are shares and tests, not counts.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from glossa.llm import deobfuscate
 from glossa.llm.bitmaps import may_match
-from glossa.llm.quality_bayes import fit_logistic
+from glossa.llm.quality_bayes import by_cluster, fit_logistic, likelihood_ratio
 from glossa.llm.storage import stored
 from glossa.llm.texts import utf8_column
 
@@ -113,13 +113,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known = may_match(rows, "_id", marks, "_id").join(marks, "_id").select("toxic", "text")
 
-    def cluster(batches):
-        from xxhash import xxh64_intdigest
-        for batch in batches:
-            keys = [min(map(xxh64_intdigest, set(bytes(t).split())), default=0) >> 1 for t in utf8_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("toxic"), batch.column("text")],
-                                             names=["key", "toxic", "text"])
-    return stored(known.mapInArrow(cluster, "key long, toxic int, text string").groupBy("key", "toxic")
+    return stored(known.mapInArrow(by_cluster, "key long, toxic int, text string").groupBy("key", "toxic")
                   .agg(F.min("text").alias("text")), "training")
 
 
@@ -154,9 +148,7 @@ def learn_marks(texts: DataFrame, model: deobfuscate.LanguageModel) -> dict[str,
     out = {}
     for mark, k in often.items():
         c = also.get(mark, 0)
-        n = k + c
-        ratio = 2 * (k * log(k / (n * base)) + (c * log(c / (n * (1 - base))) if c else 0.0))
-        if k / (n + 1) >= PURITY and ratio >= EVIDENCE and k > n * base:
+        if k / (k + c + 1) >= PURITY and likelihood_ratio(k, c, base) >= EVIDENCE:
             out[mark] = log((k + base) / (c + 1 - base)) - log(base / (1 - base))
     return out
 
@@ -188,10 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         reader = Reader(model, weights)
         for batch in batches:
             x = [reader.statistics(_lower(t)) for t in utf8_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
-    order = F.xxhash64(F.lit("fit"), "key", "toxic")
-    sample = texts.where(F.pmod(order, F.lit(share)) == 0).orderBy(order, "key").limit(FIT_ROWS).select("text", "toxic")
-    got = sample.mapInArrow(measure, "toxic int, x array<double>").collect()               # at most FIT_ROWS rows
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))],
+                                             names=["o", "toxic", "x"])
+    sample = texts.withColumn("o", F.xxhash64(F.lit("fit"), "key", "toxic")).where(F.pmod("o", F.lit(share)) == 0)
+    got = (sample.select("o", "toxic", "text").mapInArrow(measure, "o long, toxic int, x array<double>")
+           .orderBy("o", "toxic").limit(FIT_ROWS).collect())
     y = np.array([min(1, max(0, r["toxic"])) for r in got], float)
     if not len(y) or y.min() == y.max():
         return None
