@@ -113,7 +113,7 @@ def _emit_segments(unit: Unit, hot: np.ndarray, n_salts: int):
 def _segment_batch(parts, o, v, hot, n_salts):
     mini, content, start, n = (np.concatenate([p[k] for p in parts]) for k in range(4))
     doc = np.repeat([p[4] for p in parts], [len(p[0]) for p in parts])
-    salt = np.where(_among(mini, hot), mix(o[doc].view(np.uint64)) % np.uint64(n_salts), np.uint64(0))
+    salt = np.where(_among(mini, hot), mix((o ^ v)[doc].view(np.uint64)) % np.uint64(n_salts), np.uint64(0))
     return pa.RecordBatch.from_arrays(
         [pa.array(mini), pa.array(salt.astype(np.int32)), pa.array(content), pa.array(o[doc]), pa.array(v[doc]),
          pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
@@ -139,15 +139,23 @@ def _frequent_minimisers(docs: DataFrame, unit: Unit) -> np.ndarray:
 
 
 def _first_pass(unit: Unit, hot: np.ndarray):
-    """Streams super-k-mers sorted by (mini, salt, content, o, start). Repeats go out as
-    spans (``mini`` null); the first of each content goes out for step 2 once its
+    """Streams super-k-mers sorted by (mini, salt, content, o, v, start). Those of equal rows are one.
+    Repeats go out as spans (``mini`` null); the first of each content goes out for step 2 once its
     minimiser has a second content. Only those of one content are held back."""
     def run(batches):
         last, held = None, None          # the last row's keys, its content's first place, whether its minimiser has several
+        previous = None                  # the last row itself
         for batch in batches:
-            mini, salt, content, o, v, start, n = (c.to_numpy() for c in batch.columns)
-            if not len(mini):
+            columns = [c.to_numpy() for c in batch.columns]
+            if not len(columns[0]):
                 continue
+            new = np.ones(len(columns[0]), bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns[:6]], axis=0)
+            new[0] = previous != [c[0] for c in columns]
+            previous = [c[-1] for c in columns]
+            if not new.any():
+                continue
+            mini, salt, content, o, v, start, n = (c[new] for c in columns)
             new_mini = np.empty(len(mini), bool)
             new_text = np.empty(len(mini), bool)
             new_mini[1:] = (mini[1:] != mini[:-1]) | (salt[1:] != salt[:-1])
@@ -199,7 +207,8 @@ def _compare_windows(docs: DataFrame, reps: DataFrame, unit: Unit) -> DataFrame:
     full = reps.groupBy("mini").count().where(F.col("count") > BUCKET).select("mini", F.lit(True).alias("full"))
     reps = join_small(reps, stored(full, "full"), ["mini"]).withColumn("full", F.coalesce("full", F.lit(False)))
     per_doc = reps.groupBy("o", "v").agg(F.collect_list(F.struct("mini", "full", "start", "n")).alias("cuts"))
-    packed = stored(docs.select("o", "v", "text").join(per_doc, ["o", "v"])
+    texts = docs.groupBy("o", "v").agg(F.first("text").alias("text"))              # equal rows are one, before the shuffle
+    packed = stored(texts.join(per_doc, ["o", "v"]).select("o", "v", "text", "cuts")
                     .mapInArrow(_pack(unit), _PACKED), "packed")
     cold = (packed.where(~F.col("full")).repartition("mini").sortWithinPartitions("mini")
             .mapInArrow(_sort_windows(unit), _SPAN))
