@@ -107,7 +107,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nodes = signed.where("n > 0").groupBy("s", "s2").agg(one.alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     buckets = stored(_shared_buckets(nodes), "buckets")
     wanted = buckets.select("s", "o", "v").distinct()
-    texts = stored(rows.select("o", "v", "text").join(wanted, ["o", "v"]).select("s", "text"), "texts")
+    text_of = rows.groupBy("o", "v").agg(F.first("text").alias("text"))              # equal rows are one, before the shuffle
+    texts = stored(text_of.join(wanted, ["o", "v"]).select("s", "text"), "texts")
     labels = _link(buckets, texts)
     signed = signed.select("id", "o", "v", "n", "s").join(labels, "s", "left").withColumn("c", F.coalesce("c", "s"))
     return stored(signed, "labelled")
