@@ -39,6 +39,7 @@ from glossa.sources.io import filesystem_of
 
 ARCHIVE_BYTES = 64 << 20
 MIN_REVISIT_BYTES = 0
+READ_TASKS = 10_000        # tasks of the reading stage, at most
 # --- fixed values of the format ---------------------------------------------------
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"
@@ -184,13 +185,15 @@ def verified(fields: dict[str, str], block: bytes):
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
     """Every record of the archives in ``manifest``: ``id, payload_bytes, payload_digest, record_type,
-    refers_to`` and, if asked for, ``payload`` (null for revisits). One task reads an archive in sequence."""
+    refers_to`` and, if asked for, ``payload`` (null for revisits). One task reads an archive in sequence,
+    and each archive has a task of its own up to ``READ_TASKS``: a small manifest would be merged into one."""
     def run(batches):
         for batch in batches:
             for path, n in zip(*(batch.column(c).to_pylist() for c in ("path", "n_records"))):
                 yield from _read_one(path, n, payloads)
     schema = "id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return manifest.repartition("path").mapInArrow(run, schema + (", payload binary" if payloads else ""))
+    tasks = min(READ_TASKS, max(1, manifest.count()))
+    return manifest.repartitionByRange(tasks, "path").mapInArrow(run, schema + (", payload binary" if payloads else ""))
 
 
 def _read_one(path: str, n_records: int, payloads: bool):
