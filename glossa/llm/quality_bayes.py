@@ -82,12 +82,19 @@ def copy_key(text) -> int:
     return int(mix(gram_hashes(h, min(3, len(h)))).min() >> np.uint64(1)) if len(h) else 0
 
 
-def by_cluster(batches):
-    """Adds the cluster of near copies to each text."""
-    for batch in batches:
-        keys = [copy_key(t) for t in utf8_column(batch, "text")]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("toxic"), batch.column("text")],
-                                         names=["key", "toxic", "text"])
+def clusters(known: DataFrame) -> DataFrame:
+    """One ``text`` for each cluster of near copies (``key``) and each combination of the other columns
+    of ``known`` (integers), stored. Copies are merged inside the tasks first."""
+    marks = [c for c in known.columns if c != "text"]
+
+    def run(batches):
+        for batch in batches:
+            keys = [copy_key(t) for t in utf8_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(batch.column(c) for c in (*marks, "text"))],
+                                             names=["key", *marks, "text"])
+    schema = ", ".join(f"{c} {'string' if c == 'text' else 'int'}" for c in (*marks, "text"))
+    return stored(known.select(*marks, "text").mapInArrow(run, "key long, " + schema).groupBy("key", *marks)
+                  .agg(F.min("text").alias("text")), "clusters")
 
 
 def _word_counts(texts: DataFrame, only: frozenset | None = None) -> DataFrame:
@@ -109,15 +116,12 @@ def _word_counts(texts: DataFrame, only: frozenset | None = None) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, k long").groupBy("word").agg(F.sum("k").alias("k"))
 
 
-def learn_words(labelled: DataFrame) -> frozenset:
-    """Words that mark toxic documents, from all labelled documents, one text for each cluster of near copies and label.
+def learn_words(texts: DataFrame) -> frozenset:
+    """Words that mark toxic texts, from one text (``text, toxic``) for each cluster of near copies and label.
 
     Words that ``LIST_SHARE`` of the toxic texts hold are counted first (at most the mean number of words of a
     toxic text over that share), then the same words in the other texts."""
-    rows = labelled.select(F.col("toxic").cast("int").alias("toxic"), "text").where("toxic is not null")
-    texts = stored(rows.mapInArrow(by_cluster, "key long, toxic int, text string").groupBy("key", "toxic")
-                   .agg(F.min("text").alias("text")), "clusters")
-    sizes = {r["t"]: r["n"] for r in texts.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["t"]: r["n"] for r in texts.where("toxic is not null").groupBy((F.col("toxic") == 1).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
         return frozenset()
@@ -162,17 +166,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     marks = stored(marks, "marks")
-    known = may_match(rows, "_id", marks, "_id").join(marks, "_id").select("_id", "text", "toxic", bad.cast("int").alias("bad"))
-    known = stored(known, "labelled")
-    listed = learn_words(known)
+    known = (may_match(rows, "_id", marks, "_id").join(marks.hint("merge"), "_id")     # one plan at every size
+             .select(F.col("toxic").cast("int").alias("toxic"), bad.cast("int").alias("bad"), "text"))
+    texts = clusters(known)
+    listed = learn_words(texts)
 
     def measure(batches):
         for batch in batches:
             x = [features(bytes(t), listed) for t in utf8_column(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("bad"), pa.array(x, pa.list_(pa.float64()))],
                                              names=["o", "bad", "x"])
-    share = max(1, -(-known.count() // FIT_ROWS))
-    sample = known.withColumn("o", F.xxhash64(F.lit("fit"), "_id", "text")).where(F.pmod("o", F.lit(share)) == 0)
+    share = max(1, -(-texts.count() // FIT_ROWS))
+    sample = texts.withColumn("o", F.xxhash64(F.lit("fit"), "key", "toxic", "bad")).where(F.pmod("o", F.lit(share)) == 0)
     got = (sample.select("o", "bad", "text").mapInArrow(measure, "o long, bad int, x array<double>")
            .orderBy("o", "bad").limit(FIT_ROWS).collect())
     y = np.array([r["bad"] for r in got], float)

@@ -126,5 +126,5 @@ def test_word_list_counts_copies_once(spark):
         words = prose(i, 30) + (rng.sample(insults, 12) if toxic else [])
         rows.append((" ".join(words), int(toxic)))
     rows += [("quixotic " + " ".join(prose(0, 30)), 1)] * 300 + [("null label", None)]
-    listed = quality_bayes.learn_words(spark.createDataFrame(rows, "text string, toxic int"))
+    listed = quality_bayes.learn_words(quality_bayes.clusters(spark.createDataFrame(rows, "text string, toxic int")))
     assert {w.decode() for w in listed} == set(insults)
