@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from glossa.llm import deobfuscate
 from glossa.llm.bitmaps import may_match
-from glossa.llm.quality_bayes import by_cluster, fit_logistic, likelihood_ratio
+from glossa.llm.quality_bayes import clusters, fit_logistic, likelihood_ratio
 from glossa.llm.storage import stored
 from glossa.llm.texts import utf8_column
 
@@ -111,10 +111,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     from_labels = labels.where(~_held_out("doc_id")).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     marks = stored(from_labels.where("toxic is not null"), "marks")
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    known = may_match(rows, "_id", marks, "_id").join(marks, "_id").select("toxic", "text")
-
-    return stored(known.mapInArrow(by_cluster, "key long, toxic int, text string").groupBy("key", "toxic")
-                  .agg(F.min("text").alias("text")), "training")
+    known = may_match(rows, "_id", marks, "_id").join(marks.hint("merge"), "_id").select("toxic", "text")    # one plan at every size
+    return clusters(known)
 
 
 def _mark_counts(texts: DataFrame, model, only: frozenset | None = None) -> DataFrame:
