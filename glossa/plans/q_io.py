@@ -81,7 +81,7 @@ def s06_chunk_sink(spark, sf):
 def s07_token_matrix(spark, sf):
     from glossa.functions import tokens as K
     from glossa.plans.q_tokens import MAX_LEN, encoded, ids_str
-    e = encoded(spark, sf).select("id", "lang", K.with_marks("raw_ids", MAX_LEN, True).alias("input_ids"))
+    e = encoded(spark, sf, MAX_LEN - 2).select("id", "lang", K.with_marks("raw_ids", MAX_LEN, True).alias("input_ids"))
     path = scratch_path(spark, "token_matrix")
     e.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)

@@ -10,6 +10,7 @@ from glossa.operators import ensemble as E
 from glossa.operators import labels as L
 from glossa.operators import model as MD
 from glossa.operators import sampling as S
+from glossa.operators import variants as VR
 from glossa.operators import vocab as V
 from glossa.plans import fixtures as X
 from glossa.plans.registry import query, r6
@@ -115,8 +116,28 @@ def m01_train_classifier(spark, sf):
     return scored.select("id", r6("toxic").alias("toxic"), F.round(F.lit(auc), 6).alias("validation_auc"))
 
 
-FOLDS = (0, 1)                                    # of the ten folds of G4
+FOLDS = tuple(range(S.N_FOLDS))                   # all folds of G4
 MONO_LANGS = tuple(lang for lang, _ in X.VIEW_LANGS)
+VARIANTS = tuple(f"fold_{f}" for f in FOLDS) + tuple(f"mono_{x}" for x in MONO_LANGS)
+
+
+def variant_scores(spark, sf):
+    """``id, variant, toxic, auc``: one model per fold (all positives, a tenth of the negatives: G4), which scores all comments,
+    and one per language, which scores the comments of its language. First stage: labelled and pseudo-labelled rows (weight
+    one half); second stage: labelled rows only, from the weights of the first. The fold of a negative is its place in
+    the seeded order of its language, so one ordering serves all folds."""
+    t, rows = training_rows(spark, sf)
+    placed = S.shuffle_positions(rows, "id", S.SEED, ["lang", "label"], out="_rn").select("id", "label", "w", "_rn")
+    held = S.holdout_split(rows, "id").select("id", (F.col("split") == "holdout").alias("holdout"))
+    d = t.select("id", "lang", "toks").join(placed, "id", "left").join(held, "id", "left")
+    train = {f"fold_{f}": (F.col("label") == 1) | (F.pmod(F.col("_rn") - 1, F.lit(S.N_FOLDS)) == f) for f in FOLDS}
+    mono = {f"mono_{x}": F.col("lang") == x for x in MONO_LANGS}
+    table = VR.feature_table(d.withColumn("holdout", F.coalesce("holdout", F.lit(False))), ["id", "label", "w", "holdout"], "toks",
+                             train | mono, {"all": F.lit(True), "labelled": F.col("w") == 1.0},
+                             {f"fold_{f}": F.lit(True) for f in FOLDS} | mono)
+    weights, auc = VR.train_staged(table, VARIANTS, 2)
+    found = F.create_map(*[F.lit(x) for n, a in auc.items() for x in (n, float("nan") if a is None else float(a))])
+    return VR.scores(table, ["id"], weights, VARIANTS).withColumn("auc", F.nanvl(found[F.col("variant")], F.lit(None).cast("double")))
 
 
 @query("m06_train_variants", X.with_fixtures(
@@ -124,16 +145,12 @@ MONO_LANGS = tuple(lang for lang, _ in X.VIEW_LANGS)
                        + ["SELECT id, 'mono_' || lang AS variant, true AS in_range FROM comments WHERE lang IN ("
                           + ", ".join(f"'{x}'" for x in MONO_LANGS) + ")"]), "comments"))
 def m06_train_variants(spark, sf):
-    """One model per fold (all positives, a tenth of the negatives: G4), which scores all comments, and one
-    per language, which scores the comments of its language. SQL can check the rows and the range only."""
-    t, rows = training_rows(spark, sf)
-    rows = materialize(rows)
-    variants = {f"fold_{f}": S.fold_downsample(rows, f, "label", "id") for f in FOLDS}
-    variants |= {f"mono_{x}": rows.where(F.col("lang") == x) for x in MONO_LANGS}
-    out = None
-    for name, (model, _) in MD.train_variants(variants, weight_col="w", reg_params=(0.1,)).items():
-        texts = t.where(F.col("lang") == name.removeprefix("mono_")) if name.startswith("mono_") else t
-        scored = MD.predict(model, texts.select("id", "toks")).select(
-            "id", F.lit(name).alias("variant"), F.col("toxic").between(0.0, 1.0).alias("in_range"))
-        out = scored if out is None else out.unionByName(scored)
-    return out
+    """The rows and the range of ``variant_scores``, which is what SQL can check."""
+    return variant_scores(spark, sf).select("id", "variant", F.col("toxic").between(0.0, 1.0).alias("in_range"))
+
+
+@query("m07_variant_scores", None)
+def m07_variant_scores(spark, sf):
+    """The scores of all ten folds and four languages with the validation AUC of each model."""
+    s = variant_scores(spark, sf)
+    return s.select("id", "variant", r6("toxic").alias("toxic"), F.round("auc", 6).alias("validation_auc"))

@@ -16,6 +16,7 @@ MAX_LEN = 192          # model input length
 SPLIT_ENCODE_LEN = 1000
 WINDOW = 100
 MLM_SEED = 42
+MASK_ID = K.UNK + 1 + VOCAB_SIZE       # the id after the vocabulary's last
 # -----------------------------------------------------------------------------
 
 
@@ -43,7 +44,7 @@ def encoded(spark, sf, max_tokens=None, below=None):
 def split_windows(spark, sf):
     e = encoded(spark, sf, SPLIT_ENCODE_LEN - 2).withColumn("ids", K.with_marks("raw_ids", SPLIT_ENCODE_LEN, pad=False))
     w = e.select("id", "lang", "toxic", "ids",
-                 F.posexplode(K.window_starts("ids", MAX_LEN, WINDOW)).alias("win", "start"))
+                 F.posexplode_outer(K.window_starts("ids", MAX_LEN, WINDOW)).alias("win", "start"))
     return w.select("id", "lang", "toxic", "win", "start", K.window_ids("ids", "start", MAX_LEN).alias("input_ids"),
                     F.size("ids").alias("n_encoded"))
 
@@ -148,8 +149,8 @@ def _mlm_sql():
     sel = f"(x > 2 AND {uu('sel')} < 0.15)"
     msk = f"({sel} AND {uu('mask')} < 0.9)"
     rnd = f"({msk} AND {uu('rnd')} < CAST(1 AS DOUBLE) / CAST(9 AS DOUBLE))"
-    rid = f"CAST(floor({uu('rid')} * 249998) + 3 AS INT)"
-    inputs = f"list_transform(ids, lambda x, i: CASE WHEN {rnd} THEN {rid} WHEN {msk} THEN 250001 ELSE x END)"
+    rid = f"CAST(floor({uu('rid')} * {VOCAB_SIZE}) + {K.UNK + 1} AS INT)"
+    inputs = f"list_transform(ids, lambda x, i: CASE WHEN {rnd} THEN {rid} WHEN {msk} THEN {MASK_ID} ELSE x END)"
     labels = f"list_transform(ids, lambda x, i: CASE WHEN {sel} THEN x ELSE -1 END)"
     return (f"SELECT id, array_to_string({inputs}, ' ') AS mlm_input_ids, array_to_string({labels}, ' ') AS mlm_labels "
             f"FROM (SELECT id, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc)")
@@ -158,7 +159,8 @@ def _mlm_sql():
 @query("k07_mlm_mask", _sql(_mlm_sql()))
 def k07_mlm_mask(spark, sf):
     e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
-    inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), seed=MLM_SEED)
+    inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), seed=MLM_SEED, mask_id=MASK_ID,
+                                             random_ids=(K.UNK + 1, MASK_ID))
     return e.select("id", ids_str(inputs).alias("mlm_input_ids"), ids_str(labels).alias("mlm_labels"))
 
 
