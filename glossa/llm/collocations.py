@@ -110,12 +110,12 @@ class Positions:
         self.weight = freq[chunk]
 
     def summed(self, at: np.ndarray, key: np.ndarray, size: int):
-        """Distinct phrases of ``size`` words from the places ``at``, their keys and summed weights (exact below 2**53)."""
+        """Distinct phrases of ``size`` words from the places ``at`` and their summed weights (exact below 2**53)."""
         found, where, place = np.unique(key, return_index=True, return_inverse=True)
         sums = np.bincount(place, weights=self.weight[at], minlength=len(found)).astype(np.int64)
         at = at[where]
         text = self.text
-        return [text[a:b] for a, b in zip(self.first[at].tolist(), self.last[at + size - 1].tolist())], found, sums
+        return [text[a:b] for a, b in zip(self.first[at].tolist(), self.last[at + size - 1].tolist())], sums
 
 
 def _joined(key: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def _fold(lang: str) -> np.uint64:
 
 
 def _sum_phrases(phrases):
-    """A task: ``phrases(positions, fold)`` yields phrases, keys and sums for some ten thousand chunks of one language."""
+    """A task: ``phrases(positions, fold)`` yields phrases and sums for some ten thousand chunks of one language."""
     def run(batches):
         for whole in batches:
             for start in range(0, whole.num_rows, _CHUNKS):
@@ -142,24 +142,39 @@ def _sum_phrases(phrases):
                     rows = np.flatnonzero(number == i)
                     fold = _fold(lang)
                     where = Positions(batch.column("chunk").take(pa.array(rows)).to_pylist(), more[rows], freq[rows])
-                    for names, key, sums in phrases(where, fold):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()),
-                             pa.array((key ^ fold).view(np.int64)), pa.array(sums, pa.int64())], names=["lang", "phrase", "h", "f"])
+                    for names, sums in phrases(where, fold):
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()),
+                                                          pa.array(sums, pa.int64())], names=["lang", "phrase", "f"])
     return run
 
 
 def _counted(chunks_table: DataFrame, phrases) -> DataFrame:
-    return (chunks_table.mapInArrow(_sum_phrases(phrases), "lang string, phrase binary, h long, f long")
-            .groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.max("h").alias("h")))
+    return (chunks_table.mapInArrow(_sum_phrases(phrases), "lang string, phrase binary, f long")
+            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+
+
+def _keys(size: int):
+    """Keys of phrases of ``size`` words, from their strings: keys are not shuffled with the counts."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                text = b"\n".join(batch.column("phrase").to_pylist())
+                word = hashes_between(text, *word_bounds(text)).reshape(-1, size)
+                key = word[:, 0]
+                for k in range(1, size):
+                    key = _joined(key, word[:, k])
+                langs = batch.column("lang").dictionary_encode()
+                fold = np.array([_fold(lang) for lang in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
+                yield pa.RecordBatch.from_arrays([pa.array((key ^ fold).view(np.int64))], names=["h"])
+    return run
 
 
 class Passing:
     """The keys of the phrases that reach the support, as a bitmap: ``BITMAP_BITS / 8`` bytes, whatever their number."""
 
-    def __init__(self, counted: DataFrame):
+    def __init__(self, counted: DataFrame, size: int):
         bit = F.pmod("h", F.lit(BITMAP_BITS))
-        slices = (counted.select(F.floor(bit / _SLICE_BITS).alias("k"), (bit % _SLICE_BITS).alias("p")).groupBy("k")
+        slices = (counted.select("lang", "phrase").mapInArrow(_keys(size), "h long").select(F.floor(bit / _SLICE_BITS).alias("k"), (bit % _SLICE_BITS).alias("p")).groupBy("k")
                   .agg(F.bitmap_construct_agg("p").alias("bits")).collect())              # at most BITMAP_BITS / 8 bytes
         whole = bytearray(BITMAP_BITS // 8)
         for r in slices:
@@ -181,7 +196,7 @@ def phrase_counts(chunks_table: DataFrame, support: int = SUPPORT) -> tuple[Data
     words = stored(_counted(chunks_table, single), "words")
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     words = words.where(F.col("f") >= support)
-    known = Passing(words)
+    known = Passing(words, 1)
 
     def both(where, fold):
         good = known(where.key, fold)
@@ -192,7 +207,7 @@ def phrase_counts(chunks_table: DataFrame, support: int = SUPPORT) -> tuple[Data
         at = at[where.start[at]]
         yield where.summed(at, _joined(where.key[at], where.key[at + 1]), 2)
     two = stored(_counted(chunks_table, pairs).where(F.col("f") >= support), "pairs")
-    linked = Passing(two)
+    linked = Passing(two, 2)
 
     def longer(where, fold):
         at = both(where, fold)
