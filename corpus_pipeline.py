@@ -50,7 +50,7 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality classifier", quality), ("near-dedup", near_dups), ("decontamination", decontaminated),
           ("mixing", mixed), ("sharding", sharded)]
 
-#: SQL has no circulant MinHash, no fitted classifier and no hypergeometric draws; see tests/llm/test_pipeline.py
+#: SQL has no circulant MinHash, no fitted classifier and no hypergeometric draws; see tests/llm/test_corpus_operators.py
 ORACLE_SQL = None
 
 
