@@ -80,14 +80,16 @@ def sentences(c) -> Column:                  # T9
     return F.split(marked, SENTENCE_SEP, -1)
 
 
-def dedupe_sentences(c) -> Column:           # T10
-    """Trimmed sentences, each kept at its first occurrence, joined by one blank."""
-    trimmed = F.transform(sentences(c), lambda s: py_strip(s))
+def dedupe_sentences(c, pieces=None) -> Column:           # T10
+    """Trimmed sentences, each kept at its first occurrence, joined by one blank. ``pieces``: an array of
+    sentences split otherwise (``operators.sentences``), in place of T9's split of ``c``."""
+    trimmed = F.transform(sentences(c) if pieces is None else _c(pieces), lambda s: py_strip(s))
     return F.array_join(F.array_distinct(trimmed), " ")
 
 
-def clean_text_mono(c) -> Column:            # T11
-    return py_strip(dedupe_sentences(clean_text(c)))
+def clean_text_mono(c, pieces=None) -> Column:            # T11
+    """``pieces``: the sentences of the cleaned text (T8), if split otherwise than by T9."""
+    return py_strip(dedupe_sentences(clean_text(c), pieces))
 
 
 def has_ipv4(c) -> Column:                   # T12

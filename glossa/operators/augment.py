@@ -51,9 +51,10 @@ def clean_chain(df: DataFrame, text_col: str, id_col: str, seed: int = SEED, out
     return d
 
 
-def shuffle_sentences(text, key, seed: int = SEED) -> Column:                                     # AU2
-    """Sentences in a seeded random order, joined by one blank."""
-    keyed = F.transform(T.sentences(text), lambda s, i: F.struct(rand.uniform(seed, key, "shuf", i).alias("k"),
+def shuffle_sentences(text, key, seed: int = SEED, pieces=None) -> Column:                        # AU2
+    """Sentences in a seeded random order, joined by one blank. ``pieces``: the sentences of the text as an
+    array, if split otherwise than by T9 (``operators.sentences``)."""
+    keyed = F.transform(T.sentences(text) if pieces is None else pieces, lambda s, i: F.struct(rand.uniform(seed, key, "shuf", i).alias("k"),
                                                                   s.alias("s")))
     return F.array_join(F.transform(F.array_sort(keyed), lambda x: x["s"]), " ")
 
