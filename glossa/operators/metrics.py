@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.operators.scale import with_exclusive_prefix
+from glossa.operators.scale import quantile_bucket, with_exclusive_prefix
 from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
@@ -65,6 +65,65 @@ def with_prior_rows(df: DataFrame, label_col: str, score_col: str, part_cols: Se
     return df.select(*part_cols, label_col, score_col).unionByName(seeds)
 
 
+def running_auc(df: DataFrame, label_col: str, score_col: str, batch_col: str, part_cols: Sequence[str] = (),
+                prior: bool = True, out: str = "auc") -> DataFrame:                         # A11, one value an update
+    """``part_cols, batch_col, n_rows, out``: the AUC of all rows up to and with each batch, as a meter that
+    is updated batch by batch reports it. Batches are non-negative numbers; null labels, scores and batches are
+    left out. With ``prior`` the two seed rows come before the first batch (and ``n_rows`` does not count them);
+    without, batches before the first row of either class have null.
+
+    Pairs are counted in the order (batch, score) by merge counting: two batches part at the highest bit in which
+    their numbers differ, so each pair of rows meets in exactly one node of a binary tree over the batches, the
+    earlier row on its left and the later one on its right. Every level is one bucketed running sum over all
+    nodes, and a row is in ``log2`` of the batches of them: no AUC is computed once a prefix."""
+    part_cols = list(part_cols)
+    y = F.col(label_col).cast("long")
+    d = df.where(F.col(label_col).isNotNull() & F.col(score_col).isNotNull() & F.col(batch_col).isNotNull())
+    d = d.select(*part_cols, F.col(score_col).cast("double").alias("_s"), (F.col(batch_col).cast("long") + F.lit(1)).alias("_b"),
+                 y.alias("_y"), F.lit(1).cast("long").alias("_real"))
+    if prior:
+        groups = d.select(*part_cols).distinct() if part_cols else df.sparkSession.range(1)
+        seed = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(c).cast("long").alias("c")) for c, p in PRIOR_ROWS])).alias("v")
+        d = d.unionByName(groups.select(*part_cols, seed).select(
+            *part_cols, F.col("v.p").alias("_s"), F.lit(0).cast("long").alias("_b"), F.col("v.c").alias("_y"), F.lit(0).cast("long").alias("_real")))
+    g = materialize(d.groupBy(*part_cols, "_b", "_s").agg(
+        F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg"), F.sum("_real").alias("_n")))
+    top = g.select(F.coalesce(F.length(F.bin(F.max("_b"))), F.lit(1)).alias("t")).scalar()
+    # level -1: the rows of one batch among themselves, positives on the right and negatives on the left
+    side = F.transform(F.sequence(F.lit(0), F.col("_top") - 1), lambda v: F.struct(
+        v.cast("int").alias("level"), F.call_function("shiftright", F.col("_b"), v.cast("int") + 1).alias("node"),
+        F.call_function("shiftright", F.col("_b"), v.cast("int")).bitwiseAND(F.lit(1)).cast("int").alias("right")))
+    own = F.array(*[F.struct(F.lit(-1).alias("level"), F.col("_b").alias("node"), F.lit(r).alias("right")) for r in (0, 1)])
+    e = g.withColumn("_top", top).withColumn("_node", F.explode(F.concat(own, side)))
+    level, right = F.col("_node.level"), F.col("_node.right")
+    e = e.select(*part_cols, "_s", "_b", level.alias("_level"), F.col("_node.node").alias("_at"), right.alias("_right"),
+                 F.when((right == 0) & (level >= 0), F.col("_pos")).otherwise(F.lit(0)).alias("_lp"),
+                 F.when(right == 0, F.col("_neg")).otherwise(F.lit(0)).alias("_ln"),
+                 F.when(right == 1, F.col("_pos")).otherwise(F.lit(0)).alias("_rp"),
+                 F.when((right == 1) & (level >= 0), F.col("_neg")).otherwise(F.lit(0)).alias("_rn"))
+    e = materialize(e)
+    node = [*part_cols, "_level", "_at"]
+    bucket = quantile_bucket(e, "_s")               # buckets of the scores, the same for all nodes
+    not_above = with_exclusive_prefix(bucket, ["_s", "_right", "_b"], ["_lp", "_ln"], node, bucket=F.col("_bucket"), totals=True)
+    not_above = not_above.where((F.col("_rp") > 0) | (F.col("_rn") > 0))
+    lo = bucket.withColumn("_left", -F.col("_right"))
+    below = with_exclusive_prefix(lo, ["_s", "_left", "_b"], ["_lp", "_ln"], node, bucket=F.col("_bucket"), totals=True)
+    below = below.where((F.col("_rp") > 0) | (F.col("_rn") > 0))
+
+    # pairs won with ties counted in full, and without them: their sum is twice the pairs won
+    wins = F.sum(F.col("_rp") * F.col("_ln_before") + F.col("_rn") * (F.col("_lp_total") - F.col("_lp_before"))).alias("_w")
+    won = not_above.groupBy(*part_cols, "_b").agg(wins).unionByName(below.groupBy(*part_cols, "_b").agg(wins))
+    rows = g.groupBy(*part_cols, "_b").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_q"), F.sum("_n").alias("_m"))
+    zero = F.lit(0).cast("long")
+    t = (won.select(*part_cols, "_b", "_w", zero.alias("_p"), zero.alias("_q"), zero.alias("_m"))
+         .unionByName(rows.select(*part_cols, "_b", zero.alias("_w"), "_p", "_q", "_m")))
+    t = t.groupBy(*part_cols, "_b").agg(*[F.sum(c).alias(c) for c in ("_w", "_p", "_q", "_m")])
+    t = with_exclusive_prefix(materialize(t), ["_b"], ["_w", "_p", "_q", "_m"], part_cols)
+    w, p, q, m = (F.col(c) + F.col(f"{c}_before") for c in ("_w", "_p", "_q", "_m"))
+    auc = w.cast("double") / F.lit(2.0) / F.nullif(p.cast("double") * q.cast("double"), F.lit(0.0))
+    return t.where(F.col("_m") > 0).select(*part_cols, (F.col("_b") - 1).alias(batch_col), m.alias("n_rows"), auc.alias(out))
+
+
 def threshold_bin(score) -> F.Column:                                                       # A12
     """Index of the highest of the 198 inner thresholds i/199 the score exceeds."""
     k = N_THRESHOLDS - 1

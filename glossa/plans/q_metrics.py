@@ -42,6 +42,23 @@ def a11_auc_with_prior(spark, sf):
     return M.roc_auc(d, "y", "p", ["model"]).select("model", r6("auc").alias("auc"))
 
 
+BATCH = 64          # rows an update
+
+
+@query("a11_running_auc", X.with_fixtures(
+    "SELECT b.model, b.batch, n_rows, round(sum(CASE WHEN x.p > n.p THEN 1.0 WHEN x.p = n.p THEN 0.5 ELSE 0.0 END * x.n * n.n) "
+    "/ nullif(sum(x.n * n.n), 0), 6) AS auc FROM bs b JOIN lc x ON x.model = b.model AND x.batch <= b.batch AND x.y = 1 "
+    "JOIN lc n ON n.model = b.model AND n.batch <= b.batch AND n.y = 0 GROUP BY b.model, b.batch, n_rows", "scores", "comments",
+    ctes=_LS + f""",
+lb AS (SELECT model, CAST(floor(CAST(id AS BIGINT) / {BATCH}) AS BIGINT) AS batch, y, p FROM ls),
+bs AS (SELECT model, batch, CAST(sum(count(*)) OVER (PARTITION BY model ORDER BY batch) AS BIGINT) AS n_rows FROM lb GROUP BY model, batch),
+lc AS (SELECT model, batch, y, p, count(*) AS n FROM (SELECT * FROM lb UNION ALL
+  SELECT DISTINCT model, -1, v.y, v.p FROM lb CROSS JOIN (VALUES (0, 0.5), (1, 0.5)) v(y, p)) GROUP BY ALL)"""))
+def a11_running_auc(spark, sf):
+    d = labelled_scores(spark, sf).withColumn("batch", F.floor(F.col("id").cast("long") / F.lit(BATCH)))
+    return M.running_auc(d, "y", "p", "batch", ["model"]).select("model", "batch", "n_rows", r6("auc").alias("auc"))
+
+
 _BIN = "CAST(least(greatest(ceil(p * 199.0) - 1, 0), 198) AS INT)"
 
 
