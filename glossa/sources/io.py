@@ -3,20 +3,22 @@
 CSV is read with an explicit schema (no inference pass), multi-line quoted
 fields and RFC-4180 quote doubling. A file with multi-line cells cannot be split, so large
 inputs are turned into Parquet once, or read with ``multi_line=False`` where no cell has a line break. Zip archives are not a Hadoop codec, so
-``read_zipped_csv`` reads each archive with ``binaryFile`` and unpacks it in
-a pandas batch -- one task per archive, which is the unit Spark can split.
+they are a data source of their own, whose partitions are the members of the archives.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import io
 import uuid
 import zipfile
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 _CSV = {"header": "true", "quote": '"', "escape": '"',
@@ -79,29 +81,6 @@ def _cast_frame(pdf: pd.DataFrame, schema: StructType) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str,
-                    batch_rows: int = 50_000, file_glob: str = "*.zip") -> DataFrame:                # S2
-    """Rows of every ``*.csv`` member of the zip archives under ``path`` (a
-    folder, filtered by ``file_glob``, or a single archive)."""
-    if isinstance(schema, str):
-        schema = StructType.fromDDL(schema)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
-             .load(path).select("content"))
-
-    def unzip(batches):
-        for pdf in batches:
-            for blob in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(blob)) as zf:
-                    for name in zf.namelist():
-                        if not name.endswith(".csv"):
-                            continue
-                        with zf.open(name) as fh:
-                            for part in pd.read_csv(fh, dtype=str, keep_default_na=False, chunksize=batch_rows):
-                                yield _cast_frame(part, schema)
-
-    return files.mapInPandas(unzip, schema)
-
-
 def filesystem_of(uri: str):
     """The ``pyarrow`` file system of a shared folder and the path in it (``file:``, ``hdfs:``,
     ``s3:``/``s3a:``, ``gs:`` or a plain path)."""
@@ -111,6 +90,94 @@ def filesystem_of(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
+MEMBERS_BYTES = 64 << 20          # members of one partition: up to this many unpacked bytes, or one larger member
+
+
+@dataclass
+class _Members(InputPartition):
+    archive: str
+    names: tuple
+
+
+def _archives(path: str, file_glob: str) -> list[str]:
+    from pyarrow import fs
+    store, p = filesystem_of(path)
+    if store.get_file_info(p).type == fs.FileType.File:
+        return [path]
+    base = path[:len(path) - len(p)] if path.endswith(p) else ""
+    found = store.get_file_info(fs.FileSelector(p))
+    return sorted(base + f.path for f in found if f.is_file and fnmatch.fnmatch(f.base_name, file_glob))
+
+
+class ZippedCsvReader(DataSourceReader):
+    """Partitions are members of the archives, found in the central directories. A task opens its archive by
+    range, seeks to its members and unpacks them as streams, so no archive and no member is held whole."""
+
+    def __init__(self, schema: StructType, options: dict):
+        self.schema = schema
+        self.path = options["path"]
+        self.file_glob = options.get("fileglob", "*.zip")
+        self.batch_rows = int(options.get("batchrows", "50000"))
+        self.members_bytes = int(options.get("membersbytes", str(MEMBERS_BYTES)))
+
+    def partitions(self):
+        parts = []
+        for archive in _archives(self.path, self.file_glob):
+            store, p = filesystem_of(archive)
+            with store.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
+                names, size = [], 0
+                for m in zf.infolist():
+                    if not m.filename.endswith(".csv"):
+                        continue
+                    if names and size + m.file_size > self.members_bytes:
+                        parts.append(_Members(archive, tuple(names)))
+                        names, size = [], 0
+                    names.append(m.filename)
+                    size += m.file_size
+                if names:
+                    parts.append(_Members(archive, tuple(names)))
+        return parts or [_Members("", ())]
+
+    def read(self, partition):
+        if not partition.names:
+            return
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        schema = to_arrow_schema(self.schema)
+        store, p = filesystem_of(partition.archive)
+        with store.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
+            for name in partition.names:
+                with zf.open(name) as fh:
+                    for part in pd.read_csv(fh, dtype=str, keep_default_na=False, chunksize=self.batch_rows):
+                        yield from pa.Table.from_pandas(_cast_frame(part, self.schema), schema, preserve_index=False).to_batches()
+
+
+class ZippedCsv(DataSource):
+    """``spark.read.format("zipped_csv")``: CSV members of zip archives as a partitioned source."""
+
+    @classmethod
+    def name(cls):
+        return "zipped_csv"
+
+    def schema(self):
+        raise ValueError("zipped_csv needs a declared schema")
+
+    def reader(self, schema):
+        return ZippedCsvReader(schema, self.options)
+
+
+def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, batch_rows: int = 50_000,
+                    file_glob: str = "*.zip", members_bytes: int = MEMBERS_BYTES) -> DataFrame:         # S2
+    """Rows of every ``*.csv`` member of the zip archives under ``path`` (a folder, filtered by ``file_glob``,
+    or a single archive). Members of up to ``members_bytes`` unpacked bytes share a task; a larger one has its
+    own. Empty fields are null. No archive or no member gives no rows."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    spark.dataSource.register(ZippedCsv)
+    return (spark.read.format("zipped_csv").schema(schema).option("fileglob", file_glob)
+            .option("batchrows", str(batch_rows)).option("membersbytes", str(members_bytes)).load(path))
+
+
 def write_zipped_csv(df: DataFrame, path: str) -> DataFrame:                                          # S2 (writer)
     """Each non-empty partition streams into one ``part-<n>.csv.zip`` in the shared folder ``path``,
     batch by batch; returns the written paths and row counts as a DataFrame (lazy)."""

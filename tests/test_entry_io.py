@@ -83,6 +83,19 @@ def test_zip_roundtrip(spark):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_members_of_one_archive_are_partitions(spark, tmp_path):
+    import zipfile
+    path = str(tmp_path / "two.csv.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for name, ids in (("a.csv", range(0, 500)), ("b.csv", range(500, 900)), ("notes.txt", [])):
+            zf.writestr(name, "id,t\n" + "".join(f'{i},"x\n{i}"\n' for i in ids))
+    for most, parts in ((1, 2), (1 << 20, 1)):
+        d = IO.read_zipped_csv(spark, path, "id long, t string", members_bytes=most, batch_rows=100)
+        assert d.rdd.getNumPartitions() == parts
+        assert sorted(map(tuple, d.collect())) == [(i, f"x\n{i}") for i in range(900)]
+    assert IO.read_zipped_csv(spark, str(tmp_path), "id long", file_glob="none*.zip").count() == 0
+
+
 def test_chunk_scan_prunes_partitions(spark):
     df = spark.range(30).withColumn("chunk", (F.col("id") % 5).cast("int"))
     path = IO.write_chunks(df, scratch_path(spark, "t_chunks"))
