@@ -1,6 +1,7 @@
 """Sentence borders with learned abbreviations, against hand cases and a plain recount."""
 
 import math
+from itertools import permutations
 
 from glossa.functions import text as T
 from glossa.operators import augment as AU
@@ -70,7 +71,8 @@ def test_options_take_learned_sentences(spark):
     r = s.select(T.dedupe_sentences("t", F.col("sentences")).alias("a"), T.clean_text_mono("t", F.col("sentences")).alias("b"),
                  AU.shuffle_sentences("t", F.col("id"), pieces=F.col("sentences")).alias("c")).first()
     assert r.a == r.b == "Dr. A came. Dr. B left."
-    assert sorted(r.c.replace("Dr. ", "Dr_").split(". ")) != [] and r.c.count("Dr. A came.") == 2
+    orders = {" ".join(x) for x in permutations(["Dr. A came.", "Dr. A came.", "Dr. B left."])}
+    assert r.c in orders
 
 
 def test_empty_table(spark):
