@@ -28,7 +28,7 @@ SCORES_SCHEMA = "id string, lang string, toxic double"
 @query("s01_csv_scan", X.with_fixtures("SELECT id, lang, comment_text, toxic FROM comments", "comments"))
 def s01_csv_scan(spark, sf):
     path = IO.write_csv(X.comments(spark, sf), scratch_path(spark, "comments_csv"))
-    return IO.read_csv(spark, path, COMMENTS_SCHEMA)
+    return IO.read_csv_ranges(spark, path, COMMENTS_SCHEMA)
 
 
 @query("s02_zip_csv_scan", X.with_fixtures("SELECT id, lang, comment_text, toxic FROM comments", "comments"))
@@ -68,7 +68,7 @@ def s04_chunk_scan(spark, sf):
 def s05_csv_sink(spark, sf):
     from glossa.plans.q_ensemble import flagship
     path = IO.write_csv(flagship(spark, sf), scratch_path(spark, "submission_csv"))
-    return IO.read_csv(spark, path, "id string, toxic double")
+    return IO.read_csv_ranges(spark, path, "id string, toxic double")
 
 
 @query("s06_chunk_sink", _chunk_sql("SELECT chunk, CAST(count(*) AS BIGINT) AS n FROM ch GROUP BY chunk"))

@@ -1,9 +1,10 @@
 """Sources and sinks.
 
 CSV is read with an explicit schema (no inference pass), multi-line quoted
-fields and RFC-4180 quote doubling. A file with multi-line cells cannot be split, so large
-inputs are turned into Parquet once, or read with ``multi_line=False`` where no cell has a line break. Zip archives are not a Hadoop codec, so
-they are a data source of their own, whose partitions are the members of the archives.
+fields and RFC-4180 quote doubling. ``read_csv_ranges`` splits files whose cells hold line
+breaks: the parity of the quotes before a byte range tells whether it begins inside a cell. Zip
+archives are not a Hadoop codec, so they are a data source of their own, whose partitions are the
+members of the archives.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from glossa.session import materialize
+
 _CSV = {"header": "true", "quote": '"', "escape": '"',
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
         "emptyValue": "", "nullValue": ""}
@@ -30,11 +33,130 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
              multi_line: bool = True) -> DataFrame:                                                 # S1 / S3
     """Header CSV with a declared schema; ``path`` may be a glob or a list. ``multi_line``: cells may
     hold line breaks, and a file is read by one task; without it Spark splits files."""
-    d = spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(path)
+    return _nan_as_null(spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(path))
+
+
+def _nan_as_null(d: DataFrame) -> DataFrame:
     numbers = [f.name for f in d.schema.fields if f.dataType.simpleString() in ("double", "float")]
     return d.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})      # a NaN cell is missing
 
 
+RANGE_BYTES = 64 << 20            # byte range of a CSV file that one task reads
+READ_BYTES = 4 << 20              # bytes that a task holds at a time
+MAX_RANGE_TASKS = 100_000
+_RANGE = "path string, start long, stop long"
+
+
+def csv_ranges(spark: SparkSession, path: str | Sequence[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Byte ranges of the CSV files at ``path`` with ``inside``: whether the range begins within a quoted
+    cell. A first job counts the quotes of each range; ``inside`` is the parity of the running
+    count over the ranges of a file (one row a range, so the window is small)."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("_len"))   # lists, opens nothing
+    firsts = F.sequence(F.lit(0).cast("long"), F.col("_len") - 1, F.lit(range_bytes).cast("long"))
+    ranges = files.where("_len > 0").select("path", "_len", F.explode(firsts).alias("start"))
+    ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, F.col("_len")).alias("stop"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = _one_range_a_task(materialize(ranges)).mapInPandas(_count_quotes, _RANGE + ", quotes long")
+    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
+    return materialize(counted.select("path", "start", "stop", inside.alias("inside")))
+
+
+def _one_range_a_task(ranges: DataFrame) -> DataFrame:
+    # a given number of partitions is kept by adaptive execution, which would merge such small rows otherwise
+    return ranges.repartition(max(1, min(MAX_RANGE_TASKS, ranges.count())))
+
+
+def _open_file(path: str):
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file:///" + path[len("file:"):].lstrip("/")
+    if path.endswith((".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")):
+        raise ValueError(f"a compressed file has no byte ranges, read it with read_csv: {path}")
+    store, p = filesystem_of(path)
+    return store.open_input_file(p)
+
+
+def _count_quotes(batches):
+    for pdf in batches:
+        found = []
+        for path, start, stop in zip(pdf["path"], pdf["start"], pdf["stop"]):
+            n = 0
+            with _open_file(path) as raw:
+                raw.seek(start)
+                while start < stop:
+                    data = raw.read(min(READ_BYTES, stop - start))
+                    if not data:
+                        raise OSError(f"{path} has become shorter")
+                    n += data.count(b'"')
+                    start += len(data)
+            found.append(n)
+        yield pdf[["path", "start", "stop"]].assign(quotes=found)
+
+
+def records_of_range(raw, start: int, stop: int, inside: bool, read_bytes: int = READ_BYTES):
+    """Lists of ``(position, bytes)`` of the records that begin in ``[start, stop)`` of an open file. A record begins at 0
+    and after each line break outside quotes; the last one is read to its end beyond ``stop``."""
+    import numpy as np
+    at, own, odd = start, start == 0, bool(inside)      # own: the bytes at hand belong to a record of this range
+    if start:
+        raw.seek(start - 1)
+        own = raw.read(1) == b"\n" and not odd
+    else:
+        raw.seek(0)
+    held, first = [], start                             # pieces of the unfinished record, and where it begins
+    while own or at < stop:
+        data = raw.read(read_bytes)
+        if not data:
+            break
+        codes = np.frombuffer(data, np.uint8)
+        quotes, breaks = np.flatnonzero(codes == 34), np.flatnonzero(codes == 10)
+        ends = breaks[(np.searchsorted(quotes, breaks) + odd) % 2 == 0]
+        out, last = [], 0
+        for end in ends.tolist():
+            if own:
+                held.append(data[last:end])
+                out.append((first, b"".join(held)))
+            held, last, first = [], end + 1, at + end + 1
+            own = first < stop
+            if not own:
+                break
+        if out:
+            yield out
+        if first >= stop:
+            return
+        if own:
+            held.append(data[last:])
+        odd ^= len(quotes) % 2 == 1
+        at += len(data)
+    if own and held and any(held):
+        yield [(first, b"".join(held))]                  # the file does not end with a line break
+
+
+def _read_records(batches):
+    for pdf in batches:
+        for path, start, stop, inside in zip(pdf["path"], pdf["start"], pdf["stop"], pdf["inside"]):
+            with _open_file(path) as raw:
+                for found in records_of_range(raw, start, stop, inside):
+                    texts = [r.removesuffix(b"\r").decode("utf-8", "replace") for _, r in found]
+                    yield pd.DataFrame({"path": path, "at": [p for p, _ in found], "record": texts})
+
+
+def read_csv_ranges(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, range_bytes: int = RANGE_BYTES,
+                    path_col: str | None = None) -> DataFrame:                                      # S1 / S3
+    """The rows of ``read_csv``, with large files read by many tasks although cells hold line breaks. Each
+    task cuts the records of its byte range, Spark's own CSV expression turns them into columns; no row is
+    shuffled. The first record of a file is its header, empty lines are left out, ``path_col`` names a
+    column for the file. Quotes must be those of RFC 4180 (a cell with a quote is quoted, quotes in it
+    are doubled); files must not be compressed and lie in a file system that ``pyarrow.fs`` knows."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    ranges = csv_ranges(spark, path, range_bytes)
+    records = _one_range_a_task(ranges).mapInPandas(_read_records, "path string, at long, record string")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    cells = F.from_csv("record", ddl, {**_CSV, "header": "false", "multiLine": "true"})
+    d = records.where("at > 0 AND record <> ''").select("path", cells.alias("_cells"))
+    d = d.select("_cells.*", *([F.col("path").alias(path_col)] if path_col else []))
+    return _nan_as_null(d)
+
+
 def write_csv(df: DataFrame, path: str) -> str:                                                      # S5
     df.write.mode("overwrite").options(**_CSV).csv(path)
     return path
@@ -43,7 +165,11 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_score_files(spark: SparkSession, pattern: str, schema: StructType | str,
                      name_regex: str = r"submission_([^/]+)\.csv", name_col: str = "model",
                      multi_line: bool = True) -> DataFrame:                                       # S3
-    """Every CSV matching ``pattern`` with the file's name part as ``name_col``."""
+    """Every CSV matching ``pattern`` with the file's name part as ``name_col``. Files are split into
+    byte ranges, or by line without ``multi_line``."""
+    if multi_line:
+        d = read_csv_ranges(spark, pattern, schema, path_col="_path")
+        return d.withColumn(name_col, F.regexp_extract("_path", name_regex, 1)).drop("_path")
     d = read_csv(spark, pattern, schema, multi_line)
     return d.withColumn(name_col, F.regexp_extract(F.col("_metadata.file_path"), name_regex, 1))
 
