@@ -11,16 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import rand
-from glossa.operators.scale import join_table, row_number_by_uniform
+from glossa.operators.scale import join_table, prefix_key, row_number_by_uniform, with_exclusive_prefix
+from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 SEED = 5353
 N_FOLDS = 10                 # fold downsample modulus
 HOLDOUT_FRACTION = 0.1
+FOLD_RUNS = 4                # fold models; fold f reads chunk f of each file below
+FOLD_ORIGINS = ("subtitle", "foreign")
+BASE_CHUNKS = {"foreign": 6, "english": 2}      # the base model reads the first chunks of these files
 # -----------------------------------------------------------------------------
 
 
@@ -44,8 +48,9 @@ def take_shuffled(df: DataFrame, n: int, id_col: str, seed: int = SEED) -> DataF
 def class_balance(df: DataFrame, label_col: str, ratio: int, id_col: str, file_col: str | None = None,
                   seed: int = SEED) -> DataFrame:                                                 # G1
     """All positives plus ``min(pos * ratio, neg)`` negatives drawn without
-    replacement, per input file."""
+    replacement, per input file. The input is run and written once: counts and order both read it."""
     keys = [file_col] if file_col else []
+    df = materialize(df)
     counts = df.groupBy(*keys).agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("_p"),
                                    F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_n"))
     caps = counts.select(*keys, F.least(F.col("_p") * F.lit(ratio), F.col("_n")).alias("_cap"))
@@ -61,12 +66,14 @@ def stratified_chunks(df: DataFrame, strata_col: str, chunk_size: int, id_col: s
     Strata are sorted; the r-th row (seeded order) of a stratum whose sorted
     predecessors hold O rows goes to chunk ``(O + r - 1) % k``, which gives
     every (chunk, stratum) the size of the unshuffled stratified k-fold split."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    k = F.floor(total / F.lit(chunk_size))
+    # one row a stratum; their running sum is bucketed too, so any number of strata does
     counts = df.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_sn"))
-    # one row per stratum: the ordering window runs on that small table only
-    w = Window.orderBy(strata_col).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(strata_col, F.coalesce(F.sum("_sn").over(w), F.lit(0)).alias("_off"))
+    text = dict(df.dtypes)[strata_col] == "string"
+    key = prefix_key(F.col(strata_col)) if text else F.col(strata_col).cast("double")
+    counts = materialize(counts.withColumn("_key", key))
+    k = F.floor(counts.select(F.sum("_sn")).scalar() / F.lit(chunk_size))
+    offs = with_exclusive_prefix(counts, [strata_col], ["_sn"], bucket_col="_key")
+    offs = offs.select(strata_col, F.col("_sn_before").alias("_off"))
     d = join_table(shuffle_positions(df, id_col, seed, [strata_col], out="_rn"), offs, [strata_col])
     chunk = F.when(k > 2, F.pmod(F.col("_off") + F.col("_rn") - 1, k)).otherwise(F.lit(0))
     return d.withColumn(out, chunk.cast("int")).drop("_rn", "_off")
@@ -76,6 +83,21 @@ def chunk_cap(df: DataFrame, max_chunk: int | None, chunk_col: str = "chunk") ->
     return df if max_chunk is None else df.where(F.col(chunk_col) < max_chunk)
 
 
+def route_runs(chunked: DataFrame, pseudo: DataFrame, id_col: str = "id", n_folds: int = FOLD_RUNS) -> DataFrame:      # G7
+    """``run, origin, id``: the rows on which each run trains. ``chunked`` has ``origin`` (subtitle, foreign or
+    english), ``chunk`` and the id. The base run reads the first chunks of the foreign and the English
+    file, the run of fold f the pseudo-labelled rows and chunk f of the subtitle and the foreign file.
+    A row names its runs in one projection, so each table is read once for all runs."""
+    base = F.lit(False)
+    for origin, n in BASE_CHUNKS.items():
+        base = base | ((F.col("origin") == origin) & (F.col("chunk") < n))
+    fold = F.col("origin").isin(*FOLD_ORIGINS) & (F.col("chunk") < n_folds)
+    runs = F.array_compact(F.array(F.when(base, F.lit("base")), F.when(fold, F.concat(F.lit("fold"), F.col("chunk").cast("string")))))
+    every = F.array(*[F.lit(f"fold{f}") for f in range(n_folds)])
+    routed = chunked.select(F.explode(runs).alias("run"), "origin", id_col)
+    return routed.unionByName(pseudo.select(F.explode(every).alias("run"), F.lit("pseudo").alias("origin"), id_col))
+
+
 def fold_downsample(df: DataFrame, fold: int, label_col: str, id_col: str, part_cols: Sequence[str] = ("lang",),
                     seed: int = SEED, n_folds: int = N_FOLDS) -> DataFrame:                         # G4 / W2
     """All positives plus the negatives whose 0-based shuffled index (per
@@ -87,7 +109,7 @@ def fold_downsample(df: DataFrame, fold: int, label_col: str, id_col: str, part_
 def equal_class_downsample(df: DataFrame, class_cols: Sequence[str], id_col: str, seed: int = SEED) -> DataFrame:   # G5
     """Cut every class to the size of the smallest class. Rows without a class are left out first."""
     class_cols = list(class_cols)
-    df = df.dropna(subset=class_cols)
+    df = materialize(df.dropna(subset=class_cols))          # read for the class sizes and for the order
     smallest = df.groupBy(*class_cols).agg(F.count(F.lit(1)).alias("_c")).select(F.min("_c")).scalar()
     d = shuffle_positions(df, id_col, seed, class_cols, out="_rn")
     return d.where(F.col("_rn") <= smallest).drop("_rn")

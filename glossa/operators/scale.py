@@ -75,6 +75,11 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int | None = None) -> Da
     return d.withColumn(_B, F.col(_B).cast("int")).drop("_splits")
 
 
+def prefix_key(text: Column) -> Column:
+    """A double non-decreasing in the byte order of ``text``: its first six UTF-8 bytes as a number."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+
+
 def with_exclusive_prefix(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                           part_cols: Sequence[str] = (), bucket: Column | None = None,
                           n_buckets: int | None = None, totals: bool = False,
@@ -119,18 +124,29 @@ def pct_rank(df: DataFrame, value_col: str, out_col: str, part_cols: Sequence[st
              n_buckets: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)`` (average ties): ``(below + (ties + 1) / 2) / n``,
     ``n`` = non-null values of the group; null in, null out. ``df`` is written once (pass only
-    the columns that are needed): the value counts and the join back both read it."""
+    the columns that are needed): the value counts and the join back both read it. The join back
+    shuffles no row of a heavy value."""
     part_cols = list(part_cols)
     df = materialize(df)
     vals = (df.where(F.col(value_col).isNotNull())
             .groupBy(*part_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
     vals = materialize(vals)          # read by the sketch, the windows and the join
-    vals = with_exclusive_prefix(vals, [value_col], ["_n"], part_cols,
-                                 n_buckets=n_buckets, totals=True)
+    nb = n_buckets or default_buckets(df)
+    n_all = vals.select(F.sum("_n")).scalar()
+    vals = with_exclusive_prefix(vals, [value_col], ["_n"], part_cols, n_buckets=n_buckets, totals=True)
     vals = vals.select(*part_cols, value_col,
-                       ((F.col("_n_before") + (F.col("_n") + F.lit(1)) / F.lit(2.0))
-                        / F.col("_n_total")).alias(out_col))
-    return null_safe_join(df, vals, part_cols + [value_col], "left")
+                       ((F.col("_n_before") + (F.col("_n") + F.lit(1)) / F.lit(2.0)) / F.col("_n_total")).alias(out_col),
+                       (F.col("_n") * F.lit(nb) > n_all).alias("_heavy"))
+    return _join_by_value(df, vals, [*part_cols, value_col], value_col)
+
+
+def _join_by_value(df: DataFrame, vals: DataFrame, keys: list[str], value_col: str) -> DataFrame:
+    """Left join of ``df`` with one row a value. Rows without a value and rows of a ``_heavy`` value are never
+    shuffled: a heavy value holds more than 1/n_buckets of all rows, so fewer than n_buckets are broadcast."""
+    heavy = null_safe_join(df, F.broadcast(vals.where("_heavy")), keys, "left")
+    apart = F.col("_heavy").isNotNull() | F.col(value_col).isNull()
+    light = null_safe_join(heavy.where(~apart).select(*df.columns), vals.where(~F.col("_heavy")), keys, "left")
+    return heavy.where(apart).drop("_heavy").unionByName(light.drop("_heavy"))
 
 
 def row_number_by_uniform(df: DataFrame, u_col: str, tie_cols: Sequence[str],

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.tokens import UNK
-from glossa.operators.scale import with_exclusive_prefix
+from glossa.operators.scale import prefix_key, with_exclusive_prefix
 from glossa.session import materialize
 
 # Vocabularies up to this many entries are broadcast; larger ones use a
@@ -31,8 +31,7 @@ def _order_bucket_key(n: Column, token: Column) -> Column:
     ``-n * 2^48`` plus the first 6 UTF-8 bytes of the token read as a number
     (byte order is Spark's string order; rounding keeps monotonicity). Tokens
     of one count are therefore spread over buckets by their prefix."""
-    prefix = F.conv(F.rpad(F.hex(F.substring(F.encode(token, "UTF-8"), 1, 6)), 12, "0"), 16, 10)
-    return -n.cast("double") * F.lit(float(1 << 48)) + prefix.cast("double")
+    return -n.cast("double") * F.lit(float(1 << 48)) + prefix_key(token)
 
 
 def build_vocab(df: DataFrame, tokens_col: str, size: int) -> DataFrame:

@@ -79,12 +79,19 @@ def chunks(spark, sf):
     return S.stratified_chunks(p, "strata", CHUNK_SIZE, "id")
 
 
-_CHUNKS = f"""pl AS (SELECT *, lang || CAST(toxic AS VARCHAR) AS strata FROM pool),
-so AS (SELECT strata, coalesce(sum(n) OVER (ORDER BY strata ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-  FROM (SELECT strata, count(*) AS n FROM pl GROUP BY strata)),
-ch AS (SELECT p.id, p.lang, p.toxic, p.strata, CAST(CASE WHEN (SELECT count(*) FROM pl) // {CHUNK_SIZE} > 2
-  THEN (so.off + row_number() OVER (PARTITION BY p.strata ORDER BY {Q.u(SEED, 'p.id')}, p.id) - 1) % ((SELECT count(*) FROM pl) // {CHUNK_SIZE})
-  ELSE 0 END AS INT) AS chunk FROM pl p JOIN so ON p.strata = so.strata)"""
+def _chunk_ctes(name, source):
+    """CTEs that put the rows of ``source`` (id, lang, toxic) into stratified chunks: the last one is ``name``."""
+    t, o = f"{name}_t", f"{name}_o"
+    k = f"(SELECT count(*) FROM {t}) // {CHUNK_SIZE}"
+    return f"""{t} AS (SELECT *, lang || CAST(toxic AS VARCHAR) AS strata FROM {source}),
+{o} AS (SELECT strata, coalesce(sum(n) OVER (ORDER BY strata ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM (SELECT strata, count(*) AS n FROM {t} GROUP BY strata)),
+{name} AS (SELECT p.id, p.lang, p.toxic, p.strata, CAST(CASE WHEN {k} > 2
+  THEN (so.off + row_number() OVER (PARTITION BY p.strata ORDER BY {Q.u(SEED, 'p.id')}, p.id) - 1) % ({k})
+  ELSE 0 END AS INT) AS chunk FROM {t} p JOIN {o} so ON p.strata = so.strata)"""
+
+
+_CHUNKS = _chunk_ctes("ch", "pool")
 
 
 @query("g02_stratified_chunks", X.with_fixtures("SELECT id, strata, chunk FROM ch", "pool", ctes=_CHUNKS))
@@ -123,31 +130,30 @@ def g06_holdout_split(spark, sf):
     return S.holdout_split(labelled(spark, sf), "id").select("id", "split")
 
 
+_ROUTED = ",\n".join([
+    _CHUNKS, _LAB, _chunk_ctes("fo", "(SELECT * FROM lab WHERE lang <> 'en')"), _chunk_ctes("en", "(SELECT * FROM lab WHERE lang = 'en')"),
+    "ro AS (SELECT 'subtitle' AS origin, CAST(id AS VARCHAR) AS id, chunk FROM ch UNION ALL SELECT 'foreign', id, chunk FROM fo "
+    "UNION ALL SELECT 'english', id, chunk FROM en)"])
+
+
 @query("g07_fold_routing", X.with_fixtures(
-    "SELECT 'fold1' AS run, 'subtitle' AS origin, CAST(id AS VARCHAR) AS id FROM ch WHERE chunk = 1 "
-    "UNION ALL SELECT 'fold1', 'pseudo', c.id FROM comments c JOIN scores s ON c.id = s.id WHERE c.toxic IS NULL AND s.model = 'm0' "
-    "UNION ALL SELECT 'base', 'subtitle', CAST(id AS VARCHAR) FROM ch WHERE chunk < 2 AND lang = 'en' "
-    "UNION ALL SELECT 'base', 'foreign', CAST(id AS VARCHAR) FROM ch WHERE chunk <= 5 AND lang <> 'en'",
-    "pool", "comments", "scores", ctes=_CHUNKS))
+    "SELECT 'base' AS run, origin, id FROM ro WHERE (origin = 'foreign' AND chunk <= 5) OR (origin = 'english' AND chunk <= 1) "
+    "UNION ALL SELECT 'fold' || CAST(chunk AS VARCHAR), origin, id FROM ro WHERE origin <> 'english' AND chunk <= 3 "
+    "UNION ALL SELECT 'fold' || CAST(f AS VARCHAR), 'pseudo', c.id FROM comments c JOIN scores s ON c.id = s.id, "
+    "(SELECT unnest(range(0, 4)) AS f) WHERE c.toxic IS NULL AND s.model = 'm0'",
+    "pool", "comments", "scores", ctes=_ROUTED))
 def g07_fold_routing(spark, sf):
-    from glossa.operators.labels import pseudo_label
-    # three routes read the chunk table: assign chunks once, from shared storage
-    ch = materialize(chunks(spark, sf).withColumn("id", F.col("id").cast("string")))
-    c = X.comments(spark, sf)
-    pseudo = pseudo_label(c.where(F.col("toxic").isNull()).select("id"),
-                          X.scores(spark, sf).where(F.col("model") == "m0"))
-    parts = [
-        ch.where(F.col("chunk") == 1).select(F.lit("fold1").alias("run"), F.lit("subtitle").alias("origin"), "id"),
-        pseudo.select(F.lit("fold1").alias("run"), F.lit("pseudo").alias("origin"), "id"),
-        ch.where((F.col("chunk") < 2) & (F.col("lang") == "en"))
-          .select(F.lit("base").alias("run"), F.lit("subtitle").alias("origin"), "id"),
-        ch.where((F.col("chunk") <= 5) & (F.col("lang") != "en"))
-          .select(F.lit("base").alias("run"), F.lit("foreign").alias("origin"), "id"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The rows of the base model and of the four fold models: each file is chunked once."""
+    c = materialize(X.comments(spark, sf).select("id", "lang", "toxic"))
+    lab = c.where(F.col("toxic").isNotNull()).withColumn("strata", T.composite_key("lang", "toxic"))
+
+    def file(df, origin):
+        return df.select(F.lit(origin).alias("origin"), F.col("id").cast("string").alias("id"), "chunk")
+    chunked = file(chunks(spark, sf), "subtitle")
+    for origin, rows in (("foreign", lab.where(F.col("lang") != "en")), ("english", lab.where(F.col("lang") == "en"))):
+        chunked = chunked.unionByName(file(S.stratified_chunks(rows, "strata", CHUNK_SIZE, "id"), origin))
+    pseudo = L.pseudo_label(c.where(F.col("toxic").isNull()).select("id"), X.scores(spark, sf).where(F.col("model") == "m0"))
+    return S.route_runs(chunked, pseudo)
 
 
 _U2 = ("pc AS (SELECT id, " + Q.clean_text_mono("comment_text") + " AS comment_text, lang, toxic FROM pool "

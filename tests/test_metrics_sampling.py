@@ -119,3 +119,28 @@ def test_corpus_cap_spares_the_subset(spark):
     sizes = {cap: dict(mlm_corpora(spark, SF0001, cap).groupBy("corpus").count().collect()) for cap in (20, 10 ** 9)}
     assert sizes[20]["all"] == sizes[20]["valid_test"] == 20 < sizes[10 ** 9]["valid_test"]
     assert sizes[20]["subset"] == sizes[10 ** 9]["subset"] > 20
+
+
+def test_chunk_offsets_need_no_window_over_all_strata(spark):
+    import re
+    df = spark.range(900).selectExpr("id", "concat('s', id % 300) AS s")
+    d = S.stratified_chunks(df, "s", 100, "id")
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    windows = [m.groups() for m in re.finditer(r"Window \[.*\], \[(.*?)\], \[(.*?)\]\n", plan + "\n")]
+    assert windows and all(part.strip() or order.startswith("_bucket") for part, order in windows)
+    sizes = {r.chunk: r["count"] for r in d.groupBy("chunk").count().collect()}
+    assert sizes == {c: 100 for c in range(9)}
+    nulls = df.selectExpr("id", "CASE WHEN id % 3 > 0 THEN id % 3 END AS s")
+    assert S.stratified_chunks(nulls, "s", 100, "id").groupBy("chunk").count().count() == 9
+
+
+def test_runs_read_their_chunks(spark):
+    rows = [(o, c, f"{o}{c}") for o in ("subtitle", "foreign", "english") for c in range(8)]
+    chunked = spark.createDataFrame(rows, "origin string, chunk int, id string")
+    pseudo = spark.createDataFrame([("p",)], "id string")
+    got = {}
+    for r in S.route_runs(chunked, pseudo).collect():
+        got.setdefault(r.run, set()).add(r.id)
+    want = {f"fold{f}": {f"subtitle{f}", f"foreign{f}", "p"} for f in range(4)}
+    want["base"] = {f"foreign{c}" for c in range(6)} | {"english0", "english1"}
+    assert got == want

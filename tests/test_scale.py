@@ -79,3 +79,31 @@ def test_no_unpartitioned_window_over_rows(spark):
     for part, order in windows:
         if not part.strip():
             assert order.startswith("_bucket"), (part, order)
+
+
+def test_rows_of_heavy_values_and_nulls_are_not_shuffled(spark):
+    """A third of the rows has one value, a third has none: neither meets in one task."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 3_000
+        v = F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 3 == 1, F.col("id") / n)
+        d = pct_rank(spark.range(n).withColumn("v", v), "v", "r")
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and plan.count("SortMergeJoin") >= 1
+        got = d.toPandas().sort_values("id")
+        want = got["v"].rank(pct=True)
+        assert _eq(got["r"].tolist(), want.tolist()) and len(got) == n
+        # rows at the shuffle of the join: the light third only
+        shuffled = d.where("v <> 0.5").count()
+        assert shuffled == n // 3 - int(got["v"].eq(0.5).sum() > n // 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_heavy_values_of_groups_and_clashing_nulls(spark):
+    rows = [(i, None if i % 5 == 0 else i % 2, None if i % 7 == 0 else float(i % 4 if i % 3 else 2)) for i in range(400)]
+    d = pct_rank(spark.createDataFrame(rows, "id long, g int, v double"), "v", "r", ["g"], n_buckets=4).toPandas().sort_values("id")
+    want = pd.DataFrame(rows, columns=["id", "g", "v"])
+    want["g"] = want["g"].fillna(-1)
+    assert _eq(d["r"].tolist(), want.groupby("g")["v"].rank(pct=True).tolist())
