@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import tokens as K
 from glossa.functions import text as T
+from glossa.operators import batches as BT
 from glossa.operators import ensemble as E
 from glossa.operators import labels as L
 from glossa.operators import model as MD
@@ -154,3 +155,61 @@ def m07_variant_scores(spark, sf):
     """The scores of all ten folds and four languages with the validation AUC of each model."""
     s = variant_scores(spark, sf)
     return s.select("id", "variant", r6("toxic").alias("toxic"), F.round("auc", 6).alias("validation_auc"))
+
+
+EXTERNAL_LEN = 512
+
+
+def load_external_scorer(name="lin_b"):
+    """Stands for a model file: the scorer of ``name`` over a padded matrix of ids with a mask, in numpy."""
+    def load():
+        import numpy as np
+        import pandas as pd
+        a, b = MD.LINEAR_SCORERS[name]
+
+        def score(batch):
+            sizes = batch["ids"].map(len).to_numpy()
+            ids = np.full((len(batch), sizes.max()), K.PAD, np.int64)
+            for row, x in zip(ids, batch["ids"]):
+                row[:len(x)] = x
+            mask = np.arange(ids.shape[1]) < sizes[:, None]
+            total = (((ids * a + b) % 101 - 50) * mask).sum(axis=1)
+            return pd.Series(1.0 / (1.0 + np.exp(-(total / 1000.0))))
+        return score
+    return load
+
+
+def _m8_sql():
+    from glossa.plans.q_tokens import _sql, marks_sql
+    a, b = MD.LINEAR_SCORERS["lin_b"]
+    total = f"list_sum(list_transform({marks_sql('raw_ids', EXTERNAL_LEN, False)}, lambda x: (x * {a} + {b}) % 101 - 50))"
+    return _sql(f"SELECT id, round(1.0 / (1.0 + exp(-(CAST({total} AS DOUBLE) / CAST(1000 AS DOUBLE)))), 6) AS toxic FROM enc")
+
+
+@query("m08_external_scorer", _m8_sql())
+def m08_external_scorer(spark, sf):
+    """A user's scorer over padded batches of like length; the texts keep their own length."""
+    from glossa.plans.q_tokens import encoded
+    e = encoded(spark, sf, EXTERNAL_LEN - 2).select("id", K.with_marks("raw_ids", EXTERNAL_LEN, False).alias("ids"))
+    scored = BT.apply_in_batches(e, "lin_b", load_external_scorer(), "toxic", "double", F.size("ids"))
+    return scored.select("id", r6("toxic").alias("toxic"))
+
+
+def _m9_sql():
+    from glossa.plans import sqlkit as Q
+    return X.with_fixtures(f"SELECT id, {Q.strip_digits_quotes('comment_text')} AS comment_text FROM comments", "comments")
+
+
+def load_user_cleaner():
+    """Stands for a user's own cleaner in Python."""
+    import re
+    pattern = re.compile(T.DIGITS_QUOTES)
+    return lambda batch: batch["comment_text"].map(lambda x: None if x is None else pattern.sub("", x))
+
+
+@query("f01_user_cleaner", _m9_sql())
+def f01_user_cleaner(spark, sf):
+    """F1: a cleaner that is no column expression, through the same batches as a scorer."""
+    c = X.comments(spark, sf).select("id", "comment_text")
+    return BT.apply_in_batches(c, "digits_quotes", load_user_cleaner, "cleaned", "string", F.length("comment_text"), cells=1 << 24).select(
+        "id", F.col("cleaned").alias("comment_text"))

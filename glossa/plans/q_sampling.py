@@ -211,3 +211,62 @@ def mlm_corpora(spark, sf, cap):
     src0 = load(spark, sf, "documents").where(F.col("source") == "src0").withColumnRenamed("doc_id", "id")
     whole = leg(src0, "subset", "documents").unionByName(leg(original, "subset", "original"))
     return capped.where(F.col("_rn") <= cap).select("corpus", "origin", "id", "text").unionByName(whole)
+
+
+CORPORA = ("all", "valid_test", "subset")
+
+
+def corpus_texts(spark, sf):
+    """``origin, id, text, bits``: every text once, with the corpora of ``mlm_corpora`` it is a candidate of."""
+    from glossa.sources.tables import load
+    original = X.views(spark, sf).where(F.col("original") == 1).select("id", F.lit(4).alias("_original")).dropDuplicates(["id"])
+    c = X.comments(spark, sf).join(original, "id", "left")
+    bits = F.lit(1) + F.when(F.col("toxic").isNull(), 2).otherwise(0) + F.coalesce("_original", F.lit(0))
+    own = lambda df, origin, text, bits: df.select(
+        F.lit(origin).alias("origin"), F.col("id").cast("string").alias("id"), F.col(text).alias("text"), bits.alias("bits"))
+    src0 = load(spark, sf, "documents").where(F.col("source") == "src0").withColumnRenamed("doc_id", "id")
+    return (own(c, "comments", "comment_text", bits).unionByName(own(X.pool(spark, sf), "pool", "comment_text", F.lit(1)))
+            .unionByName(own(src0, "documents", "text", F.lit(4))))
+
+
+def encoded_corpora(spark, sf, cap):
+    """U3 encoded: ``corpus, origin, id`` with masked ids and targets. A text of several corpora is encoded and
+    masked once."""
+    from glossa.functions import tokens as K
+    from glossa.operators import corpora as C
+    from glossa.operators import vocab as V
+    from glossa.plans import q_tokens as QT
+    texts = C.cut_members(corpus_texts(spark, sf), CORPORA, {"all": cap, "valid_test": cap}, ["origin", "id"], SEED)
+    e = V.encode_ids(texts, "id", K.word_tokens("text"), QT.vocabulary(spark, sf), carry=["origin", "bits"], vocab_size=QT.VOCAB_SIZE,
+                     max_tokens=QT.MAX_LEN - 2)
+    e = e.select("bits", "origin", "id", K.with_marks("raw_ids", QT.MAX_LEN, True).alias("ids"))
+    inputs, labels = K.mlm_inputs_and_labels("ids", F.concat_ws("/", "origin", "id"), seed=QT.MLM_SEED, mask_id=QT.MASK_ID,
+                                             random_ids=(K.UNK + 1, QT.MASK_ID))
+    masked = e.select("bits", "origin", "id", QT.ids_str(inputs).alias("mlm_input_ids"), QT.ids_str(labels).alias("mlm_labels"))
+    return C.by_corpus(masked, CORPORA)
+
+
+def _u3_encoded_sql():
+    from glossa.plans import q_tokens as QT
+    ctes = f"""{QT._TOK},
+{QT._VOCAB},
+legs AS (SELECT 'all' AS corpus, 'comments' AS origin, id, comment_text AS text FROM comments
+  UNION ALL SELECT 'all', 'pool', CAST(id AS VARCHAR), comment_text FROM pool
+  UNION ALL SELECT 'valid_test', 'comments', id, comment_text FROM comments WHERE toxic IS NULL
+  UNION ALL SELECT 'subset', 'documents', CAST(doc_id AS VARCHAR), text FROM documents WHERE source = 'src0'
+  UNION ALL SELECT 'subset', 'comments', v.id, c.comment_text FROM views v JOIN comments c ON v.id = c.id WHERE v.original = 1),
+chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY {Q.u(SEED, 'corpus', 'origin', 'id')}, origin, id) AS rn
+  FROM legs) WHERE corpus = 'subset' OR rn <= {CORPUS_CAP}),
+ctok AS (SELECT corpus, origin, id, list_filter(string_split({Q.clean_text('text')}, ' '), lambda t: t <> '') AS toks FROM chosen),
+cex AS (SELECT corpus, origin, id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM ctok),
+cenc AS (SELECT corpus, origin, cex.id, list(coalesce(v.token_id, 3) ORDER BY pos) AS raw_ids FROM cex LEFT JOIN vocab v ON cex.token = v.token
+  GROUP BY corpus, origin, cex.id),
+cids AS (SELECT t.corpus, t.origin, t.id, t.origin || '/' || t.id AS rowkey,
+  {QT.marks_sql('coalesce(e.raw_ids, CAST([] AS INT[]))', QT.MAX_LEN, True)} AS ids
+  FROM ctok t LEFT JOIN cenc e ON t.corpus = e.corpus AND t.origin = e.origin AND t.id = e.id)"""
+    return X.with_fixtures(f"SELECT corpus, origin, id, {QT.mlm_sql('rowkey')} FROM cids", "comments", "pool", "views", ctes=ctes)
+
+
+@query("u03_mlm_encoded", _u3_encoded_sql())
+def u03_mlm_encoded(spark, sf):
+    return encoded_corpora(spark, sf, CORPUS_CAP)

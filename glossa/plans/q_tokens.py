@@ -143,20 +143,20 @@ def k06_attention_mask(spark, sf):
                     K.token_length("ids").alias("token_length"))
 
 
-def _mlm_sql():
+def mlm_sql(key):
+    """SQL of the inputs and labels of ``ids``; draws are keyed by ``key``."""
     def uu(tag):
-        return Q.u(MLM_SEED, "id", "(i - 1)", f"'{tag}'")
+        return Q.u(MLM_SEED, key, "(i - 1)", f"'{tag}'")
     sel = f"(x > 2 AND {uu('sel')} < 0.15)"
     msk = f"({sel} AND {uu('mask')} < 0.9)"
     rnd = f"({msk} AND {uu('rnd')} < CAST(1 AS DOUBLE) / CAST(9 AS DOUBLE))"
     rid = f"CAST(floor({uu('rid')} * {VOCAB_SIZE}) + {K.UNK + 1} AS INT)"
     inputs = f"list_transform(ids, lambda x, i: CASE WHEN {rnd} THEN {rid} WHEN {msk} THEN {MASK_ID} ELSE x END)"
     labels = f"list_transform(ids, lambda x, i: CASE WHEN {sel} THEN x ELSE -1 END)"
-    return (f"SELECT id, array_to_string({inputs}, ' ') AS mlm_input_ids, array_to_string({labels}, ' ') AS mlm_labels "
-            f"FROM (SELECT id, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc)")
+    return f"array_to_string({inputs}, ' ') AS mlm_input_ids, array_to_string({labels}, ' ') AS mlm_labels"
 
 
-@query("k07_mlm_mask", _sql(_mlm_sql()))
+@query("k07_mlm_mask", _sql(f"SELECT id, {mlm_sql('id')} FROM (SELECT id, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc)"))
 def k07_mlm_mask(spark, sf):
     e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
     inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), seed=MLM_SEED, mask_id=MASK_ID,
