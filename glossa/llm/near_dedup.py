@@ -282,3 +282,21 @@ def keep_single(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def digest(result: DataFrame) -> DataFrame:
     """The columns of the query."""
     return result.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: DuckDB SQL of the query for tables whose ids are unique and known
+ORACLE_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+starts AS (SELECT doc_id, ws, least({SHINGLE_WORDS}, len(ws)) AS m, unnest(range(1, len(ws) - least({SHINGLE_WORDS}, len(ws)) + 2)) AS i
+  FROM w WHERE len(ws) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS x FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM shingles p JOIN shingles q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * k >= {PERCENT} * (s.n + t.n - k)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, s.b FROM reach r JOIN steps s ON r.b = s.a),
+least_id AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id, coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)"""

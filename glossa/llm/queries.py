@@ -12,7 +12,9 @@ from glossa.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: the operators that SQL can express in reasonable time; the others are tested against brute force
-ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL,
+                          "op5_quality_rules": quality_rules.ORACLE_SQL, "op6_suffix_dedup": suffix_dedup.ORACLE_SQL,
+                          "op9_warc": warc.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL}
 
 
 def query(fn):

@@ -61,3 +61,17 @@ def _remove(unit: Unit):
 def digest(result: DataFrame) -> DataFrame:
     """The columns of the query: the kept words as a SHA-256."""
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB SQL of the query for tables whose ids are unique and known
+ORACLE_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW_WORDS - 2})) AS i FROM w WHERE len(ws) >= {WINDOW_WORDS}),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + {WINDOW_WORDS - 1}), ' ') AS x FROM starts),
+earliest AS (SELECT x, min(doc_id) AS o FROM windows GROUP BY x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW_WORDS})) AS i FROM windows JOIN earliest USING (x) WHERE o < doc_id),
+places AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)"""

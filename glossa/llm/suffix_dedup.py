@@ -58,3 +58,21 @@ def _remove(unit: Unit):
 def digest(result: DataFrame) -> DataFrame:
     """The columns of the query: the kept bytes as a SHA-256."""
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB SQL of the query for tables whose ids are unique and known
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - {MATCH_BYTES - 2})) AS i FROM d WHERE octet_length(b) >= {MATCH_BYTES}),
+windows AS (SELECT doc_id, i, array_slice(b, i, i + {MATCH_BYTES - 1}) AS x FROM starts),
+earliest AS (SELECT x, min(struct_pack(o := doc_id, i := i)) AS f FROM windows GROUP BY x HAVING count(*) > 1),
+hits AS (SELECT w.doc_id, w.i FROM windows w JOIN earliest USING (x) WHERE struct_pack(o := w.doc_id, i := w.i) > f),
+steps AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {MATCH_BYTES} THEN 0 ELSE 1 END AS opens FROM hits),
+runs AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM steps),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + {MATCH_BYTES} AS z FROM runs GROUP BY doc_id, r),
+gaps AS (SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS since FROM spans),
+cut AS (SELECT doc_id, sum(z - a) AS n, count(*) AS m, max(z) AS z FROM spans GROUP BY doc_id),
+before AS (SELECT g.doc_id, string_agg(hex(array_slice(b, since, a - 1)), '' ORDER BY a) AS h FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id)
+SELECT d.doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(m, 0) AS n_spans,
+  sha256(unhex(coalesce(h, '') || hex(array_slice(b, coalesce(z, 1), octet_length(b))))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN before USING (doc_id)"""

@@ -228,4 +228,13 @@ def digest(result: DataFrame) -> DataFrame:
     return result.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-ORACLE_SQL = None           # SQL has no base32 SHA-1; tests compare with hashlib
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: DuckDB SQL of the query for tables whose ids are unique and known. Five hex digits are four letters of base32.
+ORACLE_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS x, min(page_id) OVER (PARTITION BY b) AS least FROM p),
+g AS (SELECT *, list_transform(range(0, 8), lambda k: CAST('0x' || substr(x, k * 5 + 1, 5) AS BIGINT)) AS words FROM h)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(words, lambda v: substr('{_BASE32}', 1 + (v >> 15), 1) || substr('{_BASE32}', 1 + (v >> 10) % 32, 1)
+    || substr('{_BASE32}', 1 + (v >> 5) % 32, 1) || substr('{_BASE32}', 1 + v % 32, 1)), '') AS payload_digest,
+  CASE WHEN least < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN least < page_id THEN least END AS refers_to FROM g"""
