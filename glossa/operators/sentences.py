@@ -66,17 +66,14 @@ def _key(lang: Column, token: Column) -> Column:
     return F.concat(F.coalesce(lang, F.lit(LANG_SEP)), F.lit(LANG_SEP), token)
 
 
-def _merged(pieces: str, joined: str) -> tuple[Column, Column]:
-    """Start places, and sentences from the column ``_starts`` of them: ``pieces`` (each but the first begins
-    with its blanks) put together where ``joined`` says that the border after a piece is none."""
-    n = F.size(pieces)
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~F.get(joined, i - 1))
-
-    def sentence(s, k):
-        end = F.coalesce(F.get("_starts", k + 1), n)
-        whole = F.array_join(F.slice(pieces, s + 1, end - s), "")
-        return F.when(s == 0, whole).otherwise(F.regexp_replace(whole, "^" + T.WS + "+", ""))
-    return starts, F.transform("_starts", sentence)
+def _merged(pieces: str, joined: Column) -> Column:
+    """Sentences: ``pieces`` (each but the first begins with its blanks) put together where ``joined`` says that
+    the border after a piece is none. Pieces and borders go side by side as arguments of one function: inside a lambda
+    the optimiser would put the expression of ``joined`` in place of its column and compute it once a piece."""
+    after = F.concat(F.array(F.lit(True)), joined)            # whether a piece goes on the sentence before it
+    marked = F.zip_with(pieces, after, lambda p, on: F.when(on, p).otherwise(
+        F.concat(F.lit(T.SENTENCE_SEP), F.regexp_replace(p, "^" + T.WS + "+", ""))))
+    return F.split(F.array_join(marked, ""), T.SENTENCE_SEP, -1)
 
 
 def split_sentences(df: DataFrame, text_col: str, lang_col: str, abbreviations: DataFrame, id_col: str,
@@ -86,23 +83,20 @@ def split_sentences(df: DataFrame, text_col: str, lang_col: str, abbreviations:
     stay as they are; those at a border are dropped.
     ``id_col`` must be unique only if the table has more than ``lookup_max`` types."""
     marked = F.regexp_replace(F.col(text_col), BORDER_WITH_BLANKS, "$1" + T.SENTENCE_SEP + "$2")
-    last = lambda p: _bare(F.element_at(F.split(p, T.WS + "+"), -1))      # noqa: E731
+    last = lambda p: _bare(F.regexp_replace(p, "(?s)^.*" + T.WS, ""))      # noqa: E731
     d = df.withColumn("_pieces", F.split(marked, T.SENTENCE_SEP, -1))
-    d = d.withColumn("_keys", F.transform("_pieces", lambda p: F.when(p.endswith("."), _key(F.col(lang_col), last(p)))))
+    piece_keys = F.transform("_pieces", lambda p: F.when(p.endswith("."), _key(F.col(lang_col), last(p))))
     keys = abbreviations.select(_key(F.col("lang"), F.col("token")).alias("token"), F.lit(1).alias("token_id"))
     n = keys.limit(lookup_max + 1).count()
     if n <= lookup_max:
         slots = max(16, 1 << (2 * max(n, 1) - 1).bit_length())
+        # read once and not kept, so the optimiser puts it into the expression: as a column each row would copy the table
         d = d.withColumn("_table", lookup_table(keys, slots).scalar())
-        hit = F.transform("_keys", lambda k: F.coalesce(F.element_at(F.get("_table", _slot(k, slots)), k) == 1, F.lit(False)))
-        d = d.withColumn("_joined", hit).drop("_table")
+        hit = F.transform(piece_keys, lambda k: F.coalesce(F.element_at(F.get("_table", _slot(k, slots)), k) == 1, F.lit(False)))
     else:
+        d = d.withColumn("_keys", piece_keys)
         found = (d.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct("_keys")).alias("token")).where(F.col("token").isNotNull())
                  .join(keys, "token").groupBy("_id").agg(F.collect_set("token").alias("_found")))
         d = d.join(found, F.col(id_col).eqNullSafe(F.col("_id")), "left").drop("_id")
         hit = F.transform("_keys", lambda k: F.coalesce(F.array_contains("_found", k), F.lit(False)))
-        d = d.withColumn("_joined", hit).drop("_found")
-    starts, sentences = _merged("_pieces", "_joined")
-    # the start places are bound to a column: as an expression they would be computed once a sentence
-    d = d.withColumn("_starts", F.when(F.col("_pieces").isNotNull(), starts))
-    return d.withColumn(out, F.when(F.col("_pieces").isNotNull(), sentences)).drop("_pieces", "_keys", "_joined", "_starts")
+    return d.select(*[c for c in df.columns if c != out], _merged("_pieces", hit).alias(out))

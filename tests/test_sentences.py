@@ -1,6 +1,7 @@
 """Sentence borders with learned abbreviations, against hand cases and a plain recount."""
 
 import math
+import time
 from itertools import permutations
 
 from glossa.functions import text as T
@@ -79,3 +80,14 @@ def test_empty_table(spark):
     d = frame(spark).where("id = 'none'")
     abbr = SN.learn_abbreviations(d, "t", "lang")
     assert abbr.count() == 0 and SN.split_sentences(d, "t", "lang", abbr, "id").count() == 0
+
+
+def test_time_grows_with_the_sentences_of_a_text(spark):
+    n = 6000
+    text = " ".join(["Dr. A came to the town.", "Rain fell."] * (n // 2))
+    d = spark.createDataFrame([("1", "en", text)], "id string, lang string, t string")
+    abbr = spark.createDataFrame([("en", "dr")], "lang string, token string")
+    began = time.time()
+    r = SN.split_sentences(d, "t", "lang", abbr, "id").first().sentences
+    assert time.time() - began < 15
+    assert r == ["Dr. A came to the town.", "Rain fell."] * (n // 2)
