@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.operators.scale import quantile_bucket, with_exclusive_prefix
+from glossa.operators.scale import join_table, quantile_bucket, with_exclusive_prefix
 from glossa.session import materialize
 
 # --- fixed values ------------------------------------------------------------
@@ -22,6 +22,7 @@ ACCURACY_CUT = 0.5
 LOGLOSS_EPS = 1e-7
 LABEL_SMOOTHING = 0.1
 PRIOR_ROWS = ((0, 0.5), (1, 0.5))  # (label, score) seeds of the running AUC meter
+NODE_ROWS = 100_000                # rows of a node of the running AUC that one task orders
 # -----------------------------------------------------------------------------
 
 
@@ -66,7 +67,7 @@ def with_prior_rows(df: DataFrame, label_col: str, score_col: str, part_cols: Se
 
 
 def running_auc(df: DataFrame, label_col: str, score_col: str, batch_col: str, part_cols: Sequence[str] = (),
-                prior: bool = True, out: str = "auc") -> DataFrame:                         # A11, one value an update
+                prior: bool = True, out: str = "auc", node_rows: int = NODE_ROWS) -> DataFrame:    # A11, one value an update
     """``part_cols, batch_col, n_rows, out``: the AUC of all rows up to and with each batch, as a meter that
     is updated batch by batch reports it. Batches are non-negative numbers; null labels, scores and batches are
     left out. With ``prior`` the two seed rows come before the first batch (and ``n_rows`` does not count them);
@@ -74,8 +75,9 @@ def running_auc(df: DataFrame, label_col: str, score_col: str, batch_col: str, p
 
     Pairs are counted in the order (batch, score) by merge counting: two batches part at the highest bit in which
     their numbers differ, so each pair of rows meets in exactly one node of a binary tree over the batches, the
-    earlier row on its left and the later one on its right. Every level is one bucketed running sum over all
-    nodes, and a row is in ``log2`` of the batches of them: no AUC is computed once a prefix."""
+    earlier row on its left and the later one on its right. A row is in ``log2`` of the batches of running sums, all
+    in one job: no AUC is computed once a prefix. Nodes of levels without a node beyond ``node_rows`` rows are each
+    ordered whole, so nothing is joined back; the few larger nodes of the other levels are cut into score buckets."""
     part_cols = list(part_cols)
     y = F.col(label_col).cast("long")
     d = df.where(F.col(label_col).isNotNull() & F.col(score_col).isNotNull() & F.col(batch_col).isNotNull())
@@ -88,34 +90,51 @@ def running_auc(df: DataFrame, label_col: str, score_col: str, batch_col: str, p
             *part_cols, F.col("v.p").alias("_s"), F.lit(0).cast("long").alias("_b"), F.col("v.c").alias("_y"), F.lit(0).cast("long").alias("_real")))
     g = materialize(d.groupBy(*part_cols, "_b", "_s").agg(
         F.sum("_y").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg"), F.sum("_real").alias("_n")))
-    top = g.select(F.coalesce(F.length(F.bin(F.max("_b"))), F.lit(1)).alias("t")).scalar()
-    # level -1: the rows of one batch among themselves, positives on the right and negatives on the left
-    side = F.transform(F.sequence(F.lit(0), F.col("_top") - 1), lambda v: F.struct(
-        v.cast("int").alias("level"), F.call_function("shiftright", F.col("_b"), v.cast("int") + 1).alias("node"),
-        F.call_function("shiftright", F.col("_b"), v.cast("int")).bitwiseAND(F.lit(1)).cast("int").alias("right")))
-    own = F.array(*[F.struct(F.lit(-1).alias("level"), F.col("_b").alias("node"), F.lit(r).alias("right")) for r in (0, 1)])
-    e = g.withColumn("_top", top).withColumn("_node", F.explode(F.concat(own, side)))
-    level, right = F.col("_node.level"), F.col("_node.right")
-    e = e.select(*part_cols, "_s", "_b", level.alias("_level"), F.col("_node.node").alias("_at"), right.alias("_right"),
-                 F.when((right == 0) & (level >= 0), F.col("_pos")).otherwise(F.lit(0)).alias("_lp"),
-                 F.when(right == 0, F.col("_neg")).otherwise(F.lit(0)).alias("_ln"),
-                 F.when(right == 1, F.col("_pos")).otherwise(F.lit(0)).alias("_rp"),
-                 F.when((right == 1) & (level >= 0), F.col("_neg")).otherwise(F.lit(0)).alias("_rn"))
-    e = materialize(e)
-    node = [*part_cols, "_level", "_at"]
-    bucket = quantile_bucket(e, "_s")               # buckets of the scores, the same for all nodes
-    not_above = with_exclusive_prefix(bucket, ["_s", "_right", "_b"], ["_lp", "_ln"], node, bucket=F.col("_bucket"), totals=True)
-    not_above = not_above.where((F.col("_rp") > 0) | (F.col("_rn") > 0))
-    lo = bucket.withColumn("_left", -F.col("_right"))
-    below = with_exclusive_prefix(lo, ["_s", "_left", "_b"], ["_lp", "_ln"], node, bucket=F.col("_bucket"), totals=True)
-    below = below.where((F.col("_rp") > 0) | (F.col("_rn") > 0))
-
-    # pairs won with ties counted in full, and without them: their sum is twice the pairs won
-    wins = F.sum(F.col("_rp") * F.col("_ln_before") + F.col("_rn") * (F.col("_lp_total") - F.col("_lp_before"))).alias("_w")
-    won = not_above.groupBy(*part_cols, "_b").agg(wins).unionByName(below.groupBy(*part_cols, "_b").agg(wins))
+    top = g.select(F.coalesce(F.length(F.bin(F.max("_b"))), F.lit(1)).alias("t")).first()["t"]
+
+    def at_levels(levels):
+        # level -1: the rows of one batch among themselves, negatives on the left and positives on the right
+        node = F.explode(F.array(*[F.struct(F.lit(v).alias("level"), F.shiftright("_b", v + 1).alias("at"),
+                                            F.shiftright("_b", max(v, 0)).bitwiseAND(F.lit(1)).cast("int").alias("right")) for v in levels]))
+        e = bucketed.withColumn("_node", node)
+        level, right, zero = F.col("_node.level"), F.col("_node.right"), F.lit(0).cast("long")
+        return e.select(*part_cols, "_s", "_b", "_bucket", level.alias("_level"), F.col("_node.at").alias("_at"),
+                        F.when((level >= 0) & (right == 0), F.col("_pos")).otherwise(zero).alias("_lp"),
+                        F.when((level < 0) | (right == 0), F.col("_neg")).otherwise(zero).alias("_ln"),
+                        F.when((level < 0) | (right == 1), F.col("_pos")).otherwise(zero).alias("_rp"),
+                        F.when((level >= 0) & (right == 1), F.col("_neg")).otherwise(zero).alias("_rn"))
+    node, left = [*part_cols, "_level", "_at"], ("_lp", "_ln")
+
+    def sums(e, keys, extra=()):
+        """Of the left rows of the same ``keys``: those up to a row's score (``_le``) and of the same score (``_eq``)."""
+        upto, same = Window.partitionBy(*keys).orderBy("_s").rangeBetween(Window.unboundedPreceding, Window.currentRow), Window.partitionBy(*keys, "_s")
+        return e.select("*", *[F.sum(c).over(upto).alias(f"{c}_le") for c in left], *[F.sum(c).over(same).alias(f"{c}_eq") for c in left], *extra)
+
+    def won(e, le=lambda c: F.col(f"{c}_le")):
+        # pairs won with ties counted in full, and without them: their sum is twice the pairs won
+        wins = F.col("_rp") * (F.lit(2) * le("_ln") - F.col("_ln_eq")) + F.col("_rn") * (F.lit(2) * (F.col("_lp_total") - le("_lp")) + F.col("_lp_eq"))
+        return e.groupBy(*part_cols, "_b").agg(F.sum(wins).alias("_w"))
+
+    bucketed = quantile_bucket(g, "_s")             # buckets of the scores, the same for all nodes
+    every = range(-1, top)
+    most = {r["_level"]: r["n"] for r in at_levels(every).groupBy(*node).count().groupBy("_level").agg(F.max("count").alias("n")).collect()}   # a row a level
+    large = [v for v in every if most.get(v, 0) > node_rows]
+    small = [v for v in every if v not in large]
+    parts = []
+    if small:
+        parts.append(won(sums(at_levels(small), node, [F.sum("_lp").over(Window.partitionBy(*node)).alias("_lp_total")])))
+    if large:
+        e = at_levels(large)
+        w_off = Window.partitionBy(*node).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offs = e.groupBy(*node, "_bucket").agg(*[F.sum(c).alias(f"{c}_bt") for c in left])
+        offs = offs.select(*node, "_bucket", *[F.coalesce(F.sum(f"{c}_bt").over(w_off), F.lit(0)).alias(f"{c}_off") for c in left],
+                           F.sum("_lp_bt").over(Window.partitionBy(*node)).alias("_lp_total"))
+        e = join_table(sums(e, [*node, "_bucket"]), offs, [*node, "_bucket"])
+        parts.append(won(e, lambda c: F.col(f"{c}_off") + F.col(f"{c}_le")))
+    won_rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     rows = g.groupBy(*part_cols, "_b").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_q"), F.sum("_n").alias("_m"))
     zero = F.lit(0).cast("long")
-    t = (won.select(*part_cols, "_b", "_w", zero.alias("_p"), zero.alias("_q"), zero.alias("_m"))
+    t = (won_rows.select(*part_cols, "_b", "_w", zero.alias("_p"), zero.alias("_q"), zero.alias("_m"))
          .unionByName(rows.select(*part_cols, "_b", zero.alias("_w"), "_p", "_q", "_m")))
     t = t.groupBy(*part_cols, "_b").agg(*[F.sum(c).alias(c) for c in ("_w", "_p", "_q", "_m")])
     t = with_exclusive_prefix(materialize(t), ["_b"], ["_w", "_p", "_q", "_m"], part_cols)

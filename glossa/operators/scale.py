@@ -38,10 +38,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def join_table(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe join with a table that normally has few rows (one per file, stratum, language,
     ...). It is written once and counted: up to ``BROADCAST_ROWS`` rows it is broadcast, so ``df`` is not
-    shuffled on a few hot keys; beyond, there are many keys and an ordinary join spreads them."""
+    shuffled on a few hot keys; beyond, there are many keys and a join by sorting spreads them. That is asked for:
+    a written table of numbers has so few bytes that it would be broadcast, with all its rows in the driver."""
     table = materialize(table)
     small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return null_safe_join(df, F.broadcast(table) if small else table, keys, how)
+    return null_safe_join(df, table.hint("broadcast" if small else "merge"), keys, how)
 
 
 def default_buckets(df: DataFrame) -> int:

@@ -42,3 +42,21 @@ def test_without_groups_and_empty(spark):
     got = {r.batch: (r.n_rows, r.auc) for r in M.running_auc(df, "y", "p", "batch").collect()}
     assert got == {b: (n, pytest.approx(a)) for b, (n, a) in brute([(0, 1, 0.2), (2, 0, 0.4), (2, 1, 0.4)], True).items()}
     assert M.running_auc(df.where("batch > 9"), "y", "p", "batch").count() == 0
+
+
+@pytest.mark.parametrize("node_rows", [0, 20, 10 ** 6])
+def test_large_and_small_nodes_give_the_same(spark, node_rows):
+    rnd = random.Random(3)
+    data = [(rnd.choice([None, "a"]), rnd.randint(0, 30), rnd.randint(0, 1), rnd.randint(0, 9) / 9) for _ in range(300)]
+    df = spark.createDataFrame(data, "model string, batch long, y int, p double")
+    got = {(r.model, r.batch): (r.n_rows, pytest.approx(r.auc)) for r in M.running_auc(df, "y", "p", "batch", ["model"], node_rows=node_rows).collect()}
+    want = {(m, b): v for m in (None, "a") for b, v in brute([r[1:] for r in data if r[0] == m], True).items()}
+    assert got == want
+
+
+def test_a_long_table_is_joined_by_sorting(spark):
+    from glossa.operators import scale as S
+    ids = spark.range(S.BROADCAST_ROWS + 1)
+    plan = lambda n: S.join_table(ids, ids.limit(n).withColumn("x", ids.id), ["id"])._jdf.queryExecution().executedPlan().toString()      # noqa: E731
+    assert "BroadcastHashJoin" not in plan(S.BROADCAST_ROWS + 1) and "SortMergeJoin" in plan(S.BROADCAST_ROWS + 1)
+    assert "BroadcastHashJoin" in plan(5)
