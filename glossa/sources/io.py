@@ -217,6 +217,9 @@ def filesystem_of(uri: str):
 
 
 MEMBERS_BYTES = 64 << 20          # members of one partition: up to this many unpacked bytes, or one larger member
+PART_BYTES = 4 << 20              # characters of a member that a task parses at a time, about
+PART_ROWS = 1_000                 # rows that a task parses at a time, at most
+FIRST_ROWS = 16
 
 
 @dataclass
@@ -237,13 +240,14 @@ def _archives(path: str, file_glob: str) -> list[str]:
 
 class ZippedCsvReader(DataSourceReader):
     """Partitions are members of the archives, found in the central directories. A task opens its archive by
-    range, seeks to its members and unpacks them as streams, so no archive and no member is held whole."""
+    range, seeks to its members and unpacks them as streams, so no archive and no member is held whole. The rows
+    parsed at a time follow the length of the rows before them, so a task's memory does not grow with its rows."""
 
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
         self.path = options["path"]
         self.file_glob = options.get("fileglob", "*.zip")
-        self.batch_rows = int(options.get("batchrows", "50000"))
+        self.batch_rows = int(options.get("batchrows", str(PART_ROWS)))
         self.members_bytes = int(options.get("membersbytes", str(MEMBERS_BYTES)))
 
     def partitions(self):
@@ -274,10 +278,24 @@ class ZippedCsvReader(DataSourceReader):
         with store.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
             for name in partition.names:
                 with zf.open(name) as fh:
-                    for part in pd.read_csv(fh, dtype=str, keep_default_na=False, chunksize=self.batch_rows):
+                    for part in _parts(fh, self.batch_rows):
                         yield from pa.Table.from_pandas(_cast_frame(part, self.schema), schema, preserve_index=False).to_batches()
 
 
+def _parts(fh, most_rows: int, part_bytes: int = PART_BYTES):
+    """Frames of an open CSV member, as text. Each has at most twice the rows of the one before, fewer if that was long."""
+    rows = min(FIRST_ROWS, most_rows)
+    with pd.read_csv(fh, dtype=str, keep_default_na=False, iterator=True) as reader:
+        while True:
+            try:
+                part = reader.get_chunk(rows)
+            except StopIteration:
+                return
+            yield part
+            length = sum(int(part[c].str.len().sum()) for c in part.columns)
+            rows = max(1, min(most_rows, 2 * rows, rows * part_bytes // max(length, 1)))
+
+
 class ZippedCsv(DataSource):
     """``spark.read.format("zipped_csv")``: CSV members of zip archives as a partitioned source."""
 
@@ -292,7 +310,7 @@ class ZippedCsv(DataSource):
         return ZippedCsvReader(schema, self.options)
 
 
-def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, batch_rows: int = 50_000,
+def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, batch_rows: int = PART_ROWS,
                     file_glob: str = "*.zip", members_bytes: int = MEMBERS_BYTES) -> DataFrame:         # S2
     """Rows of every ``*.csv`` member of the zip archives under ``path`` (a folder, filtered by ``file_glob``,
     or a single archive). Members of up to ``members_bytes`` unpacked bytes share a task; a larger one has its
@@ -304,14 +322,29 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, ba
             .option("batchrows", str(batch_rows)).option("membersbytes", str(members_bytes)).load(path))
 
 
+def _csv_record(cols: Sequence[str]) -> F.Column:
+    """A row as a CSV record with its line break; cells are quoted where they must be, a missing one is empty."""
+    def cell(c):
+        text = F.col(c).cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(text.rlike('[",\r\n]'), quoted).otherwise(text), F.lit(""))
+    record = F.concat_ws(",", *[cell(c) for c in cols])
+    # a record without any character would be a blank line, which readers leave out
+    return F.concat(F.when(record == "", F.lit('""')).otherwise(record), F.lit("\n"))
+
+
 def write_zipped_csv(df: DataFrame, path: str) -> DataFrame:                                          # S2 (writer)
     """Each non-empty partition streams into one ``part-<n>.csv.zip`` in the shared folder ``path``,
-    batch by batch; returns the written paths and row counts as a DataFrame (lazy)."""
+    batch by batch; returns the written paths and row counts as a DataFrame (lazy). Spark makes the records;
+    a task passes the bytes of each Arrow batch on and makes no Python object of a cell."""
     cols = df.columns
     if path.startswith("file:"):
         path = "file:///" + path[len("file:"):].lstrip("/")
 
     def write(batches):
+        import csv
+
+        import pyarrow as pa
         from pyspark import TaskContext
         store, folder = filesystem_of(path)
         store.create_dir(folder, recursive=True)
@@ -319,18 +352,21 @@ def write_zipped_csv(df: DataFrame, path: str) -> DataFrame:
         target = f"{folder}/part-{TaskContext.get().partitionId():05d}.csv.zip"
         part = f"{target}.{uuid.uuid4().hex}.tmp"
         rows = 0
+        head = io.StringIO()
+        csv.writer(head, lineterminator="\n").writerow(cols)
         with (store.open_output_stream(part, compression=None) as raw,
               zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf,
-              zf.open("data.csv", "w", force_zip64=True) as member,
-              io.TextIOWrapper(member, "utf-8", newline="") as out):
-            for pdf in batches:
-                pdf[cols].to_csv(out, index=False, header=rows == 0)
-                rows += len(pdf)
+              zf.open("data.csv", "w", force_zip64=True) as member):
+            for batch in batches:
+                if not rows:
+                    member.write(head.getvalue().encode())
+                for record in batch.column(0):
+                    member.write(record.as_buffer())
+                rows += batch.num_rows
         if rows:
             store.move(part, target)
-            yield pd.DataFrame({"path": [target], "rows": [rows]})
+            yield pa.RecordBatch.from_pylist([{"path": target, "rows": rows}])
         else:
             store.delete_file(part)
 
-    # as text: pandas would turn integers with a null among them into doubles
-    return df.select(*[F.col(c).cast("string").alias(c) for c in cols]).mapInPandas(write, "path string, rows long")
+    return df.select(_csv_record(cols).alias("record")).mapInArrow(write, "path string, rows long")

@@ -116,3 +116,30 @@ def test_both_csv_readers_agree_on_awkward_cells(spark):
     spark.createDataFrame(cells).coalesce(1).write.option("header", True).csv(path)
     got = sorted(map(tuple, IO.read_csv(spark, path, schema).collect()), key=str)
     assert got == sorted([(9007199254740993, None, None), (None, "a,b", 0.5), (7, "NaN", None)], key=str)
+
+
+def test_zip_reader_parts_follow_the_length_of_the_rows(tmp_path):
+    import zipfile
+    from pyspark.sql.types import StructType
+    path = str(tmp_path / "long.csv.zip")
+    cells = ["x" * 10] * 3000 + ["y" * 20_000] * 1000 + ["z"] * 100
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("a.csv", "id,t\n" + "".join(f"{i},{c}\n" for i, c in enumerate(cells)))
+    reader = IO.ZippedCsvReader(StructType.fromDDL("id long, t string"), {"path": path})
+    got = [b for p in reader.partitions() for b in reader.read(p)]
+    assert max(b.num_rows for b in got) <= IO.PART_ROWS
+    # one part may be as many rows as the short ones before it, the next ones are cut
+    assert sorted(b.nbytes for b in got)[-2] < 2 * IO.PART_BYTES
+    assert [v for b in got for v in b.column(0).to_pylist()] == list(range(len(cells)))
+    assert [v for b in got for v in b.column(1).to_pylist()] == cells
+
+
+def test_zip_writer_quotes_as_csv(spark):
+    rows = [("a,b", 'say "hi"', 1), ("line\nbreak", "cr\r\nlf", None), (None, None, None), (" lead", "", 2), ('"', "é€", 3)]
+    path = scratch_path(spark, "t_zip_quotes")
+    IO.write_zipped_csv(spark.createDataFrame(rows, "a string, b string, n int").coalesce(1), path).collect()
+    back = IO.read_zipped_csv(spark, path, "a string, b string, n int").collect()
+    assert [tuple(r) for r in back] == [tuple(x if x != "" else None for x in r) for r in rows]
+    one = scratch_path(spark, "t_zip_one")
+    IO.write_zipped_csv(spark.createDataFrame([("x",), (None,), ("y",)], "a string").coalesce(1), one).collect()
+    assert [r.a for r in IO.read_zipped_csv(spark, one, "a string").collect()] == ["x", None, "y"]
