@@ -8,6 +8,8 @@ is in ``glossa.plans.sqlkit``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,12 @@ def uniform(*parts) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(TWO_POW_52)
 
 
+def uniform_below(p: float, *parts) -> Column:
+    """``uniform(*parts) < p``, by comparing the hash with the hexadecimal digits of the least number that is not below."""
+    n = max(0, math.ceil(p * TWO_POW_52))
+    return F.lit(True) if n >= TWO_POW_52 else md5_key(*parts) < F.lit(f"{n:013x}")
+
+
 def randint(lo: int, hi_exclusive: int, *parts) -> Column:
     """Integer uniform in [lo, hi_exclusive)."""
     return (F.floor(uniform(*parts) * F.lit(hi_exclusive - lo)) + F.lit(lo)).cast("int")

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 WS = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
 # Python's \S (complement of WS).
 NON_WS = r"[^\s\p{Z}\x0b\x1c-\x1f\x85]"
+# A run of blanks that is not a single " " already. Printable ASCII, most of a text, is passed over by one comparison.
+RUN_TO_COLLAPSE = r"(?![!-~])(?:[\s\p{Z}\x0b\x1c-\x1f\x85&&[^ ]]" + WS + r"*| (?![!-~])" + WS + "+)"
+# A text as blanks, the rest up to the last non-blank, and blanks.
+STRIPPED = "(?s)^" + WS + "*(.*" + NON_WS + ")?" + WS + r"*\z"
 # Python's \w.
 WORD = r"[\p{L}\p{N}_]"
 # Characters removed by the basic cleaner: ASCII digits and double quotes.
@@ -57,7 +61,7 @@ def strip_urls(c) -> Column:                 # T4
 
 
 def collapse_ws(c) -> Column:                # T5
-    return F.regexp_replace(_c(c), WS + "+", " ")
+    return F.regexp_replace(_c(c), RUN_TO_COLLAPSE, " ")
 
 
 def strip_numbers(c) -> Column:              # T6
@@ -66,7 +70,7 @@ def strip_numbers(c) -> Column:              # T6
 
 def py_strip(c) -> Column:                   # T7
     """``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(c), "^" + WS + "+|" + WS + "+$", "")
+    return F.regexp_replace(_c(c), STRIPPED, "$1")
 
 
 def clean_text(c) -> Column:                 # T8

@@ -28,7 +28,7 @@ def _c(c) -> Column:
 
 def word_tokens(c) -> Column:
     """Blank-separated tokens of the cleaned text (T8), empty pieces dropped."""
-    return F.filter(F.split(T.clean_text(c), " ", -1), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(T.clean_text(c), " ", -1), "")
 
 
 def with_marks(raw_ids, max_len: int, pad: bool) -> Column:            # K1 / K5
@@ -73,27 +73,28 @@ def one_hot(label) -> Column:                                           # K8
     return F.array(F.lit(1.0) - y, y)
 
 
-def mlm_inputs_and_labels(ids, key, seed: int = 0, mask_id: int = MASK_ID,
-                          random_ids: tuple[int, int] = RANDOM_ID_RANGE) -> tuple[Column, Column]:   # K7
-    """Masked-LM inputs and labels. Each position draws three md5 uniforms keyed by
-    (seed, key, position): select (15 %, ids > 2 only), mask (90 % of selected),
-    random id (1/9 of masked). ``mask_id`` and ``random_ids`` (from, below) belong to the
-    vocabulary; the defaults are the pretrained one's. Labels are the id where selected, else -1."""
-    def u(i, tag):
-        return rand.uniform(seed, key, i, tag)
+def mlm_draws(ids, key, seed: int = 0, mask_id: int = MASK_ID, random_ids: tuple[int, int] = RANDOM_ID_RANGE) -> Column:
+    """The input id of each selected position, null where none is selected: see ``mlm_inputs_and_labels``."""
+    def below(p, i, tag):
+        return rand.uniform_below(p, seed, key, i, tag)
 
-    def sel(x, i):
-        return (x > F.lit(EOS)) & (u(i, "sel") < F.lit(MLM_SELECT_P))
+    lo, hi = random_ids
+    rid = lambda i: (F.floor(rand.uniform(seed, key, i, "rid") * F.lit(hi - lo)) + F.lit(lo)).cast("int")
 
-    def masked(x, i):
-        return sel(x, i) & (u(i, "mask") < F.lit(MLM_MASK_P))
+    def drawn(x, i):
+        masked = F.when(below(MLM_RANDOM_P, i, "rnd"), rid(i)).otherwise(F.lit(mask_id))
+        return F.when((x > F.lit(EOS)) & below(MLM_SELECT_P, i, "sel"), F.when(below(MLM_MASK_P, i, "mask"), masked).otherwise(x))
+    return F.transform(_c(ids), drawn)
 
-    def randomised(x, i):
-        return masked(x, i) & (u(i, "rnd") < F.lit(MLM_RANDOM_P))
 
-    lo, hi = random_ids
-    rid = lambda i: (F.floor(u(i, "rid") * F.lit(hi - lo)) + F.lit(lo)).cast("int")
-    inputs = F.transform(_c(ids), lambda x, i: F.when(randomised(x, i), rid(i))
-                         .when(masked(x, i), F.lit(mask_id)).otherwise(x))
-    labels = F.transform(_c(ids), lambda x, i: F.when(sel(x, i), x).otherwise(F.lit(-1)))
+def mlm_inputs_and_labels(ids, key, seed: int = 0, mask_id: int = MASK_ID, random_ids: tuple[int, int] = RANDOM_ID_RANGE,
+                          draws=None) -> tuple[Column, Column]:   # K7
+    """Masked-LM inputs and labels. Each position draws three md5 uniforms keyed by
+    (seed, key, position): select (15 %, ids > 2 only), mask (90 % of selected),
+    random id (1/9 of masked). ``mask_id`` and ``random_ids`` (from, below) belong to the
+    vocabulary; the defaults are the pretrained one's. Labels are the id where selected, else -1.
+    ``draws``: a column that holds ``mlm_draws``, so they are made once for both."""
+    new = mlm_draws(ids, key, seed, mask_id, random_ids) if draws is None else _c(draws)
+    inputs = F.zip_with(_c(ids), new, lambda x, n: F.coalesce(n, x))
+    labels = F.zip_with(_c(ids), new, lambda x, n: F.when(n.isNotNull(), x).otherwise(F.lit(-1)))
     return inputs, labels

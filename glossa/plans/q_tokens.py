@@ -159,8 +159,9 @@ def mlm_sql(key):
 @query("k07_mlm_mask", _sql(f"SELECT id, {mlm_sql('id')} FROM (SELECT id, {marks_sql('raw_ids', MAX_LEN, True)} AS ids FROM enc)"))
 def k07_mlm_mask(spark, sf):
     e = encoded(spark, sf, MAX_LEN - 2).select("id", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
-    inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), seed=MLM_SEED, mask_id=MASK_ID,
-                                             random_ids=(K.UNK + 1, MASK_ID))
+    made = {"seed": MLM_SEED, "mask_id": MASK_ID, "random_ids": (K.UNK + 1, MASK_ID)}
+    e = e.withColumn("draws", K.mlm_draws("ids", F.col("id"), **made))
+    inputs, labels = K.mlm_inputs_and_labels("ids", F.col("id"), **made, draws="draws")
     return e.select("id", ids_str(inputs).alias("mlm_input_ids"), ids_str(labels).alias("mlm_labels"))
 
 

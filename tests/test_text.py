@@ -78,3 +78,14 @@ def test_text_functions_stay_in_the_jvm(spark):
     df = spark.createDataFrame([(1, "a b")], "i int, s string").select(T.clean_text_mono("s"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_blanks_collapse_and_strip_as_in_python(spark):
+    import random
+    import re
+    rnd = random.Random(11)
+    marks = [" ", " ", "\n", "\t", "\u00a0", "\u2003", "\x0b", "\x1d", "\x85", "\u3000", "\u2028", "a", "é", "!", "日", "~", "😀", "\x7f"]
+    texts = ["", " ", "\n", "a\n", "a \n", "\r\na", None] + ["".join(rnd.choices(marks, k=rnd.randint(0, 12))) for _ in range(600)]
+    d = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.collapse_ws("t").alias("c"), T.py_strip("t").alias("s"))
+    for r in d.collect():
+        assert r.c == (None if r.t is None else re.sub(r"\s+", " ", r.t)) and r.s == (None if r.t is None else r.t.strip())

@@ -110,3 +110,18 @@ def test_repeated_document_ids_raise(spark):
     df = spark.createDataFrame([("a", ["x", "y"]), ("a", ["y"])], "id string, t array<string>")
     with pytest.raises(Exception, match="not unique"):
         V.encode_ids(df, "id", "t", vocab).collect()
+
+
+def test_mlm_draws_one_hash_for_a_position_that_is_not_selected(spark):
+    from glossa.functions import rand
+    d = spark.range(400).select(F.col("id").cast("string").alias("k"))
+    for p in (0.0, 0.15, 1 / 9, 0.9, 0.5, 1.0):
+        r = d.select(rand.uniform_below(p, 7, F.col("k")).alias("a"), (rand.uniform(7, F.col("k")) < F.lit(p)).alias("b")).collect()
+        assert all(x.a == x.b for x in r)
+    d = d.select("k", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: i.cast("int")).alias("ids")).withColumn("draws", K.mlm_draws("ids", F.col("k"), seed=5))
+    x, y = K.mlm_inputs_and_labels("ids", F.col("k"), seed=5, draws="draws")
+    x2, y2 = K.mlm_inputs_and_labels("ids", F.col("k"), seed=5)
+    out = d.select(x.alias("x"), y.alias("y"), x2.alias("x2"), y2.alias("y2"))
+    assert all(r.x == r.x2 and r.y == r.y2 for r in out.collect())
+    plan = d.select(x, y)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("|sel") <= 1 and plan.count("md5(") <= 4
