@@ -28,7 +28,12 @@ def _c(c) -> Column:
 
 def word_tokens(c) -> Column:
     """Blank-separated tokens of the cleaned text (T8), empty pieces dropped."""
-    return F.array_remove(F.split(T.clean_text(c), " ", -1), "")
+    return blank_tokens(T.clean_text(c))
+
+
+def blank_tokens(cleaned) -> Column:
+    """Blank-separated tokens of a text that is cleaned already."""
+    return F.array_remove(F.split(_c(cleaned), " ", -1), "")
 
 
 def with_marks(raw_ids, max_len: int, pad: bool) -> Column:            # K1 / K5

@@ -63,13 +63,13 @@ def m03_scoring_matrix(spark, sf):
 
 def view_scores(spark, sf, models=tuple(MD.LINEAR_SCORERS)):
     """``id, model, view, toxic``: the text as it is and cleaned, both encoded in one pass and
-    scored by all models in one projection."""
+    scored by all models in one projection. The cleaned text (T8) is a column that both views read, so it is made once."""
     from glossa.plans.q_tokens import MAX_LEN, VOCAB_SIZE, vocabulary
-    texts = F.explode(F.array(F.struct(F.lit("orig").alias("view"), F.col("comment_text").alias("text")),
-                              F.struct(F.lit("clean").alias("view"), T.clean_text_mono("comment_text").alias("text"))))
-    views = X.comments(spark, sf).select("id", texts.alias("_v")).select("id", "_v.view", "_v.text")
-    enc = V.encode_ids(views, "id", K.word_tokens("text"), vocabulary(spark, sf), carry=["view"], vocab_size=VOCAB_SIZE,
-                       max_tokens=MAX_LEN - 2)
+    c = X.comments(spark, sf).select("id", T.clean_text("comment_text").alias("_c"))
+    toks = F.explode(F.array(F.struct(F.lit("orig").alias("view"), K.blank_tokens("_c").alias("toks")),
+                             F.struct(F.lit("clean").alias("view"), K.word_tokens(T.py_strip(T.dedupe_sentences("_c"))).alias("toks"))))
+    views = c.select("id", toks.alias("_v")).select("id", "_v.view", "_v.toks")
+    enc = V.encode_ids(views, "id", "toks", vocabulary(spark, sf), carry=["view"], vocab_size=VOCAB_SIZE, max_tokens=MAX_LEN - 2)
     enc = enc.select("id", "view", K.with_marks("raw_ids", MAX_LEN, True).alias("ids"))
     scores = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), MD.linear_score("ids", m).alias("toxic")) for m in models]))
     return enc.select("id", "view", scores.alias("_s")).select("id", "_s.model", "view", "_s.toxic")

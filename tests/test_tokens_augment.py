@@ -125,3 +125,10 @@ def test_mlm_draws_one_hash_for_a_position_that_is_not_selected(spark):
     assert all(r.x == r.x2 and r.y == r.y2 for r in out.collect())
     plan = d.select(x, y)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("|sel") <= 1 and plan.count("md5(") <= 4
+
+
+def test_both_views_read_one_cleaned_text(spark):
+    from glossa.plans.q_model import view_scores
+    plan = view_scores(spark, "/root/testdata/sf0.001", ["lin_a"])._jdf.queryExecution().optimizedPlan().toString()
+    # once for both views, and once more for the view that is cleaned again
+    assert plan.count("regexp_replace(") and plan.count(', https?') == 2
