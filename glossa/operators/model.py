@@ -45,17 +45,20 @@ def train_classifier(df: DataFrame, tokens_col: str = "toks", label_col: str = "
                      weight_col: str | None = None, reg_params: Sequence[float] = (0.01, 0.1),
                      seed: int = 5353, id_col: str = "id", fraction: float = 0.1) -> tuple[PipelineModel, float]:   # M1
     """The best model and its validation ROC AUC (A10). The validation rows are the seeded hold-out
-    (G6), the same under any partitioning; the tokens are written once and read by every fit."""
+    (G6), the same under any partitioning; the features are written once and read by every fit."""
     d = materialize(holdout_split(df, id_col, fraction, seed))
     train, valid = (d.where(F.col("split") == x) for x in ("train", "holdout"))
     tf = HashingTF(inputCol=tokens_col, outputCol="_tf", numFeatures=HASH_FEATURES)
     features = Pipeline(stages=[tf, IDF(inputCol="_tf", outputCol="_features")]).fit(train)
+    kept = [c for c in (label_col, weight_col) if c]
+    fitted, held = (materialize(features.transform(x).select(*kept, "_features")) for x in (train, valid))
     best = None
     for reg in reg_params:
         lr = LogisticRegression(featuresCol="_features", labelCol=label_col, maxIter=30, regParam=reg,
                                 **({"weightCol": weight_col} if weight_col else {}))
-        model = PipelineModel(stages=[*features.stages, lr.fit(features.transform(train))])
-        scored = model.transform(valid).select(F.col(label_col).alias("y"), vector_to_array("probability")[1].alias("p"))
+        lr_model = lr.fit(fitted)
+        model = PipelineModel(stages=[*features.stages, lr_model])
+        scored = lr_model.transform(held).select(F.col(label_col).alias("y"), vector_to_array("probability")[1].alias("p"))
         auc = roc_auc(scored, "y", "p").first()["auc"]            # one row
         if best is None or (auc or 0.0) > (best[1] or 0.0):
             best = model, auc
